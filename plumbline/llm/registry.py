@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from . import decontam
+from .decontam import op7_decontamination
 from .simhash import op8_simhash
+from .substring import op1_substring_dedup
+from .toxicity import op4_toxicity
 
 
 def queries() -> dict:
-    return {"op8_simhash": op8_simhash}
+    return {
+        "op1_substring_dedup": op1_substring_dedup,
+        "op4_toxicity": op4_toxicity,
+        "op7_decontamination": op7_decontamination,
+        "op8_simhash": op8_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_decontamination": decontam.ORACLE}
