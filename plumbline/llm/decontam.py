@@ -233,9 +233,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x{{7F}}]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x{{7F}}]+') AS w FROM benchmark),
-win AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), i -> array_to_string(w[i:i + n - 1], ' '))) AS g
+win AS (SELECT DISTINCT item_id, n, unnest([array_to_string(w[i:i + n - 1], ' ') for i in range(1, len(w) - n + 2)]) AS g
   FROM (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0)),
-pos AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(range(1, len(w) - n + 2), i -> array_to_string(w[i:i + n - 1], ' '))) AS g
+pos AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest([array_to_string(w[i:i + n - 1], ' ') for i in range(1, len(w) - n + 2)]) AS g
   FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
 occ AS (SELECT doc_id, i, n, item_id FROM pos JOIN win USING (n, g)),
 hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM occ) GROUP BY doc_id),
