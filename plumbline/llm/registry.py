@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from . import decontam
+import corpus_pipeline
+
+from . import decontam, warc
 from .decontam import op7_decontamination
+from .packing import op6_best_fit_packing
 from .simhash import op8_simhash
 from .substring import op1_substring_dedup
+from .tokens import op3_token_ids
 from .toxicity import op4_toxicity
+from .warc import op2_warc
 
 
 def queries() -> dict:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_warc": op2_warc,
+        "op3_token_ids": op3_token_ids,
         "op4_toxicity": op4_toxicity,
+        "op6_best_fit_packing": op6_best_fit_packing,
         "op7_decontamination": op7_decontamination,
         "op8_simhash": op8_simhash,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontamination": decontam.ORACLE}
+    return {"op2_warc": warc.ORACLE, "op7_decontamination": decontam.ORACLE}
