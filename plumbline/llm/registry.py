@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontam, warc
+from . import decontam, quotes, warc
 from .decontam import op7_decontamination
+from .licences import op5_licence_scan
+from .media import op10_media_chunks
 from .packing import op6_best_fit_packing
+from .quotes import op9_quotation_links
 from .simhash import op8_simhash
 from .substring import op1_substring_dedup
 from .tokens import op3_token_ids
@@ -20,12 +23,15 @@ def queries() -> dict:
         "op2_warc": op2_warc,
         "op3_token_ids": op3_token_ids,
         "op4_toxicity": op4_toxicity,
+        "op5_licence_scan": op5_licence_scan,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_decontamination": op7_decontamination,
         "op8_simhash": op8_simhash,
+        "op9_quotation_links": op9_quotation_links,
+        "op10_media_chunks": op10_media_chunks,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE, "op7_decontamination": decontam.ORACLE}
+    return {"op2_warc": warc.ORACLE, "op7_decontamination": decontam.ORACLE, "op9_quotation_links": quotes.ORACLE}
