@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import index_queries
+from . import index_queries, market_queries, method_queries
 
-MODULES = [index_queries]
+MODULES = [index_queries, market_queries, method_queries]
 
 
 def queries() -> dict:
