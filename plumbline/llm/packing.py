@@ -57,6 +57,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROW
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         group = int(pdf["g"].iloc[0])
+        pdf = pdf.sort_values(["size", "id", "source", "cluster"], ascending=[False, True, True, True])
         pdf = pdf.assign(rest=pdf["size"] % capacity, full=pdf["size"] // capacity)
         pdf.loc[(pdf["rest"] == 0) & (pdf["full"] > 0), "rest"] = -1
         last = pdf[pdf["rest"] >= 0].sort_values(["rest", "id", "source", "cluster"], ascending=[False, True, True, True], kind="stable")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +21,14 @@ from .common import table, text_of, written
 
 SLOT_BITS = 18  # frequencies add up to 2**SLOT_BITS
 LOW = np.uint64(1 << 31)
-LANES, BLOCK_TOKENS, CHECKPOINT_STEPS = 512, 1 << 17, 128
-FILE_TOKENS = 1 << 19
+LANES, BLOCK_TOKENS, CHECKPOINT_STEPS = 2048, 1 << 19, 128
+FILE_TOKENS = 1 << 20
 MAGIC = b"RNS1"
 HEAD = struct.Struct("<4sQII")  # magic, first token, documents, blocks
 BLOCK = struct.Struct("<IIIII")  # tokens, words, checkpoints, crc32 of the ids, crc32 of the coded bytes
 END_ID = 0
-CACHE_PIECES = 300_000
-PIECE = re.compile(r"[ \n]?[^ \n]+")
+CACHE_PIECES = 700_000
+FINE, COARSE = re.compile(r"\n| ?[.,]+| ?[^ \n.,]+"), re.compile(r"\n| ?[^ \n]+")
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -132,43 +133,85 @@ def read_file(coder: Coder, raw: bytes) -> list[tuple[int | None, int, np.ndarra
     return out
 
 
+class _Index(dict):
+    """piece -> its number, in order of first sight."""
+
+    def __missing__(self, piece):
+        self[piece] = n = len(self)
+        return n
+
+
 class Pieces:
-    """Ids of texts, tokenised by distinct pieces: a byte-level BPE with this pre-tokeniser never joins what a single blank
-    or line end before a non-blank separates, so a text's ids are its pieces' ids in order. Texts where a piece begins with
-    another kind or a run of blanks are tokenised whole."""
+    """Ids of texts, tokenised by distinct pieces: this byte-level BPE's pre-tokeniser never joins what a blank before a
+    non-blank, a line end, or a full stop or comma beside a letter or digit separates, so a text's ids are its pieces' ids
+    in order. New pieces are tokenised as one text and told apart by the bytes their ids stand for. Texts with stops or commas
+    beside other signs are split at blanks only, and those with other runs or kinds of blanks are tokenised whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        names = self.tok.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+        for token, i in names.items():
+            self.bytes_of[i] = len(token)  # a character of the byte alphabet a byte
         self._forget()
 
     def _forget(self):
-        self.seen: dict[str, int] = {}
+        self.seen = _Index()
+        self.odd, self.dots, self.bare, self.open, self.shut = (np.zeros(0, bool) for _ in range(5))
         self.flat, self.stop = np.zeros(0, np.uint16), np.zeros(1, np.int64)
 
+    def _learn(self, new: list[str], first: int) -> None:
+        odd = np.array([p != "\n" and p.split() != [p[p[0] == " " :]] or "<|" in p for p in new])
+        dots = np.array([p.strip(" .,") == "" for p in new])
+        opens = np.array([not (p[0].isalnum() or p[0] in " \n") for p in new]) & ~dots
+        shuts = np.array([not (p[-1].isalnum() or p == "\n") for p in new]) & ~dots
+        bare = dots & np.array([p[0] != " " for p in new])
+        for name, x in (("odd", odd), ("dots", dots), ("bare", bare), ("open", opens), ("shut", shuts)):
+            setattr(self, name, np.concatenate([getattr(self, name), x]))
+        parts = ["\n?" if o else p if p[0] in " \n" else "\n" + p for p, o in zip(new, odd.tolist())]
+        ids = np.array(self.tok.encode("".join(parts), add_special_tokens=False).ids, np.int64)
+        ends = np.cumsum(self.bytes_of[ids])  # where each id ends, in bytes
+        cut = np.searchsorted(ends, np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in parts])) + 1
+        lo = np.r_[0, cut[:-1]] + np.array([p[0] == "\n" and len(p) > 1 for p in parts])  # the line end put before a bare piece
+        n = cut - lo
+        at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+        self.flat = np.concatenate([self.flat, ids[at].astype(np.uint16)])
+        self.stop = np.r_[self.stop, self.stop[-1] + np.cumsum(n)]
+
+    def _numbers(self, split: list[list[str]]) -> np.ndarray:
+        seen, first = self.seen, len(self.seen)
+        where = np.fromiter(map(seen.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        if len(seen) > first:
+            self._learn(list(islice(seen, first, None)), first)
+        return where
+
+    def _gather(self, where: np.ndarray, split: list[list[str]]) -> list[np.ndarray]:
+        lo, n = self.stop[where], self.stop[where + 1] - self.stop[where]
+        ends = np.cumsum(n)
+        flat = self.flat[np.arange(n.sum()) + np.repeat(lo - (ends - n), n)]
+        cut = np.r_[0, ends][np.cumsum([0, *map(len, split)])].tolist()
+        return [flat[a:b] for a, b in zip(cut, cut[1:])]
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.seen) > CACHE_PIECES:
             self._forget()
-        split = [PIECE.findall(t) for t in texts]
-        seen, first = self.seen, len(self.seen)
-        where = [[seen.setdefault(p, len(seen)) for p in ps] for ps in split]
-        if len(seen) > first:
-            new = list(seen)[first:]
-            got = [e.ids for e in self.tok.encode_batch(new, add_special_tokens=False)]
-            self.flat = np.concatenate([self.flat, np.fromiter((i for g in got for i in g), np.uint16)])
-            self.stop = np.r_[self.stop, self.stop[-1] + np.cumsum([len(g) for g in got])]
-            odd = {first + k for k, p in enumerate(new) if p[:1] in " \n" and p[1:2].isspace() or "<|" in p}
-            self.odd = (self.odd if first else set()) | odd
-        out = []
-        for t, ps, w in zip(texts, split, where):
-            if sum(map(len, ps)) != len(t) or self.odd and not self.odd.isdisjoint(w):
-                out.append(np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint16))
-                continue
-            w = np.array(w, np.int64)
-            lo, n = self.stop[w], self.stop[w + 1] - self.stop[w]
-            at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
-            out.append(self.flat[at])
+        whole = {k for k, t in enumerate(texts) if t[-1:] == " " or "  " in t or " \n" in t or "\n\n\n" in t or "\n\n " in t or t[-2:] == "\n\n"}
+        split = [[] if k in whole else FINE.findall(t) for k, t in enumerate(texts)]
+        where = self._numbers(split)
+        out = self._gather(where, split)
+        strange = self.bare[where[1:]] & self.shut[where[:-1]] | self.dots[where[:-1]] & self.open[where[1:]]
+        doc = np.repeat(np.arange(len(split)), [len(x) for x in split])
+        again = np.unique(doc[1:][strange]).tolist()
+        coarse = [COARSE.findall(texts[k]) for k in again]
+        other = self._numbers(coarse)
+        for k, x in zip(again, self._gather(other, coarse)):
+            out[k] = x
+        whole |= set(doc[self.odd[where]].tolist())
+        whole |= set(np.repeat(np.array(again, np.int64), [len(x) for x in coarse])[self.odd[other]].tolist())
+        for k in whole:
+            out[k] = np.array(self.tok.encode(texts[k], add_special_tokens=False).ids, np.uint16)
         return out
 
 
