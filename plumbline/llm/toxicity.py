@@ -19,8 +19,9 @@ WINDOW, STRIDE = 48, 32
 BUCKETS = 1 << 15
 DIM, HIDDEN, ATTEND = 12, 8, 8
 #: At most so many labelled texts of each class are learnt from, those with the least hash of their id.
-SAMPLE_PER_CLASS = 2000
-EPOCHS, BATCH = 6, 48
+SAMPLE_PER_CLASS = 3000
+#: Updates of a training, the first of which look at random windows, and texts of one update.
+UPDATES, WARM_UP, BATCH = 600, 60, 48
 #: Words whose inputs a worker remembers, and words scored at a time: they bound its memory.
 CACHE_WORDS, CHUNK_WORDS = 150_000, 150_000
 
@@ -171,13 +172,15 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> BiGru:
     m, v = ({k: np.zeros_like(w) for k, w in net.p.items()} for _ in range(2))
     acc_w, acc_g = (np.full((BUCKETS, 1), 1e-3, np.float32) for _ in range(2))
     steps, rate = 0, 0.01
-    for epoch in range(EPOCHS):
+    while steps < UPDATES:
         order = g.permutation(len(docs))
         for lo in range(0, len(order), BATCH):
             batch = [int(i) for i in order[lo : lo + BATCH]]
             flat = np.concatenate([docs[i] for i in batch])
-            if not len(flat):
+            if not len(flat) or steps >= UPDATES:
+                steps += 1  # a batch of empty texts has no gradient
                 continue
+            warm = steps < WARM_UP
             uniq, ids = np.unique(flat, return_inverse=True)
             begin = np.cumsum(np.r_[0, count[uniq][:-1]])
             pick = np.arange(count[uniq].sum()) + np.repeat(start[uniq] - begin, count[uniq])
@@ -188,13 +191,13 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> BiGru:
                 wins += [(at + s, min(WINDOW, len(docs[i])), k) for s in windows_of(len(docs[i]))]
                 at += len(docs[i])
             text_of_win = np.array([w[2] for w in wins])
-            if epoch == 0:  # which windows matter is not known yet
+            if warm:  # which windows matter is not known yet
                 rank = g.random(len(wins))
             else:
                 rank = np.concatenate([net.forward(proj[i], k) for i, k in (_stack(wins[s : s + 2048], ids) for s in range(0, len(wins), 2048))])
             by = np.lexsort((-rank, text_of_win))
             place = np.arange(len(by)) - np.searchsorted(text_of_win[by], text_of_win[by])
-            chosen = np.sort(by[place < (3 if epoch == 0 else 1)])
+            chosen = np.sort(by[place < (3 if warm else 1)])
             idx, mask = _stack([wins[c] for c in chosen], ids)
             logit, saved = net.forward(proj[idx], mask, keep=True)
             d = (_sigmoid(logit) - y[[batch[k] for k in text_of_win[chosen]]]).astype(np.float32) / len(chosen)
