@@ -179,7 +179,8 @@ def u2_series_stack(spark, d):
 
 @add("a22_run_report", sql("""SELECT (SELECT count(*) FROM obs) AS n_observations, (SELECT CAST(min(period) AS VARCHAR) FROM obs) AS base_period, (SELECT count(*) FROM flagged) AS n_relatives,
   (SELECT count(*) FROM flagged WHERE abs(z) > 3.5) AS n_outliers, (SELECT count(*) FROM filled WHERE imputed) AS n_imputed, (SELECT count(*) FROM panel) AS n_panel_rows, (SELECT count(*) FROM panel WHERE suppressed) AS n_suppressed,
-  (SELECT count(*) FROM series) AS n_index_values, '' AS warnings""", *RUN, STACK))
+  (SELECT count(*) FROM series) AS n_index_values, concat_ws(',', CASE WHEN (SELECT count(*) FROM comp) = 0 THEN 'all_suppressed' END,
+  CASE WHEN (SELECT count(*) FROM comp) > 0 AND (SELECT count(*) FROM smooth) = 0 THEN 'no_complete_week' END) AS warnings""", *RUN, STACK))
 def a22_run_report(spark, d):
     r = run_of(spark, d).report(routes(spark, d))
     return r.select("n_observations", "base_period", "n_relatives", "n_outliers", "n_imputed", "n_panel_rows", "n_suppressed", "n_index_values", "warnings")

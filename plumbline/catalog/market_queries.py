@@ -277,7 +277,7 @@ def j6_fuel_bands(spark, d):
     return normalise.in_band(li, bands).groupBy("l_linenumber").agg(F.count("*").alias("n"), F.count("carrier_charges").alias("in_band"), F.sum("carrier_charges").alias("charges"))
 
 
-@add("j7_j8_j9_f3_quotes", sql("""SELECT w.origin, w.destination, CAST(w.level1 AS DOUBLE) AS base_fare, CAST(udf AS DOUBLE) AS udf, gst, CAST(w.level1 AS DOUBLE) + udf + 406 + 549 + gst AS total_fare FROM
+@add("j7_j8_j9_f3_quotes", sql("""SELECT w.origin, w.destination, CAST(w.level1 AS DOUBLE) AS base_fare, CAST(udf AS DOUBLE) AS udf, CAST(gst AS DOUBLE) AS gst, CAST(w.level1 + udf + 406 + 549 + gst AS DOUBLE) AS total_fare FROM
   (SELECT *, round((level1 + udf + 406) * 0.05, 2) AS gst FROM (SELECT x.*, (CASE WHEN o.n_nationkey % 3 = 0 THEN 152 ELSE 0 END + CASE WHEN e.n_nationkey % 5 = 0 THEN 75 ELSE 0 END) AS udf FROM
     (SELECT origin, destination, level1 FROM filed WHERE line_no > doc_id UNION ALL SELECT destination, origin, level1 FROM filed WHERE line_no > doc_id) x JOIN nation o ON o.n_name = x.origin JOIN nation e ON e.n_name = x.destination)) w""", TARIFF))
 def j7_j8_j9_f3_quotes(spark, d):
