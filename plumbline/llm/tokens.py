@@ -27,7 +27,8 @@ MAGIC = b"RNS1"
 HEAD = struct.Struct("<4sQII")  # magic, first token, documents, blocks
 BLOCK = struct.Struct("<IIIII")  # tokens, words, checkpoints, crc32 of the ids, crc32 of the coded bytes
 END_ID = 0
-CACHE_PIECES = 700_000
+CACHE_PIECES = 1_200_000
+_of_worker: dict[str, Pieces] = {}
 FINE, COARSE = re.compile(r"\n| ?[.,]+| ?[^ \n.,]+"), re.compile(r"\n| ?[^ \n]+")
 
 
@@ -215,6 +216,13 @@ class Pieces:
         return out
 
 
+def pieces_of_worker(path: str) -> Pieces:
+    """One cache for all tasks that a Python worker runs; a new worker starts with an empty one."""
+    if path not in _of_worker:
+        _of_worker[path] = Pieces(path)
+    return _of_worker[path]
+
+
 def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(part, doc, local, n, ids): ids as little-endian 16-bit numbers with END_ID appended, by ascending doc (nulls first).
 
@@ -224,7 +232,7 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         from pyspark import TaskContext
 
-        part, pieces, local = TaskContext.get().partitionId(), Pieces(path), 0
+        part, pieces, local = TaskContext.get().partitionId(), pieces_of_worker(path), 0
         for b in batches:
             lo = 0
             while lo < b.num_rows:

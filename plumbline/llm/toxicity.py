@@ -18,6 +18,7 @@ from .common import WORD_BYTES, table, text_of
 WINDOW, STRIDE = 48, 32
 BUCKETS = 1 << 15
 DIM, HIDDEN, ATTEND = 12, 8, 8
+PART_WORDS = 32_768
 #: At most so many labelled texts of each class are learnt from, those with the least hash of their id.
 SAMPLE_PER_CLASS = 3000
 #: Updates of a training, the first of which look at random windows, and texts of one update.
@@ -32,6 +33,10 @@ def words_of(text: str) -> list[bytes]:
 
 def buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word bucket per word, n-gram buckets of all words one after another, where each word's n-grams start)."""
+    if len(words) > PART_WORDS:  # the byte arrays below are many times the size of what is returned
+        parts = [buckets(words[i : i + PART_WORDS]) for i in range(0, len(words), PART_WORDS)]
+        before = np.cumsum([0, *(len(p[1]) for p in parts[:-1])])
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] + n for p, n in zip(parts, before)])
     raw = np.frombuffer(b"^" + b"$^".join(words) + b"$", np.uint8).astype(np.uint32)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 2
     stop = np.cumsum(size)
@@ -48,7 +53,7 @@ def buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         weight = (left.astype(np.uint32) * np.uint32(0x85EBCA6B)) ^ np.uint32(0x27D4EB2F)
         whole = np.add.reduceat(raw * weight, stop - size, dtype=np.uint32)
     shift = np.uint32(17)
-    return (whole * b >> shift).astype(np.int64), (h[order] >> shift).astype(np.int64), np.searchsorted(owner, np.arange(len(words)))
+    return (whole * b >> shift).astype(np.int32), (h[order] >> shift).astype(np.int32), np.searchsorted(owner, np.arange(len(words)))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
