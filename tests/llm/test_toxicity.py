@@ -20,7 +20,8 @@ def corpus(n, seed):
     return rows
 
 
-def test_held_out_accuracy_and_leaks(spark):
+def test_held_out_accuracy_and_leaks(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "UPDATES", 250)
     rows = corpus(600, 1) + [(900, "", 0), (901, None, 0)]
     docs = spark.createDataFrame([(i, t, "en", 3.0) for i, t, _ in rows], "doc_id long, text string, score string, toxic double")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 900] + [(None, 1), (5, None)], "doc_id long, toxic int")
