@@ -259,8 +259,9 @@ def encode(tokens: DataFrame, vocabulary: int) -> tuple[DataFrame, Coder]:
     def count(batches):
         total = np.zeros(vocabulary, np.int64)
         for b in batches:
-            for x in b.column(0):
-                total += np.bincount(np.frombuffer(x.as_py(), "<u2"), minlength=vocabulary)
+            ids = np.frombuffer(b"".join(b.column(0).to_pylist()), "<u2")
+            for at in range(0, len(ids), 1 << 22):
+                total += np.bincount(ids[at : at + (1 << 22)], minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
