@@ -3,7 +3,8 @@
 Every document keeps the minimisers of its word k-mers: the least hash of each WINDOW consecutive k-mers, so an exact run
 of K + WINDOW - 1 words always shares a seed. The reference of a k-mer is its occurrence in the least document id; each
 other occurrence is matched with that one only, so a passage in n documents gives n - 1 matches a seed, not n squared.
-Matches of a pair of documents are chained where both positions rise; a chain is then aligned word by word.
+Matches of a pair of documents are chained where both positions rise; a chain is then aligned word by word along its
+matches and split where too many words in a row differ.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from .simhash import splitmix
 K, WINDOW = 5, 11
 SEED_SCORE, GAP_COST = 5.0, 0.1  # a seed, and each word skipped in either document
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
+REACH = 12  # words that an alignment may skip on a side; wider gaps split it
 MARGIN = 32  # words around a chain into which its alignment may extend
 POS_BITS = 24  # words of a document in one number with its id
 BLANK = r"[\x20\x09-\x0D]+"
@@ -178,18 +180,18 @@ def chain(x: list[int], y: list[int]) -> list[list[int]]:
 
 
 def chains(found: DataFrame, least_span: int) -> DataFrame:
-    """(doc, ref, x0, x1, y0, y1): half-open word ranges of the chains that span least_span words of doc.
+    """(doc, ref, x0, x1, y0, y1, xs, ys): half-open word ranges and matches of the chains that span least_span words of doc.
 
     A pair of documents has at most as many matches as one of them has seeds: that bounds what a task holds.
     """
-    kind = "doc long, ref long, x0 int, x1 int, y0 int, y1 int"
+    kind = "doc long, ref long, x0 int, x1 int, y0 int, y1 int, xs array<int>, ys array<int>"
 
     def pair(doc, ref, x, y):
         order = np.lexsort((-y, x))
         xs, ys = x[order].tolist(), y[order].tolist()
         for p in chain(xs, ys):
             if len(p) > 1 and xs[p[-1]] + K - xs[p[0]] >= least_span:
-                yield doc, ref, xs[p[0]], xs[p[-1]] + K, ys[p[0]], ys[p[-1]] + K
+                yield doc, ref, xs[p[0]], xs[p[-1]] + K, ys[p[0]], ys[p[-1]] + K, [xs[i] for i in p], [ys[i] for i in p]
 
     def run(batches):
         held: list[tuple] = []
@@ -206,9 +208,9 @@ def chains(found: DataFrame, least_span: int) -> DataFrame:
             stop = np.r_[new[1:], cut]
             wide = (np.maximum.reduceat(x, new) + K - np.minimum.reduceat(x, new) >= least_span) & (stop - new > 1)
             rows = [r for a, b in zip(new[wide].tolist(), stop[wide].tolist()) for r in pair(int(doc[a]), int(ref[a]), x[a:b], y[a:b])]
-            return [pa.RecordBatch.from_pylist([dict(zip(("doc", "ref", "x0", "x1", "y0", "y1"), r)) for r in rows], schema)] if rows else []
+            return [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)] if rows else []
 
-        schema = pa.schema([("doc", pa.int64()), ("ref", pa.int64()), *[(c, pa.int32()) for c in ("x0", "x1", "y0", "y1")]])
+        schema = pa.schema([("doc", pa.int64()), ("ref", pa.int64()), *[(c, pa.int32()) for c in ("x0", "x1", "y0", "y1")], *[(c, pa.list_(pa.int32())) for c in ("xs", "ys")]])
         for b in batches:
             if b.num_rows:
                 held.append(tuple(b.column(c).to_numpy(zero_copy_only=False) for c in range(4)))
@@ -221,22 +223,23 @@ def chains(found: DataFrame, least_span: int) -> DataFrame:
     return found.repartition(parts, "doc", "ref").sortWithinPartitions("doc", "ref").mapInArrow(run, kind)
 
 
-def walk(a: list, b: list, reach: int = 12, agree: int = 2) -> tuple[int, int, int]:
-    """Follows a and b from their starts: (words of a, words of b, equal words) up to the last equal word.
+def walk(a: list, b: list, reach: int = REACH, agree: int = 2) -> list[tuple[int, int, int]]:
+    """Follows a and b from their starts: runs (word of a, word of b, equal words), in order.
 
     At a difference the nearest pair of offsets up to `reach` after which `agree` words are equal is taken.
     """
-    i = j = same = 0
-    end = (0, 0, 0)
+    i = j = 0
     n, m = len(a), len(b)
+    runs = []
     while True:
+        start = i
         while i < n and j < m and a[i] == b[j]:
             i += 1
             j += 1
-            same += 1
-        end = (i, j, same) if same > end[2] else end
+        if i > start:
+            runs.append((start, j - (i - start), i - start))
         if i >= n or j >= m:
-            return end
+            return runs
         for total in range(1, 2 * reach):
             for da in sorted(range(max(0, total - reach), min(total, reach) + 1), key=lambda d: abs(2 * d - total)):
                 p, q = i + da, j + total - da
@@ -246,16 +249,81 @@ def walk(a: list, b: list, reach: int = 12, agree: int = 2) -> tuple[int, int, i
                 continue
             break
         else:
-            return end
+            return runs
         i, j = p, q
 
 
-def align(a: list, b: list, core_a: tuple[int, int], core_b: tuple[int, int]) -> tuple[int, int, int, int, int]:
-    """Half-open ranges of a and b that the alignment of the two cores covers, and the number of equal words."""
-    x, y = core_a[0], core_b[0]
-    la, lb, left = walk(a[:x][::-1], b[:y][::-1])
-    ra, rb, right = walk(a[x:], b[y:])
-    return x - la, x + ra, y - lb, y + rb, left + right
+def align(a: list, b: list, xs: list[int], ys: list[int]) -> list[tuple[int, int, int]]:
+    """Runs (word of a, word of b, equal words) along the seeds, in order; walks fill what lies between and around them."""
+    runs: list[tuple[int, int, int]] = []
+    i = j = 0
+    for x, y in zip(xs, ys):
+        over = max(i - x, j - y, 0)  # words of the seed that lie behind what is aligned
+        x, y, left = x + over, y + over, K - over
+        if left < 1 or len(a) < x + left or a[x : x + left] != b[y : y + left]:
+            continue
+        if runs:
+            ahead = walk(a[i:x], b[j:y])
+            runs += [(i + p, j + q, n) for p, q, n in ahead]
+            if ahead:
+                i, j = runs[-1][0] + runs[-1][2], runs[-1][1] + runs[-1][2]
+        runs += [(x - p - n, y - q - n, n) for p, q, n in reversed(walk(a[i:x][::-1], b[j:y][::-1]))]
+        n = left
+        while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n]:
+            n += 1
+        runs.append((x, y, n))
+        i, j = x + n, y + n
+    return runs + [(i + p, j + q, n) for p, q, n in walk(a[i:], b[j:])] if runs else runs
+
+
+def parts(runs: list[tuple[int, int, int]], min_words: int, min_identity: float) -> list[tuple[int, int, int, int, int]]:
+    """(x0, x1, y0, y1, equal words) of the passages in the runs of an alignment.
+
+    The runs are split at gaps of more than REACH words; neighbours that hold no passage alone are tried together. Where
+    a stretch is below min_identity, its longest part that is not is taken, then what lies on both sides.
+    """
+    if not runs:
+        return []
+    x, y, n = np.array(runs, np.int64).T
+    ex, ey, done = x + n, y + n, np.r_[0, np.cumsum(n)]
+    gap = np.maximum(x[1:] - ex[:-1], y[1:] - ey[:-1])
+
+    def held(lo: int, hi: int) -> list:
+        todo, out = [(lo, hi)], []
+        while todo:
+            lo, hi = todo.pop()
+            if hi <= lo or ex[hi - 1] - x[lo] < min_words:
+                continue
+            size = max(ex[hi - 1] - x[lo], ey[hi - 1] - y[lo])
+            if (done[hi] - done[lo]) / size >= min_identity:
+                out.append((int(x[lo]), int(ex[hi - 1]), int(y[lo]), int(ey[hi - 1]), int(done[hi] - done[lo])))
+            elif hi - lo > 1024:  # the table below is square in the runs
+                widest = np.flatnonzero(gap[lo : hi - 1] == gap[lo : hi - 1].max())
+                k = lo + 1 + int(widest[len(widest) // 2])
+                todo += [(lo, k), (k, hi)]
+            else:
+                wide, high = ex[None, lo:hi] - x[lo:hi, None], ey[None, lo:hi] - y[lo:hi, None]
+                same = done[None, lo + 1 : hi + 1] - done[lo:hi, None]
+                good = (wide >= min_words) & (same >= min_identity * np.maximum(wide, high))
+                if good.any():
+                    f, t = np.unravel_index(int(np.where(good, wide, -1).argmax()), good.shape)
+                    f, t = lo + int(f), lo + int(t) + 1
+                    out.append((int(x[f]), int(ex[t - 1]), int(y[f]), int(ey[t - 1]), int(done[t] - done[f])))
+                    todo += [(lo, f), (t, hi)]
+        return out
+
+    edges = [0, *(np.flatnonzero(gap > REACH) + 1).tolist(), len(runs)]
+    out, waiting = [], []
+    for lo, hi in [*zip(edges, edges[1:]), (len(runs), len(runs))]:
+        here = held(lo, hi)
+        if not here and lo < hi:
+            waiting.append((lo, hi))
+            continue
+        if len(waiting) > 1:
+            out += held(waiting[0][0], waiting[-1][1])
+        waiting = []
+        out += here
+    return out
 
 
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
@@ -271,24 +339,24 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     found = written(chains(matches(src), max(2 * K, min_words - 2 * WINDOW)), "chains")
     key = ["doc", "ref", "x0", "y0"]
     sides = [
-        found.select(*key, F.col(doc).alias("id"), F.lit(side).alias("side"), F.greatest(F.col(f"{p}0") - MARGIN, F.lit(0)).alias("lo"), (F.col(f"{p}1") + MARGIN).alias("hi"), F.col(f"{p}0").alias("a"), F.col(f"{p}1").alias("b"))
+        found.select(*key, F.col(doc).alias("id"), F.lit(side).alias("side"), F.greatest(F.col(f"{p}0") - MARGIN, F.lit(0)).alias("lo"), (F.col(f"{p}1") + MARGIN).alias("hi"), *[F.when(F.lit(side == 0), F.col(c)).alias(c) for c in ("xs", "ys")])
         for side, doc, p in ((0, "doc", "x"), (1, "ref", "y"))
     ]
     words = F.split(F.regexp_replace("text", f"^{BLANK}", ""), BLANK)
     # the spans grow with the corpus, so they are never broadcast
-    cut = sides[0].unionByName(sides[1]).hint("merge").join(src, "id").select(*key, "side", "lo", "a", "b", F.array_join(F.slice(words, F.col("lo") + 1, F.col("hi") - F.col("lo")), " ").alias("part"))
-    halves = [cut.filter(F.col("side") == s).select(*key, *[F.col(c).alias(f"{c}{s}") for c in ("lo", "a", "b", "part")]) for s in (0, 1)]
+    cut = sides[0].unionByName(sides[1]).hint("merge").join(src, "id").select(*key, "side", "lo", "xs", "ys", F.array_join(F.slice(words, F.col("lo") + 1, F.col("hi") - F.col("lo")), " ").alias("part"))
+    halves = [cut.filter(F.col("side") == s).select(*key, *[F.col(c).alias(f"{c}{s}") for c in (("lo", "part"), ("lo", "part", "xs", "ys"))[s == 0]]) for s in (0, 1)]
 
-    @F.arrow_udf("struct<x0:int,x1:int,y0:int,y1:int,same:int>")
-    def aligned(pa0, lo0, a0, b0, pa1, lo1, a1, b1):
+    @F.arrow_udf("array<struct<x0:int,x1:int,y0:int,y1:int,same:int>>")
+    def aligned(pa0, lo0, pa1, lo1, xs0, ys0):
         out = []
-        for ta, la, xa, xb, tb, lb, ya, yb in zip(*(c.to_pylist() for c in (pa0, lo0, a0, b0, pa1, lo1, a1, b1))):
+        for ta, la, tb, lb, xs, ys in zip(*(c.to_pylist() for c in (pa0, lo0, pa1, lo1, xs0, ys0))):
             a, b = (t.encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split() for t in (ta, tb))
-            x0, x1, y0, y1, same = align(a, b, (xa - la, xb - la), (ya - lb, yb - lb))
-            out.append({"x0": x0 + la, "x1": x1 + la, "y0": y0 + lb, "y1": y1 + lb, "same": same})
-        return pa.array(out, pa.struct([(c, pa.int32()) for c in ("x0", "x1", "y0", "y1", "same")]))
+            runs = align(a, b, [x - la for x in xs], [y - lb for y in ys])
+            out.append([{"x0": x0 + la, "x1": x1 + la, "y0": y0 + lb, "y1": y1 + lb, "same": same} for x0, x1, y0, y1, same in parts(runs, min_words, min_identity)])
+        return pa.array(out, pa.list_(pa.struct([(c, pa.int32()) for c in ("x0", "x1", "y0", "y1", "same")])))
 
-    both = halves[0].join(halves[1], key).select("doc", "ref", aligned.asNondeterministic()("part0", "lo0", "a0", "b0", "part1", "lo1", "a1", "b1").alias("r"))
+    both = halves[0].join(halves[1], key).select("doc", "ref", F.explode(aligned.asNondeterministic()("part0", "lo0", "part1", "lo1", "xs0", "ys0")).alias("r"))
     n = F.col("r.x1") - F.col("r.x0")
     out = (
         both.select(

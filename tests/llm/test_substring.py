@@ -85,3 +85,24 @@ def test_any_ids(spark):
     rows = [(-(2**62), p), (-5, " ".join(words(r, 70))), (2**62, p + " tail"), (2**63 - 1, p)]
     got = substring.passages(frame(spark, rows)).collect()
     assert sorted((x.doc_id, x.src_doc_id, x.n_words) for x in got) == [(2**62, -(2**62), 70), (2**63 - 1, -(2**62), 70)]
+
+
+def test_insertions_do_not_end_a_passage(spark):
+    r = random.Random(12)
+    rows, want = [], set()
+    for k, n in enumerate((13, 20, 50, 100, 200)):
+        s, p, whole = words(r, 30), words(r, 60), words(r, 1000)
+        rows += [(4 * k, s + p), (4 * k + 1, s + words(r, n) + p), (4 * k + 2, whole), (4 * k + 3, whole[:100] + words(r, n) + whole[100:])]
+        want |= {(4 * k + 1, 30 + n, 90 + n, 30, 90), (4 * k + 3, 0, 100, 0, 100), (4 * k + 3, 100 + n, 1000 + n, 100, 1000)}
+    got = substring.passages(frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()
+    assert {(x.doc_id, x.start, x.stop, x.src_start, x.src_stop) for x in got} == want
+
+
+def test_short_parts_around_a_gap_are_one_passage_and_bad_stretches_go():
+    r = random.Random(13)
+    s, p = words(r, 40), words(r, 40)
+    a, b = s + words(r, 15) + p, s + p
+    assert substring.parts(substring.align(a, b, [2, 60], [2, 45]), 50, 0.8) == [(0, 95, 0, 80, 80)]
+    runs = [(0, 0, 60), *[(60 + k, 60 + k, 1) for k in range(1, 120, 2)]]
+    (x0, x1, _, _, same), *rest = substring.parts(runs, 50, 0.8)
+    assert (x0, rest) == (0, []) and x1 >= 60 and same / x1 >= 0.8
