@@ -1,8 +1,10 @@
 """Substring dedup by collinear chaining: shared word k-mers seed it, a Fenwick tree chains them, alignment confirms.
 
 Every document keeps the minimisers of its word k-mers: the least hash of each WINDOW consecutive k-mers, so an exact run
-of K + WINDOW - 1 words always shares a seed. The reference of a k-mer is its occurrence in the least document id; each
-other occurrence is matched with that one only, so a passage in n documents gives n - 1 matches a seed, not n squared.
+of K + WINDOW - 1 words always shares a seed. Each occurrence of a k-mer is matched with the one in the least document id and
+with the last ones in the BEFORE documents before its own, so a passage in n documents gives at most (1 + BEFORE) * (n - 1)
+matches a seed, not n squared. Chains without a match of the first kind are aligned only where those with one leave words
+uncovered.
 Matches of a pair of documents are chained where both positions rise; a chain is then aligned word by word along its
 matches and split where too many words in a row differ.
 """
@@ -20,6 +22,7 @@ from .simhash import splitmix
 K, WINDOW = 5, 11
 SEED_SCORE, GAP_COST = 5.0, 0.1  # a seed, and each word skipped in either document
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
+BEFORE = 2  # documents before its own, among those with the k-mer, that an occurrence is matched with
 REACH = 12  # words that an alignment may skip on a side; wider gaps split it
 MARGIN = 32  # words around a chain into which its alignment may extend
 POS_BITS = 24  # words of a document in one number with its id
@@ -112,15 +115,43 @@ def seeds(docs: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """(doc, ref, x, y): word x of doc and word y of ref begin the same k-mer, ref being the least id that has it."""
-    found = seeds(docs)
-    refs = found.groupBy("h").agg(F.min("at").alias("ref_at"), F.max("at").alias("top")).filter(F.expr(f"shiftright(ref_at, {POS_BITS}) <> shiftright(top, {POS_BITS})"))
-    refs = written(refs.select("h", "ref_at"), "references")  # a plain table on that side lets Spark split a hot k-mer's rows
-    return (
-        found.join(refs, "h")
-        .select(F.shiftright("at", POS_BITS).alias("doc"), F.shiftright("ref_at", POS_BITS).alias("ref"), *[F.col(c).bitwiseAND(2**POS_BITS - 1).cast("int").alias(n) for c, n in (("at", "x"), ("ref_at", "y"))])
-        .filter("doc <> ref")
-    )
+    """(doc, ref, x, y, least): word x of doc and word y of ref begin the same k-mer, ref being a lesser id.
+
+    least: ref is the least id that has the k-mer; other refs are the BEFORE last ids below doc that have it. The occurrences
+    of a k-mer pass through one task in order, which holds a batch and the BEFORE + 2 occurrences that later ones need.
+    """
+    schema = pa.schema([("doc", pa.int64()), ("ref", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("least", pa.bool_())])
+
+    def run(batches):
+        old_h, old_at = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            h, at = (np.r_[old, b.column(c).to_numpy(zero_copy_only=False)] for c, old in ((0, old_h), (1, old_at)))
+            doc, pos, rows = at >> POS_BITS, at & (2**POS_BITS - 1), np.arange(len(h))
+            fresh = np.r_[True, h[1:] != h[:-1]]
+            turn = fresh | np.r_[True, doc[1:] != doc[:-1]]
+            top = np.maximum.accumulate(np.where(fresh, rows, 0))  # first row of the k-mer
+            begin = np.flatnonzero(turn)
+            group = np.cumsum(turn) - 1  # (k-mer, document) of a row
+            new = rows >= len(old_h)
+            mine = rows[new & (doc != doc[top])]
+            pairs = [(mine, top[mine], True)]
+            for back in range(BEFORE):
+                g = group[mine] - back
+                last = begin[np.maximum(g, 0)] - 1  # last row of the document before
+                ok = (g >= 0) & (last > top[mine])
+                pairs.append((mine[ok], last[ok], False))
+            for one, other, least in pairs:
+                if len(one):
+                    yield pa.RecordBatch.from_arrays([pa.array(doc[one]), pa.array(doc[other]), pa.array(pos[one].astype(np.int32)), pa.array(pos[other].astype(np.int32)), pa.array(np.full(len(one), least))], schema=schema)
+            ends = np.r_[begin[1:], len(h)] - 1
+            keep = np.unique(np.r_[top[-1], ends[-BEFORE - 1 :]])
+            keep = keep[keep >= top[-1]]
+            old_h, old_at = h[keep], at[keep]
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return seeds(docs).repartition(parts, "h").sortWithinPartitions("h", "at").mapInArrow(run, "doc long, ref long, x int, y int, least boolean")
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -180,18 +211,19 @@ def chain(x: list[int], y: list[int]) -> list[list[int]]:
 
 
 def chains(found: DataFrame, least_span: int) -> DataFrame:
-    """(doc, ref, x0, x1, y0, y1, xs, ys): half-open word ranges and matches of the chains that span least_span words of doc.
+    """(doc, ref, x0, x1, y0, y1, xs, ys, least): half-open word ranges and matches of the chains that span least_span words
+    of doc, and whether one of the matches is with the least id that has its k-mer.
 
     A pair of documents has at most as many matches as one of them has seeds: that bounds what a task holds.
     """
-    kind = "doc long, ref long, x0 int, x1 int, y0 int, y1 int, xs array<int>, ys array<int>"
+    kind = "doc long, ref long, x0 int, x1 int, y0 int, y1 int, xs array<int>, ys array<int>, least boolean"
 
-    def pair(doc, ref, x, y):
+    def pair(doc, ref, x, y, least):
         order = np.lexsort((-y, x))
-        xs, ys = x[order].tolist(), y[order].tolist()
+        xs, ys, firsts = x[order].tolist(), y[order].tolist(), least[order].tolist()
         for p in chain(xs, ys):
             if len(p) > 1 and xs[p[-1]] + K - xs[p[0]] >= least_span:
-                yield doc, ref, xs[p[0]], xs[p[-1]] + K, ys[p[0]], ys[p[-1]] + K, [xs[i] for i in p], [ys[i] for i in p]
+                yield doc, ref, xs[p[0]], xs[p[-1]] + K, ys[p[0]], ys[p[-1]] + K, [xs[i] for i in p], [ys[i] for i in p], any(firsts[i] for i in p)
 
     def run(batches):
         held: list[tuple] = []
@@ -201,19 +233,19 @@ def chains(found: DataFrame, least_span: int) -> DataFrame:
             new = np.flatnonzero(np.r_[True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])])
             cut = len(cols[0]) if last else int(new[-1])
             held[:] = [tuple(c[cut:] for c in cols)]
-            doc, ref, x, y = (c[:cut] for c in cols)
+            doc, ref, x, y, least = (c[:cut] for c in cols)
             if not cut:
                 return []
             new = new[new < cut]
             stop = np.r_[new[1:], cut]
             wide = (np.maximum.reduceat(x, new) + K - np.minimum.reduceat(x, new) >= least_span) & (stop - new > 1)
-            rows = [r for a, b in zip(new[wide].tolist(), stop[wide].tolist()) for r in pair(int(doc[a]), int(ref[a]), x[a:b], y[a:b])]
+            rows = [r for a, b in zip(new[wide].tolist(), stop[wide].tolist()) for r in pair(int(doc[a]), int(ref[a]), x[a:b], y[a:b], least[a:b])]
             return [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)] if rows else []
 
-        schema = pa.schema([("doc", pa.int64()), ("ref", pa.int64()), *[(c, pa.int32()) for c in ("x0", "x1", "y0", "y1")], *[(c, pa.list_(pa.int32())) for c in ("xs", "ys")]])
+        schema = pa.schema([("doc", pa.int64()), ("ref", pa.int64()), *[(c, pa.int32()) for c in ("x0", "x1", "y0", "y1")], *[(c, pa.list_(pa.int32())) for c in ("xs", "ys")], ("least", pa.bool_())])
         for b in batches:
             if b.num_rows:
-                held.append(tuple(b.column(c).to_numpy(zero_copy_only=False) for c in range(4)))
+                held.append(tuple(b.column(c).to_numpy(zero_copy_only=False) for c in range(5)))
                 if sum(len(h[0]) for h in held) >= 50_000:
                     yield from close(False)
         if held:
@@ -326,17 +358,8 @@ def parts(runs: list[tuple[int, int, int]], min_words: int, min_identity: float)
     return out
 
 
-def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
-    """(doc_id, start, stop, src_doc_id, src_start, src_stop, n_words, identity): fuzzy passages of at least min_words words.
-
-    Word ranges are half-open and count blank-separated words; identity is equal words over the longer of both ranges;
-    words are compared without regard to the case of A-Z. The source is always a lower id than the copy. Texts have at most
-    2**24 words. Rows with a null id and null or empty texts have no passages; an id
-    that repeats counts as one document; repeats inside one document are not reported. Extra columns are not read.
-    """
-    src = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text")).filter("id is not null")
-    src, ranks = numbered(src)
-    found = written(chains(matches(src), max(2 * K, min_words - 2 * WINDOW)), "chains")
+def confirmed(found: DataFrame, src: DataFrame, min_words: int, min_identity: float) -> DataFrame:
+    """The passages that the alignment of the chains `found` in src(id, text) gives."""
     key = ["doc", "ref", "x0", "y0"]
     sides = [
         found.select(*key, F.col(doc).alias("id"), F.lit(side).alias("side"), F.greatest(F.col(f"{p}0") - MARGIN, F.lit(0)).alias("lo"), (F.col(f"{p}1") + MARGIN).alias("hi"), *[F.when(F.lit(side == 0), F.col(c)).alias(c) for c in ("xs", "ys")])
@@ -358,7 +381,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
     both = halves[0].join(halves[1], key).select("doc", "ref", F.explode(aligned.asNondeterministic()("part0", "lo0", "part1", "lo1", "xs0", "ys0")).alias("r"))
     n = F.col("r.x1") - F.col("r.x0")
-    out = (
+    return (
         both.select(
             F.col("doc").alias("doc_id"), F.col("r.x0").alias("start"), F.col("r.x1").alias("stop"), F.col("ref").alias("src_doc_id"), F.col("r.y0").alias("src_start"), F.col("r.y1").alias("src_stop"),
             n.alias("n_words"), (F.col("r.same") / F.greatest(n, F.col("r.y1") - F.col("r.y0"))).alias("identity"),
@@ -366,6 +389,24 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
         .filter((F.col("n_words") >= min_words) & (F.col("identity") >= min_identity))
         .distinct()
     )
+
+
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
+    """(doc_id, start, stop, src_doc_id, src_start, src_stop, n_words, identity): fuzzy passages of at least min_words words.
+
+    Word ranges are half-open and count blank-separated words; identity is equal words over the longer of both ranges;
+    words are compared without regard to the case of A-Z. The source is always a lower id than the copy. Texts have at most
+    2**24 words. Rows with a null id and null or empty texts have no passages; an id
+    that repeats counts as one document; repeats inside one document are not reported. Extra columns are not read.
+    """
+    src = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text")).filter("id is not null")
+    src, ranks = numbered(src)
+    found = written(chains(matches(src), max(2 * K, min_words - 2 * WINDOW)), "chains")
+    first = written(confirmed(found.filter("least"), src, min_words, min_identity), "passages")
+    covered = first.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    inside = F.exists("spans", lambda s: (s["start"] <= F.col("x0")) & (s["stop"] >= F.col("x1")))
+    others = found.filter("not least").hint("merge").join(covered, "doc", "left").filter(F.coalesce(~inside, F.lit(True))).drop("spans")
+    out = first.unionByName(confirmed(others, src, min_words, min_identity)).distinct()
     if ranks is None:
         return out
     for c in ("doc_id", "src_doc_id"):

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from plumbline.llm import substring
 
 SCHEMA = "doc_id long, text string, doc long, ref long, h string"
@@ -106,3 +108,39 @@ def test_short_parts_around_a_gap_are_one_passage_and_bad_stretches_go():
     runs = [(0, 0, 60), *[(60 + k, 60 + k, 1) for k in range(1, 120, 2)]]
     (x0, x1, _, _, same), *rest = substring.parts(runs, 50, 0.8)
     assert (x0, rest) == (0, []) and x1 >= 60 and same / x1 >= 0.8
+
+
+def test_earlier_owners_of_single_words_do_not_hide_a_passage(spark):
+    r = random.Random(14)
+    p = words(r, 60)
+    rows = [(1, p[:30]), (2, p[30:]), (5, p), (6, p[:30] + words(r, 20)), (7, words(r, 20) + p[30:]), (9, words(r, 9) + p)]
+    q = words(r, 60)  # its source has parts of it once more, before and behind
+    rows += [(20, [w for k in range(0, 48, 12) for w in [*q[k : k + 8], *words(r, 6)]] + q + q[50:58]), (21, q)]
+    got = {(x.doc_id, x.src_doc_id): (x.start, x.stop, x.src_start, x.src_stop) for x in substring.passages(frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()}
+    brute = {(i, j) for i, a in rows for j, b in rows if j < i and any(" ".join(a[k : k + 50]) in " ".join(b) for k in range(len(a) - 49))}
+    assert set(got) == brute == {(9, 5), (21, 20)}
+    assert got[9, 5] == (9, 69, 0, 60)
+
+
+def test_matches_against_brute_force(spark):
+    r = random.Random(15)
+    rows = [(i, " ".join(r.choice("abc") for _ in range(r.randint(20, 60)))) for i in range(40)]
+    docs = frame(spark, rows).select(F.col("doc_id").alias("id"), "text")
+    by = {}
+    for s in substring.seeds(docs).collect():
+        by.setdefault(s.h, []).append(divmod(s.at, 1 << substring.POS_BITS))
+    want = []
+    for places in by.values():
+        places.sort()
+        ids = sorted({d for d, _ in places})
+        for d, x in places:
+            if d != ids[0]:
+                want.append((d, *places[0], x, True))
+                refs = [max(q for q in places if q[0] == e) for e in ids[: ids.index(d)][-substring.BEFORE :]]
+                want += [(d, *q, x, False) for q in refs if q != places[0]]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = [(m.doc, m.ref, m.y, m.x, m.least) for m in substring.matches(docs).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(got) == sorted(want)
