@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -31,10 +33,10 @@ TEMPLATES = [
     ("cc-by-nc-nd-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("cc0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
 ]
-CANDIDATE = r"(?i)licen[sc]|redistribut|hereby granted|public domain|copyright"
-#: Words of a block, and how far the next block of a long line moves on.
+CANDIDATE = r"(?i)licen[sc]|redistribut|hereby\W+granted|public\W+domain|copyright"
+#: Words of a block, and how far the next block moves on.
 BLOCK_WORDS, BLOCK_STEP = 48, 24
-MIN_REDUCTION, MIN_WORDING, CONFIRMED = 0.25, 0.8, 4
+MIN_REDUCTION, MIN_WORDING = 0.25, 0.8
 
 
 class Matcher:
@@ -43,6 +45,12 @@ class Matcher:
         self.plain = zstandard.ZstdCompressor(level=9)
         self.given = [zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, t in templates]
         self.words = [[w.lower() for w in t.split()] for _, t in templates]
+        self.counts = [Counter(w) for w in self.words]
+
+    def reduction(self, block: str, template: int) -> float:
+        """The share of the compressed bytes of block that the template saves."""
+        raw = block.encode("utf-8", "surrogatepass")
+        return 1 - len(self.given[template].compress(raw)) / len(self.plain.compress(raw))
 
     def reductions(self, block: str) -> list[tuple[float, int]]:
         """(share of the compressed bytes that each template saves, template), largest first."""
@@ -64,43 +72,73 @@ class Matcher:
                 diff += [f"-{w}" for w in want[a:b]] + [f"+{w}" for w in words[max(c, lo) : min(d, hi)]]
         return sum(o[2] - o[1] for o in same) / len(want), diff, lo, hi
 
-    def scan(self, text: str) -> list[dict]:
-        """The licences of a text: each with its line, words of that line, saving and wording differences."""
-        out = []
-        for n, line in enumerate(text.split("\n")):
-            if not re.search(CANDIDATE, line):
+    def occurrences(self, low: list[str], lo: int, hi: int):
+        """(template, start, stop, differences) of the wordings in words lo .. hi that hold MIN_WORDING of a template."""
+        have = Counter(low[lo:hi])
+        for i, want in enumerate(self.words):
+            if sum(min(n, have[w]) for w, n in self.counts[i].items()) < MIN_WORDING * len(want):
                 continue
-            words, best = line.split(), {}
-            for lo in range(0, max(1, len(words) - BLOCK_WORDS + BLOCK_STEP), BLOCK_STEP):
-                block = words[lo : lo + BLOCK_WORDS]
-                if not re.search(CANDIDATE, " ".join(block)):
+            todo = [(lo, hi)]
+            while todo:
+                f, t = todo.pop()
+                if t - f < MIN_WORDING * len(want):
                     continue
-                low = [w.lower() for w in block]
-                # notices are short: what is compressed is the wording around a candidate word
-                at = [i for i, w in enumerate(low) if re.search(CANDIDATE, w)] or [0]
-                near = " ".join(block[max(0, at[0] - 12) : at[-1] + 24])
-                found = []
-                for saved, i in self.reductions(near)[:CONFIRMED]:
-                    if saved >= MIN_REDUCTION:
-                        share, diff, a, b = self.wording(low, i)
-                        if share >= MIN_WORDING:
-                            found.append((len(diff), -len(self.words[i]), -saved, i, diff, a, b))
-                if found:
-                    _, _, saved, i, diff, a, b = min(found)
-                    entry = {"licence": self.templates[i][0], "line": n, "start": lo + a, "stop": lo + b, "reduction": round(-saved, 6), "differences": diff}
-                    key = (entry["start"], entry["stop"])
-                    if all(key[1] <= k[0] or k[1] <= key[0] or len(diff) < len(v["differences"]) for k, v in best.items()):
-                        best = {k: v for k, v in best.items() if key[1] <= k[0] or k[1] <= key[0]} | {key: entry}
-            out += [best[k] for k in sorted(best)]
-        return out
+                share, diff, a, b = self.wording(low[f:t], i)
+                if share < MIN_WORDING:
+                    continue
+                todo += [(f, f + a), (f + b, t)]
+                start, stop = f + a, f + b
+                if diff:  # the block may have cut it
+                    at = max(0, start - len(want))
+                    share, again, a, b = self.wording(low[at : stop + len(want)], i)
+                    if share >= MIN_WORDING and len(again) < len(diff):
+                        start, stop, diff = at + a, at + b, again
+                yield i, start, stop, diff
+
+    def scan(self, text: str) -> list[dict]:
+        """The licences of a text: each with its line, words counted from the start of that line, saving and differences."""
+        words, lines, firsts = [], [], []
+        for n, line in enumerate(text.split("\n")):
+            here = line.split()
+            firsts.append(len(words))
+            lines += [n] * len(here)
+            words += here
+        whole, begins, at = " ".join(words), [], 0
+        for w in words:
+            begins.append(at)
+            at += len(w) + 1
+        spans: list[list[int]] = []
+        for m in re.finditer(CANDIDATE, whole):
+            c = bisect_right(begins, m.start()) - 1
+            lo, hi = max(0, c - BLOCK_STEP), min(len(words), c + BLOCK_WORDS)
+            if spans and lo <= spans[-1][1]:
+                spans[-1][1] = hi
+            else:
+                spans.append([lo, hi])
+        low, found = [w.lower() for w in words], {}
+        for first, end in spans:
+            for lo in range(first, max(first + 1, end - BLOCK_WORDS + BLOCK_STEP), BLOCK_STEP):
+                for i, start, stop, diff in self.occurrences(low, lo, min(lo + BLOCK_WORDS, end)):
+                    if (i, start, stop) not in found:
+                        saved = self.reduction(" ".join(words[start:stop]), i)
+                        if saved >= MIN_REDUCTION:
+                            found[i, start, stop] = (len(diff), -len(self.words[i]), -saved, i, start, stop, diff)
+        taken, out = bytearray(len(words)), []
+        for _, _, saved, i, start, stop, diff in sorted(found.values()):
+            if not any(taken[start:stop]):
+                taken[start:stop] = b"\1" * (stop - start)
+                n = lines[start]
+                out.append({"licence": self.templates[i][0], "line": n, "start": start - firsts[n], "stop": stop - firsts[n], "reduction": round(-saved, 6), "differences": diff})
+        return sorted(out, key=lambda r: (r["line"], r["start"]))
 
 
 def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, licence, line, start, stop, reduction, differences, n_differences): one row per licence notice found.
 
-    start and stop are half-open word numbers in the line. Every line with a word of CANDIDATE is a block, long lines several
-    overlapping ones; all templates are ranked by the share of compressed bytes they save as raw dictionary, and
-    the first CONFIRMED that save enough are held against the block word by word. Null and empty texts have no notices;
+    start and stop are half-open word numbers, counted from the start of the line where the notice begins and on over line
+    ends. The words around each word of CANDIDATE are cut in overlapping blocks; every template of which a block has enough
+    words is held against it word by word, and stays if as raw dictionary it saves enough of the compressed bytes of what it
+    matched. Of matches that overlap the one with the fewest differences is kept. Null and empty texts have no notices;
     rows that repeat are scanned each; a null id keeps its rows. Extra columns are not read.
     """
     kind = pa.struct([("licence", pa.string()), ("line", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("reduction", pa.float64()), ("differences", pa.list_(pa.string()))])

@@ -31,3 +31,23 @@ def test_reductions_rank_the_right_template_first():
     m = licences.Matcher()
     for i, (_, t) in enumerate(licences.TEMPLATES):
         assert m.reductions(t)[0][1] == i
+
+
+def test_several_notices_of_a_block_and_wrapped_ones(spark):
+    import textwrap
+
+    rows = [(1, "Released under the MIT License. Licensed under CC BY 4.0."), (2, "Released under the MIT License. " * 3 + "and more"), (3, " ".join(t for _, t in licences.TEMPLATES))]
+    want = {1: ["mit", "cc-by-4.0"], 2: ["mit"] * 3, 3: [n for n, _ in licences.TEMPLATES]}
+    for k, (name, t) in enumerate(licences.TEMPLATES):
+        for j, width in enumerate((20, 35, 72)):
+            rows.append((100 + 3 * k + j, "a first line\n\n" + textwrap.fill(t, width) + "\n\na last line"))
+            want[100 + 3 * k + j] = [name]
+    rows.append((90, "/*\n" + textwrap.fill(licences.TEMPLATES[3][1], 40, initial_indent=" * ", subsequent_indent=" * ") + "\n */"))
+    want[90] = ["mit"]
+    got = {}
+    for r in licences.licences(frame(spark, rows)).collect():
+        got.setdefault(r.id, []).append(r)
+    assert {i: [r.licence for r in sorted(x, key=lambda r: (r.line, r.start))] for i, x in got.items()} == want
+    assert all(r.n_differences == 0 for i, x in got.items() for r in x if i != 90)
+    assert all((r.line, r.start) == (2, 0) for i, x in got.items() for r in x if i >= 100)
+    assert [(r.start, r.stop) for r in sorted(got[1], key=lambda r: r.start)] == [(0, 5), (5, 10)]
