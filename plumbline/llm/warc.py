@@ -57,7 +57,7 @@ def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int]:
     if not data.startswith(b"WARC/1.", at):
         raise ValueError("no version line")
     stop = data.find(b"\r\n\r\n", at)
-    if stop < 0 or stop - at > 1 << 16:
+    if stop < 0:
         raise ValueError("no end of the header")
     fields = {}
     for line in data[at:stop].split(b"\r\n")[1:]:
@@ -94,36 +94,91 @@ def inflate(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(out), pos - len(z.unused_data)
 
 
+def inflated(data: bytes, at: int) -> tuple[bytes, list[tuple[int, int]], str]:
+    """(content up to the error, marks, error) of a damaged or cut member; a mark is (bytes of it that were read to, content by then)."""
+    z, out, size, marks, why = zlib.decompressobj(31), [], 0, [], "member breaks off"
+    pos, step = at, 64
+    while pos < len(data):
+        before = z.copy() if step > 1 else None
+        try:
+            out.append(z.decompress(data[pos : pos + step]))
+        except zlib.error as e:
+            why = f"member is damaged: {e}"
+            if before is None:
+                break
+            z, step = before, 1  # once more up to the byte that fails
+            continue
+        size += len(out[-1])
+        pos = min(pos + step, len(data))
+        marks.append((pos, size))
+    return b"".join(out), marks, why
+
+
+def inside(inner: bytes):
+    """Yields (fields, block, end, "") of the records of a member's content and ({}, b"", end, reason) of what lies between."""
+    p, why = 0, ""
+    while p < len(inner):
+        try:
+            fields, block, end = parse_record(inner, p)
+        except ValueError as e:
+            why = why or str(e)
+            p = inner.find(b"WARC/1.", p + 1)
+            if p < 0:
+                break
+            continue
+        if why:
+            yield {}, b"", p, why
+            why = ""
+        yield fields, block, end, ""
+        p = end
+    if why:
+        yield {}, b"", len(inner), why
+
+
 def salvage(data: bytes):
     """Yields ("record", start, stop, fields, block) and ("gap", start, stop, reason, b"") in file order.
 
     The file may hold gzip members, bare records, or both. Where a check fails, the search goes on at the next member or
-    version line that passes all checks; the bytes before it are one quarantined gap with the first reason.
+    version line that passes all checks; the bytes before it are one quarantined gap with the first reason. In a member
+    of several records the search goes on inside: records and gaps then bear the member's offsets. Of a member that is
+    damaged or breaks off the records that still inflate are kept, and the gap begins behind the last of them.
     """
     at, gap, why = 0, None, ""
     while at < len(data):
-        try:
-            if data.startswith(GZIP, at):
+        error, found = "", []
+        if data.startswith(GZIP, at):
+            try:
                 inner, end = inflate(data, at)
-                found, p = [], 0
-                while p < len(inner):
-                    fields, block, p = parse_record(inner, p)
-                    found.append((fields, block))
-            else:
+                found = list(inside(inner))
+            except ValueError:
+                inner, marks, error = inflated(data, at)
+                found = list(inside(inner))
+                while found and found[-1][3]:  # the gap behind the last record
+                    found.pop()
+                if found:
+                    end = min(next(pos for pos, size in marks if size >= found[-1][2]), len(data) - 1)
+            if not any(not f[3] for f in found):
+                error, found = error or (found[0][3] if found else ""), []
+        else:
+            try:
                 fields, block, end = parse_record(data, at)
-                found = [(fields, block)]
-        except ValueError as e:
-            if gap is None:
-                gap, why = at, str(e)
-            nexts = [p for p in (data.find(GZIP, at + 1), data.find(b"WARC/1.", at + 1)) if p >= 0]
+                found = [(fields, block, end, "")]
+            except ValueError as e:
+                error = str(e)
+        if found or not error:
+            if gap is not None:
+                yield "gap", gap, at, why, b""
+                gap = None
+            for fields, block, _, reason in found:
+                yield ("gap", at, end, reason, b"") if reason else ("record", at, end, fields, block)
+            at = end
+            if error:
+                gap, why = at, error
+        elif gap is None:
+            gap, why = at, error
+        if error:
+            nexts = [p for p in (data.find(GZIP, at + (not found)), data.find(b"WARC/1.", at + (not found))) if p >= 0]
             at = min(nexts, default=len(data))
-            continue
-        if gap is not None:
-            yield "gap", gap, at, why, b""
-            gap = None
-        for fields, block in found:
-            yield "record", at, end, fields, block
-        at = end
     if gap is not None:
         yield "gap", gap, len(data), why, b""
 

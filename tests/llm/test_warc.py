@@ -50,3 +50,34 @@ def test_truncated_inserted_and_mixed_bytes(spark):
     got = sorted(warc.read_archives(df).collect(), key=lambda x: x.start)
     assert [(x.page_id, x.gap is None) for x in got] == [(None, False), (0, True), (1, True), (None, False)]
     assert got[0].start == 0 and got[-1].stop == len(mixed)
+
+
+def test_long_urls(spark):
+    big = "data:text/plain," + "a" * 100_000
+    html = "<p>long" * 60
+    got = {r.page_id: r for r in warc.read_archives(warc.write_archives(pages(spark, [(1, big, html), (2, "u", html)]))).collect()}
+    assert (got[1].gap, got[1].url, got[1].payload) == (None, big, html.encode()) and (got[2].record_type, got[2].refers_to) == ("revisit", 1)
+
+
+def test_members_of_many_records():
+    parts = records(30)
+    hurt = bytearray(parts[7])
+    hurt[-20:-15] = b"-----"
+    ids = lambda found: [int(f["page-id"]) for kind, _, _, f, _ in found if kind == "record"]
+    found = list(warc.salvage(warc.gzip_member(b"".join([*parts[:7], bytes(hurt), *parts[8:]])) + warc.gzip_member(parts[0])))
+    assert ids(found) == [i for i in range(30) if i != 7] + [0]
+    assert [f for kind, _, _, f, _ in found if kind == "gap"] == ["block digest differs"]
+    r = random.Random(5)
+    noisy = [warc.make_record("response", i, "u", x := r.randbytes(3000), hashlib.sha256(x).hexdigest(), None) for i in range(30)]
+    whole = warc.gzip_member(b"".join(noisy))
+    for cut in (len(whole) - 1, len(whole) // 2, len(whole) // 3):
+        z = warc.zlib.decompressobj(31)
+        size = len(z.decompress(whole[:cut]))
+        n = next((k for k in range(30) if sum(map(len, noisy[: k + 1])) > size), 30)
+        found = list(warc.salvage(whole[:cut]))
+        assert n > 5 and ids(found) == list(range(n))
+        assert found[-1][0] == "gap" and found[-1][2] == cut and found[-2][2] == found[-1][1]
+    hurt = bytearray(whole)
+    hurt[-6] ^= 255  # only the member's check sum
+    found = list(warc.salvage(bytes(hurt) + warc.gzip_member(parts[3])))
+    assert ids(found) == [*range(30), 3] and [k for k, *_ in found].count("gap") == 1
