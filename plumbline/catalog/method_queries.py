@@ -70,7 +70,7 @@ def m3_rolling_geks(spark, d):
 
 @add("m4_time_dummies")
 def m4_time_dummies(spark, d):
-    return multilateral.time_dummies(tables.monthly_prices(spark, d), "ECONOMY")
+    return multilateral.time_dummies(tables.monthly_prices(spark, d))
 
 
 CHG = "m AS (SELECT stratum, period, sum(price * revenue) / sum(revenue) AS value FROM prices GROUP BY ALL)"

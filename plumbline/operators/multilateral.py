@@ -69,24 +69,30 @@ def rolling_geks(prices: DataFrame, window: int = 13) -> DataFrame:
     return steps.groupBy("stratum").applyInPandas(solve, "stratum string, period date, value double")  # months x window rows a stratum
 
 
-def time_dummies(prices: DataFrame, stratum: str) -> DataFrame:
-    """(period, value) of one stratum's time product dummy regression of ln price on item and month.
+def time_dummies(prices: DataFrame, stratum: str | None = None) -> DataFrame:
+    """(stratum, period, value) of each stratum's time product dummy regression of ln price on item and month.
 
-    Item effects are swept out by groups, so the normal matrix has months only; Spark builds it, the driver solves it.
+    Item effects are swept out by groups, so the normal matrix has months only; Spark builds it, and one small group a
+    stratum (months x months rows) solves it. With a stratum given, (period, value) of that one.
     """
-    p = prices.filter((F.col("stratum") == stratum) & (F.col("price") > 0)).select("item", "period", F.ln("price").alias("lp"))
-    w = Window.partitionBy("item")
+    rows = prices if stratum is None else prices.filter(F.col("stratum") == stratum)
+    p = rows.filter("price > 0").select("stratum", "item", "period", F.ln("price").alias("lp"))
+    w = Window.partitionBy("stratum", "item")
     p = p.withColumn("n", F.count("*").over(w)).withColumn("mean", F.avg("lp").over(w))
-    own = p.groupBy("period").agg(F.sum(F.col("lp") - F.col("mean")).alias("b"), F.count("*").alias("d"))
-    a, b = p.select("item", F.col("period").alias("s"), "n"), p.select("item", F.col("period").alias("t"))
-    cross = a.join(b, "item").groupBy("s", "t").agg(F.sum(1 / F.col("n")).alias("x"))
-    own_rows, cross_rows = own.orderBy("period").collect(), cross.collect()  # months, and months squared
-    at = {r.period: i for i, r in enumerate(own_rows)}
-    matrix, rhs = np.diag([float(r.d) for r in own_rows]), np.array([r.b for r in own_rows])
-    for r in cross_rows:
-        matrix[at[r.s], at[r.t]] -= r.x
-    x = np.r_[0.0, np.linalg.lstsq(matrix[1:, 1:], rhs[1:], rcond=None)[0]] if len(at) > 1 else np.zeros(len(at))
-    return prices.sparkSession.createDataFrame([(d, float(100 * np.exp(x[i]))) for d, i in at.items()], "period date, value double")
+    own = p.groupBy("stratum", F.col("period").alias("s")).agg(F.sum(F.col("lp") - F.col("mean")).alias("b"), F.count("*").alias("d"))
+    a, b = p.select("stratum", "item", F.col("period").alias("s"), "n"), p.select("stratum", "item", F.col("period").alias("t"))
+    cross = a.join(b, ["stratum", "item"]).groupBy("stratum", "s", "t").agg(F.sum(1 / F.col("n")).alias("x"))
+
+    def solve(g):
+        own = g.drop_duplicates("s").sort_values("s")
+        at = {d: i for i, d in enumerate(own["s"])}
+        matrix, rhs = np.diag(own["d"].to_numpy(float)), own["b"].to_numpy(float)
+        np.subtract.at(matrix, (g["s"].map(at).to_numpy(), g["t"].map(at).to_numpy()), g["x"].to_numpy(float))
+        x = np.r_[0.0, np.linalg.lstsq(matrix[1:, 1:], rhs[1:], rcond=None)[0]] if len(at) > 1 else np.zeros(len(at))
+        return own[["stratum", "s"]].rename(columns={"s": "period"}).assign(value=100 * np.exp(x))
+
+    out = cross.join(own, ["stratum", "s"]).groupBy("stratum").applyInPandas(solve, "stratum string, period date, value double")
+    return out if stratum is None else out.select("period", "value")
 
 
 def sub_index(df: DataFrame, price: Column) -> DataFrame:

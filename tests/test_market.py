@@ -153,3 +153,32 @@ def test_validation(spark):
     assert (r.direction, round(r.spearman, 9), round(r.mape, 9)) == (1.0, 1.0, 0.0)
     assert {x.lag: round(x.correlation, 6) for x in validate.lead_lag(s, s, 0).collect()} == {0: 1.0}
     assert validate.revisions(s, s, ["period"]).count() == 0 and validate.revisions(s.limit(3), s, ["period"]).count() == 3
+
+
+def test_time_dummies_of_all_strata_against_a_full_regression(spark):
+    import datetime
+    import random
+
+    import numpy as np
+
+    r = random.Random(3)
+    months = [datetime.date(2024, m, 1) for m in range(1, 7)]
+    rows = [(s, i, m, r.uniform(5, 50)) for s in ("a", "b", "c") for i in range(8) for m in months if m == months[0] or r.random() < 0.7]
+    got = {(x.stratum, x.period): x.value for x in multilateral.time_dummies(spark.createDataFrame(rows, "stratum string, item long, period date, price double")).collect()}
+    assert set(got) == {(s, m) for s, _, m, _ in rows}
+    for s in ("a", "b", "c"):
+        mine = [x for x in rows if x[0] == s]
+        design = np.array([[*(i == k for k in range(8)), *(m == k for k in months[1:])] for _, i, m, _ in mine], float)
+        x = np.linalg.lstsq(design, np.log([x[3] for x in mine]), rcond=None)[0]
+        for k, m in enumerate(months[1:]):
+            assert abs(got[s, m] - 100 * np.exp(x[8 + k])) < 1e-6
+        assert got[s, months[0]] == 100
+
+
+def test_m4_returns_every_stratum(spark):
+    from plumbline.catalog.method_queries import Q
+    from plumbline.sources import driver_tables
+
+    d = "/root/testdata/sf0.001"
+    strata = {x.stratum for x in driver_tables.monthly_prices(spark, d).select("stratum").distinct().collect()}
+    assert {x.stratum for x in Q["m4_time_dummies"](spark, d).select("stratum").distinct().collect()} == strata and len(strata) > 1
