@@ -7,13 +7,14 @@ words are noted, and each stretch between two checkpoints can be decoded by itse
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 import zlib
-from itertools import chain, islice
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +28,11 @@ MAGIC = b"RNS1"
 HEAD = struct.Struct("<4sQII")  # magic, first token, documents, blocks
 BLOCK = struct.Struct("<IIIII")  # tokens, words, checkpoints, crc32 of the ids, crc32 of the coded bytes
 END_ID = 0
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 1_600_000
+BATCH_BYTES = 16 << 20  # of texts that a task cuts into pieces at a time; one text may be longer
+SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{}~"  # behind letters they are one token's text; no apostrophe, no part of "<|"
+CUT = "\x01"  # where pieces are cut; texts that hold it are encoded whole
 _of_worker: dict[str, Pieces] = {}
-FINE, COARSE = re.compile(r"\n| ?[.,]+| ?[^ \n.,]+"), re.compile(r"\n| ?[^ \n]+")
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -134,86 +137,128 @@ def read_file(coder: Coder, raw: bytes) -> list[tuple[int | None, int, np.ndarra
     return out
 
 
-class _Index(dict):
-    """piece -> its number, in order of first sight."""
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return [chr(c if c in plain else next(other)) for c in range(256)]
+
+
+class _Numbers(dict):
+    """piece -> its number, in order of first sight; new pieces are also noted in a list."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
 
     def __missing__(self, piece):
         self[piece] = n = len(self)
+        self.new.append(piece)
         return n
 
 
 class Pieces:
-    """Ids of texts, tokenised by distinct pieces: this byte-level BPE's pre-tokeniser never joins what a blank before a
-    non-blank, a line end, or a full stop or comma beside a letter or digit separates, so a text's ids are its pieces' ids
-    in order. New pieces are tokenised as one text and told apart by the bytes their ids stand for. Texts with stops or commas
-    beside other signs are split at blanks only, and those with other runs or kinds of blanks are tokenised whole."""
+    """Ids of texts, tokenised by distinct pieces: a byte-level pre-tokeniser never joins what a line end, or one blank before a
+    non-blank, separates, so a text's ids are its pieces' ids in order. Arrow cuts the texts and finds the distinct pieces, so
+    the library sees each piece of a worker once: a plain word goes to its BPE model, anything else to its encoder. Texts with
+    other runs or kinds of blanks, or with the name of a special token, are encoded whole, and so is every text of a
+    tokenizer of another kind."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        names = self.tok.get_vocab(with_added_tokens=True)
-        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
-        for token, i in names.items():
-            self.bytes_of[i] = len(token)  # a character of the byte alphabet a byte
+        self.model = self.tok.model
+        if self.tok.get_vocab_size() > 1 << 16:
+            raise ValueError("ids above 16 bits")
+        how = json.loads(self.tok.to_str())
+        split, model = how.get("pre_tokenizer") or {}, how["model"]
+        self.by_piece = (
+            (split.get("type"), split.get("add_prefix_space"), split.get("use_regex"), how.get("normalizer"), model["type"]) == ("ByteLevel", False, True, None, "BPE")
+            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        )
+        self.letters = byte_letters()
+        self.blank = self.letters[32]
+        self.plain = Tokenizer(self.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        names = self.tok.get_vocab(with_added_tokens=False)
+        self.size_of = np.zeros(1 + max(names.values()), np.int64)  # in byte letters
+        self.size_of[list(names.values())] = list(map(len, names))
         self._forget()
 
     def _forget(self):
-        self.seen = _Index()
-        self.odd, self.dots, self.bare, self.open, self.shut = (np.zeros(0, bool) for _ in range(5))
-        self.flat, self.stop = np.zeros(0, np.uint16), np.zeros(1, np.int64)
-
-    def _learn(self, new: list[str], first: int) -> None:
-        odd = np.array([p != "\n" and p.split() != [p[p[0] == " " :]] or "<|" in p for p in new])
-        dots = np.array([p.strip(" .,") == "" for p in new])
-        opens = np.array([not (p[0].isalnum() or p[0] in " \n") for p in new]) & ~dots
-        shuts = np.array([not (p[-1].isalnum() or p == "\n") for p in new]) & ~dots
-        bare = dots & np.array([p[0] != " " for p in new])
-        for name, x in (("odd", odd), ("dots", dots), ("bare", bare), ("open", opens), ("shut", shuts)):
-            setattr(self, name, np.concatenate([getattr(self, name), x]))
-        parts = ["\n?" if o else p if p[0] in " \n" else "\n" + p for p, o in zip(new, odd.tolist())]
-        ids = np.array(self.tok.encode("".join(parts), add_special_tokens=False).ids, np.int64)
-        ends = np.cumsum(self.bytes_of[ids])  # where each id ends, in bytes
-        cut = np.searchsorted(ends, np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in parts])) + 1
-        lo = np.r_[0, cut[:-1]] + np.array([p[0] == "\n" and len(p) > 1 for p in parts])  # the line end put before a bare piece
-        n = cut - lo
-        at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
-        self.flat = np.concatenate([self.flat, ids[at].astype(np.uint16)])
-        self.stop = np.r_[self.stop, self.stop[-1] + np.cumsum(n)]
-
-    def _numbers(self, split: list[list[str]]) -> np.ndarray:
-        seen, first = self.seen, len(self.seen)
-        where = np.fromiter(map(seen.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
-        if len(seen) > first:
-            self._learn(list(islice(seen, first, None)), first)
-        return where
-
-    def _gather(self, where: np.ndarray, split: list[list[str]]) -> list[np.ndarray]:
-        lo, n = self.stop[where], self.stop[where + 1] - self.stop[where]
-        ends = np.cumsum(n)
-        flat = self.flat[np.arange(n.sum()) + np.repeat(lo - (ends - n), n)]
-        cut = np.r_[0, ends][np.cumsum([0, *map(len, split)])].tolist()
-        return [flat[a:b] for a, b in zip(cut, cut[1:])]
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        self.seen, self.flat, self.first, self.odd = _Numbers(), array("H"), array("i", [0]), bytearray()
+
+    def _of_words(self, words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """(ids, how many each word has) of words in byte letters. The model splits many of them at once; what an id stands for
+        tells where a word ends."""
+        flat, counts = [], []
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
+            stop = np.searchsorted(np.cumsum(self.size_of[ids]), np.cumsum(list(map(len, some)))) + 1
+            flat.append(ids.astype(np.uint16))
+            counts.append(np.diff(stop, prepend=0))
+        return flat, np.concatenate([*counts, np.zeros(0, np.int64)])
+
+    def _learn(self) -> None:
+        """The pieces that were new in a batch get their ids: those of a word and of the signs behind it, or of the whole piece."""
+        words, rests, word_of, rest_of, odd = _Numbers(), _Numbers(), [], [], bytearray()
+        for piece in self.seen.new:
+            core = piece.rstrip(SIGNS)
+            word = core[1:] if core[:1] == " " else core
+            if word.isascii() and word.isalpha():
+                word_of.append(words[core.replace(" ", self.blank)])
+                rest_of.append(rests[piece[len(core) :]])
+                odd.append(False)
+            elif word.isalpha() and max(word) < "\u0250":  # letters by any version of Unicode
+                word_of.append(words["".join(map(self.letters.__getitem__, core.encode()))])
+                rest_of.append(rests[piece[len(core) :]])
+                odd.append(False)
+            else:
+                word_of.append(-1)
+                rest_of.append(rests[piece])
+                bare = piece[1:] if piece[:1] == " " else piece
+                odd.append(piece != "\n" and (bare.split() != [bare] if bare else piece != "") or "<|" in piece)
+        self.seen.new.clear()
+        flat, size = self._of_words(words.new)
+        others = [self._whole(r) for r in rests.new]
+        size = np.r_[size, [len(x) for x in others], 0].astype(np.int64)  # the last is of no word
+        flat, begin = np.concatenate([*flat, *others, np.zeros(0, np.uint16)]), np.cumsum(size) - size
+        use = np.stack([word_of, np.array(rest_of, np.int64) + len(words.new)], axis=1).ravel() if word_of else np.zeros(0, np.int64)
+        n = size[use]
+        self.flat.frombytes(flat[np.repeat(begin[use] - (np.cumsum(n) - n), n) + np.arange(n.sum())].tobytes())
+        self.first.frombytes((self.first[-1] + np.cumsum(n.reshape(-1, 2).sum(axis=1))).astype(np.int32).tobytes())
+        self.odd += odd
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint16)
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a string column without nulls."""
+        if not self.by_piece:
+            return [self._whole(t.as_py()) for t in texts]
         if len(self.seen) > CACHE_PIECES:
             self._forget()
-        whole = {k for k, t in enumerate(texts) if t[-1:] == " " or "  " in t or " \n" in t or "\n\n\n" in t or "\n\n " in t or t[-2:] == "\n\n"}
-        split = [[] if k in whole else FINE.findall(t) for k, t in enumerate(texts)]
-        where = self._numbers(split)
-        out = self._gather(where, split)
-        strange = self.bare[where[1:]] & self.shut[where[:-1]] | self.dots[where[:-1]] & self.open[where[1:]]
-        doc = np.repeat(np.arange(len(split)), [len(x) for x in split])
-        again = np.unique(doc[1:][strange]).tolist()
-        coarse = [COARSE.findall(texts[k]) for k in again]
-        other = self._numbers(coarse)
-        for k, x in zip(again, self._gather(other, coarse)):
-            out[k] = x
-        whole |= set(doc[self.odd[where]].tolist())
-        whole |= set(np.repeat(np.array(again, np.int64), [len(x) for x in coarse])[self.odd[other]].tolist())
-        for k in whole:
-            out[k] = np.array(self.tok.encode(texts[k], add_special_tokens=False).ids, np.uint16)
-        return out
+        whole = pc.match_substring_regex(texts, f" $|  | \n|\n\n\n|\n\n |\n\n$|{CUT}").to_numpy(zero_copy_only=False)
+        parts = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, " ", CUT + " "), "\n", f"{CUT}\n{CUT}"), CUT)
+        pieces = parts.flatten().dictionary_encode()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False)
+        numbers = np.fromiter(map(self.seen.__getitem__, names), np.int64, len(names))
+        self._learn()
+        flat, first, odd = np.frombuffer(self.flat, np.uint16), np.frombuffer(self.first, np.int32), np.frombuffer(self.odd, bool)
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        lo, n = first[numbers][at], np.diff(first)[numbers][at]
+        ends = np.cumsum(n)
+        where = np.repeat((lo - (ends - n)).astype(np.int32), n)
+        where += np.arange(len(where), dtype=np.int32)
+        out = flat[where]
+        edges = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        strange = np.r_[0, np.cumsum(odd[numbers][at])]
+        whole |= strange[edges[1:]] > strange[edges[:-1]]
+        del flat, first, odd  # the arrays can grow again
+        cut = np.r_[0, ends][edges]
+        return [self._whole(texts[k].as_py()) if w else out[a:b] for k, (w, a, b) in enumerate(zip(whole.tolist(), cut[:-1].tolist(), cut[1:].tolist()))]
 
 
 def pieces_of_worker(path: str) -> Pieces:
@@ -226,7 +271,8 @@ def pieces_of_worker(path: str) -> Pieces:
 def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(part, doc, local, n, ids): ids as little-endian 16-bit numbers with END_ID appended, by ascending doc (nulls first).
 
-    part ascends with doc, and local counts the ids before the document in its part. A null text is empty.
+    part ascends with doc, and local counts the ids before the document in its part. A null text is empty. Rows that repeat
+    a doc follow each other in the order of the table, and many rows of one doc are dealt over several tasks.
     """
 
     def run(batches):
@@ -234,23 +280,23 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
         part, pieces, local = TaskContext.get().partitionId(), pieces_of_worker(path), 0
         for b in batches:
+            sizes = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False))
             lo = 0
             while lo < b.num_rows:
-                texts, size = [], 0
-                while lo + len(texts) < b.num_rows and (size < 1 << 19 or not texts):
-                    texts.append(b.column(1)[lo + len(texts)].as_py())
-                    size += len(texts[-1])
-                ids = [np.r_[x, np.uint16(END_ID)].astype("<u2") for x in pieces.ids(texts)]
+                done = sizes[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(sizes, done + BATCH_BYTES, side="right")))
+                ids = [np.r_[x, np.uint16(END_ID)].astype("<u2") for x in pieces.ids(b.column(1).slice(lo, hi - lo))]
                 n = [len(x) for x in ids]
                 before = local + np.cumsum([0, *n[:-1]])
                 local += sum(n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * len(n)), b.column(0).slice(lo, len(n)), pa.array(before), pa.array(n), pa.array([x.tobytes() for x in ids], pa.binary())], ["part", "doc", "local", "n", "ids"]
                 )
-                lo += len(n)
+                lo = hi
 
-    src = docs.select(docs[id_col].cast("long").alias("doc"), text_of(docs, text_col).alias("text"))
-    return src.repartitionByRange("doc").sortWithinPartitions("doc").mapInArrow(run, "part long, doc long, local long, n long, ids binary")
+    src = docs.select(docs[id_col].cast("long").alias("doc"), F.monotonically_increasing_id().alias("at"), text_of(docs, text_col).alias("text"))
+    dealt = src.repartitionByRange("doc", "at").sortWithinPartitions("doc", "at")
+    return dealt.select("doc", "text").mapInArrow(run, "part long, doc long, local long, n long, ids binary")
 
 
 def encode(tokens: DataFrame, vocabulary: int) -> tuple[DataFrame, Coder]:
