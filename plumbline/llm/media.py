@@ -1,8 +1,9 @@
 """Media columns stored as content-defined chunks.
 
 A rolling gear hash cuts payloads where the bytes say so; chunks are known by their SHA-256, and Spark joins decide which
-medium keeps the bytes of a chunk that several share. The store has one row per distinct payload with the chunks it keeps;
-an ordered chunk list per payload rebuilds it, and every digest is verified on the way back.
+medium keeps the bytes of a chunk that several share. What is stored of a chunk is a cell: its length, its digest and its bytes.
+The store has one row per distinct payload with the cells it keeps; an ordered chunk list per payload rebuilds it, and the
+digests of all chunks and of the payload are verified on the way back.
 """
 
 from __future__ import annotations
@@ -12,17 +13,16 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_of, written
+from .common import bounded, spread_join, table, text_of, written
 from .simhash import splitmix
 
 UNIT, PAD = 576, b"\xff"
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 512, 16384, 11
 GEAR = (splitmix(np.arange(1001, 1257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
-#: Lists of at most so many rows (about 50 MB) are broadcast; longer ones are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+CELL_HEAD = 36  # bytes of a cell before the chunk: its length and its SHA-256
 
 
 def payload_of(text: str) -> bytes:
@@ -54,17 +54,31 @@ def chunks(data: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def features(parts: list[bytes]) -> dict:
-    """What the contract asks of a medium read back as its ordered chunks."""
+def payload_column(text: Column) -> Column:
+    """payload_of() as a Spark expression."""
+    raw = F.encode(text, "UTF-8")
+    n = F.length(raw)
+    return F.concat(raw, F.unhex(F.repeat(F.lit("FF"), (F.greatest(F.ceil(n / UNIT), F.lit(1)) * UNIT - n).cast("int"))))
+
+
+def cell(chunk: bytes) -> bytes:
+    return len(chunk).to_bytes(4, "little") + hashlib.sha256(chunk).digest() + chunk
+
+
+def features(cells: list[bytes]) -> dict:
+    """What the contract asks of a medium, from its stored cells; ValueError where a cell is damaged."""
+    form, parts = hashlib.sha256(), []
+    for c in cells:
+        form.update(c)
+        parts.append(c[CELL_HEAD:])
+        if int.from_bytes(c[:4], "little") != len(parts[-1]) or hashlib.sha256(parts[-1]).digest() != c[4:CELL_HEAD]:
+            raise ValueError("a stored chunk does not have its length and digest")
     data = b"".join(parts)
-    form = hashlib.sha256()
-    for p in parts:  # the stored form: length, digest and bytes of each chunk
-        form.update(len(p).to_bytes(4, "little") + hashlib.sha256(p).digest() + p)
     x = np.frombuffer(data, np.uint8)
     counts = np.bincount(x >> 5, minlength=8).tolist()
     return {
         "n_bytes": len(data.rstrip(PAD)), "payload_bytes": len(data), "payload_sha256": hashlib.sha256(data).hexdigest(), "tail_crc32": zlib.crc32(data[-32:]),
-        "media_bytes": len(data) + 36 * len(parts), "media_sha256": form.hexdigest(), "feature": f"chunks={len(parts)};sum={int(x.sum(dtype=np.int64))};hist={'/'.join(map(str, counts))}",
+        "media_bytes": sum(map(len, cells)), "media_sha256": form.hexdigest(), "feature": f"chunks={len(parts)};sum={int(x.sum(dtype=np.int64))};hist={'/'.join(map(str, counts))}",
     }
 
 
@@ -72,16 +86,15 @@ FEATURES = "n_bytes:long,payload_bytes:long,payload_sha256:string,tail_crc32:lon
 _KIND = pa.struct([(c.split(":")[0], pa.int64() if c.endswith("long") else pa.string()) for c in FEATURES.split(",")])
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (lists, kept, foreign), written tables.
 
-    lists(id, media, digests): one row per input row, its payload's SHA-256 and ordered chunk digests.
-    kept(media, pos, data): per distinct payload the chunks whose bytes it keeps. foreign(media, pos, owner, owner_pos): the
-    chunks that it does not keep and who does. The owner of a chunk is the least (media, pos) that has it.
+    lists(row, id, media, digests): one row per input row, its payload's SHA-256 and ordered chunk digests. kept(media, cells): per
+    distinct payload, once, its cells in order, null where another keeps the chunk. foreign(media, pos, digest, owner, owner_pos):
+    those chunks and who keeps them. The owner of a chunk is the least (media, pos) that has it.
+
+    A payload is stored from the row of its least id, nulls last; where several rows have that id and payload, they are first
+    reduced to one by a shuffle of those rows alone.
     """
     src = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
 
@@ -93,65 +106,63 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
                 rows.append((hashlib.sha256(data).digest(), [hashlib.sha256(c).digest() for c in chunks(data)]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.binary()))], ["id", "media", "digests"])
 
-    lists = written(src.mapInArrow(listed, "id long, media binary, digests array<binary>"), "chunk-lists")
-    recipes = lists.groupBy("media").agg(F.min("id").alias("keeper"), F.any_value("digests").alias("digests"))
+    lists = src.mapInArrow(listed, "id long, media binary, digests array<binary>")
+    lists = written(lists.select(F.monotonically_increasing_id().alias("row"), "id", "media", "digests"), "chunk-lists")
+    by_id = lists.groupBy("media", "id").agg(F.count("*").alias("n"), F.any_value("digests").alias("digests"))
+    by_id = written(by_id, "payloads")
+    recipes = by_id.groupBy("media").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("keeper"), F.any_value("digests").alias("digests"))
+    recipes = written(recipes.select("media", F.col("keeper.id").alias("keeper"), "digests"), "recipes")
     each = recipes.select("media", F.posexplode("digests").alias("pos", "digest"))
-    owners = each.groupBy("digest").agg(F.min(F.struct("media", "pos")).alias("o"), F.count("*").alias("n")).filter("n > 1")
-    foreign = written(
-        each.join(owners, "digest").filter("media <> o.media or pos <> o.pos").select("media", "pos", F.col("o.media").alias("owner"), F.col("o.pos").alias("owner_pos")), "foreign-chunks"
-    )
+    owners = each.groupBy("digest").agg(F.min(F.struct("media", "pos")).alias("o"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = spread_join(each, owners, "digest", ["media", "pos"]).filter("media <> o.media or pos <> o.pos")
+    foreign = written(shared.select("media", "pos", "digest", F.col("o.media").alias("owner"), F.col("o.pos").alias("owner_pos")), "foreign-chunks")
     skip = foreign.groupBy("media").agg(F.collect_list("pos").alias("skip"))
-    duties = (
-        lists.select("id", "media").join(recipes.select("media", "keeper"), "media").join(skip, "media", "left")
-        .filter("skip is not null or not (id <=> keeper)").select("id", F.col("media").alias("of"), (~F.col("id").eqNullSafe(F.col("keeper"))).alias("not_keeper"), "skip").distinct()
-    )
-    duties = written(duties, "chunk-duties")
-
-    @F.arrow_udf("struct<media:binary,pos:array<int>,data:array<binary>>")
-    def keep(texts, of, not_keeper, skips):
+    duties = by_id.select("media", "id", "n").join(recipes.select("media", "keeper"), "media").join(skip, "media", "left")
+    duties = duties.select(F.col("media").alias("of"), F.col("id").alias("of_id"), F.col("id").eqNullSafe(F.col("keeper")).alias("keep"), (F.col("n") > 1).alias("many"), "skip")
+    duties = written(duties.filter("not keep or many or skip is not null"), "chunk-duties")  # all others keep all their chunks
+
+    @F.arrow_udf("array<binary>")
+    def cells(texts, skips):
         out = []
-        for t, o, n, s in zip(texts, of, not_keeper, skips):
-            data = payload_of(t.as_py())
-            media = hashlib.sha256(data).digest()
-            mine = o.as_py() == media
-            if mine and n.as_py():
-                out.append(None)
-                continue
-            drop = set(s.as_py() or []) if mine else set()
-            parts = [(i, c) for i, c in enumerate(chunks(data)) if i not in drop]
-            out.append({"media": media, "pos": [p[0] for p in parts], "data": [p[1] for p in parts]})
-        return pa.array(out, pa.struct([("media", pa.binary()), ("pos", pa.list_(pa.int32())), ("data", pa.list_(pa.binary()))]))
-
-    joined = src.withColumnRenamed("id", "doc").join(_sized(duties), F.col("doc").eqNullSafe(F.col("id")), "left")
-    kept = joined.select(keep.asNondeterministic()("text", "of", "not_keeper", "skip").alias("k")).filter("k is not null").select("k.*")
+        for t, s in zip(texts, skips):
+            drop = set(s.as_py() or [])
+            out.append([None if i in drop else cell(c) for i, c in enumerate(chunks(payload_of(t.as_py())))])
+        return pa.array(out, pa.list_(pa.binary()))
+
+    cells = cells.asNondeterministic()
+    listed_ = bounded(duties, F.lit(64) + 4 * F.greatest(F.size("skip"), F.lit(0)))
+    media = F.unhex(F.sha2(payload_column(F.col("text")), 256))
+    joined = src.withColumn("media", media).join(listed_, (F.col("media") == F.col("of")) & F.col("id").eqNullSafe(F.col("of_id")), "left").filter("keep is null or keep")
+    kept = joined.filter("many is null or not many").select("media", cells("text", "skip").alias("cells"))
+    if duties.filter("keep and many").limit(1).count():
+        once = joined.filter("many").groupBy("media").agg(F.any_value("text").alias("text"), F.any_value("skip").alias("skip"))
+        kept = kept.unionByName(once.select("media", cells("text", "skip").alias("cells")))
     return lists, written(kept, "chunks"), foreign
 
 
-def rebuilt(lists: DataFrame, kept: DataFrame, foreign: DataFrame) -> DataFrame:
-    """(media, f): features of every distinct payload, from the stored bytes; an error where a digest does not hold."""
+def rebuilt(kept: DataFrame, foreign: DataFrame) -> DataFrame:
+    """(media, f): features of every distinct payload, from the stored cells; an error where a digest does not hold."""
 
     @F.arrow_udf(f"struct<{FEATURES}>")
-    def read(media, datas):
+    def read(media, lists):
         out = []
-        for m, d in zip(media, datas):
-            f = features(d.as_py())
+        for m, cells in zip(media, lists):
+            f = features(cells.as_py())
             if f["payload_sha256"] != m.as_py().hex():
                 raise ValueError("a rebuilt payload does not have its digest")
             out.append(f)
         return pa.array(out, _KIND)
 
     read = read.asNondeterministic()
-    partly = _sized(foreign.select("media").distinct())
-    whole = kept.join(partly, "media", "left_anti").select("media", "data")
-    own = kept.join(partly, "media", "left_semi").select("media", F.arrays_zip("pos", "data").alias("z")).select("media", F.inline("z"))
-    wanted = foreign.groupBy("owner").agg(F.collect_set("owner_pos").alias("need"))
-    lent = kept.join(_sized(wanted), F.col("media") == F.col("owner")).select("owner", F.explode(F.filter(F.arrays_zip("pos", "data"), lambda x: F.array_contains("need", x["pos"]))).alias("c"))
-    lent = lent.select("owner", F.col("c.pos").alias("owner_pos"), "c.data").groupBy("owner", "owner_pos").agg(F.any_value("data").alias("data"))
-    borrowed = foreign.join(lent, ["owner", "owner_pos"]).select("media", "pos", "data")
-    pieces = own.unionByName(borrowed).groupBy("media", "pos").agg(F.any_value("data").alias("data"))
-    joined = pieces.groupBy("media").agg(F.array_sort(F.collect_list(F.struct("pos", "data"))).alias("c")).select("media", F.col("c.data").alias("data"))
-    out = whole.select("media", read("media", "data").alias("f")).unionByName(joined.select("media", read("media", "data").alias("f")))
-    return out.groupBy("media").agg(F.any_value("f").alias("f"))
+    partly = F.exists("cells", lambda c: c.isNull())
+    own = kept.filter(partly).select("media", F.posexplode("cells").alias("pos", "cell")).filter("cell is not null")
+    wanted = foreign.select("owner", "owner_pos").distinct().groupBy("owner").agg(F.collect_list("owner_pos").alias("need"))
+    wanted = bounded(wanted, F.lit(48) + 4 * F.size("need"))
+    lent = kept.join(wanted, F.col("media") == F.col("owner")).select(F.explode(F.transform("need", lambda p: F.get("cells", p))).alias("cell"))
+    lent = lent.select(F.substring("cell", 5, 32).alias("digest"), "cell")
+    borrowed = spread_join(foreign.select("media", "pos", "digest"), lent, "digest", ["media", "pos"]).select("media", "pos", "cell")
+    joined = own.unionByName(borrowed).groupBy("media").agg(F.array_sort(F.collect_list(F.struct("pos", "cell"))).alias("c")).select("media", F.col("c.cell").alias("cells"))
+    return kept.filter(~partly).select("media", read("media", "cells").alias("f")).unionByName(joined.select("media", read("media", "cells").alias("f")))
 
 
 def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,7 +171,8 @@ def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows that repeat and null ids keep their rows; equal texts share one stored payload. Extra columns are not read.
     """
     lists, kept, foreign = store(docs, id_col, text_col)
-    return lists.select("id", "media").join(rebuilt(lists, kept, foreign), "media").select("id", "f.*")
+    of = written(rebuilt(kept, foreign), "media-features")
+    return spread_join(lists.select("row", "id", "media"), of, "media", ["row"]).select("id", "f.*")
 
 
 def op10_media_chunks(spark, sf_dir: str) -> DataFrame:

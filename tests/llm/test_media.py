@@ -34,7 +34,7 @@ def test_against_brute_force(spark):
 def test_shared_chunks_are_stored_once(spark):
     docs = spark.createDataFrame(rows(), "doc_id long, text string")
     lists, kept, foreign = media.store(docs)
-    stored = [hashlib.sha256(c).digest() for r in kept.dropDuplicates(["media"]).collect() for c in r.data]
+    stored = [hashlib.sha256(c[36:]).digest() for r in kept.collect() for c in r.cells if c is not None]
     listed = {bytes(d) for r in lists.collect() for d in r.digests}
     assert len(stored) == len(set(stored)) and set(stored) == listed and foreign.count() > 10
 
@@ -60,6 +60,32 @@ def test_a_wrong_byte_is_noticed(spark):
     from pyspark.sql import functions as F
 
     lists, kept, foreign = media.store(spark.createDataFrame([(1, "some text")], "doc_id long, text string"))
-    broken = kept.withColumn("data", F.array(F.lit(b"other")))
-    with pytest.raises(Exception, match="digest"):
-        media.rebuilt(lists, broken, foreign).collect()
+    for other in (media.cell(b"other"), media.cell(media.payload_of("some text"))[:-1]):
+        with pytest.raises(Exception, match="digest"):
+            media.rebuilt(kept.withColumn("cells", F.array(F.lit(other))), foreign).collect()
+
+
+@pytest.mark.parametrize("limit", [media.CELL_HEAD, 16 << 20])
+def test_many_rows_of_one_id_are_stored_once(spark, monkeypatch, limit):
+    from plumbline.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)  # joined by a shuffle, and broadcast
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(800)) for _ in range(2000)]
+    out = [(None, t) for t in texts] + [(7, t) for t in texts[:50]] + [(None, texts[0])] * 3 + [(7, "seven " * 500)] * 40 + [(None, "null " * 500)] * 40
+    docs = spark.createDataFrame(out, "doc_id long, text string")
+    lists, kept, foreign = media.store(docs)
+    assert kept.count() == kept.select("media").distinct().count() == 2002
+    got = media.media_features(docs).select("id", "payload_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((i, hashlib.sha256(media.payload_of(t)).hexdigest()) for i, t in out), key=str)
+
+
+def test_the_stored_form_is_what_is_hashed(spark):
+    docs = spark.createDataFrame(rows(), "doc_id long, text string")
+    lists, kept, foreign = media.store(docs)
+    whole = {bytes(r.media): r.cells for r in kept.collect()}
+    lent = {(bytes(r.media), r.pos): whole[bytes(r.owner)][r.owner_pos] for r in foreign.collect()}
+    for r in media.media_features(docs).collect():
+        m = bytes.fromhex(r.payload_sha256)
+        stored = b"".join(c if c is not None else lent[m, k] for k, c in enumerate(whole[m]))
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
