@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, text_of, written
+from .common import ASCII_LOWER, spread_join, text_of, written
 from .components import components
 
 SEED = 42
@@ -50,46 +50,36 @@ def shingle_hashes(text: str, k: int) -> np.ndarray:
     return np.fromiter((h(line[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, len(starts))
 
 
-def fingerprint(text: str, k: int, lanes: int = 1, distinct: bool = False) -> bytes:
-    """lanes*8 bytes, most significant bit first: a bit is 1 if more than half of the shingle hashes have it."""
-    h = shingle_hashes(text, k)
-    if distinct:
-        h = np.unique(h)
-    out = []
+def fingerprint_of(h: np.ndarray, lanes: int = 1) -> np.ndarray:
+    """`lanes` 64-bit words of the hashes h of shingles: a bit is 1 if more than half of them have it."""
+    out = np.zeros(lanes, np.uint64)
     for lane in range(lanes):
         x = h if lane == 0 else splitmix(h ^ np.uint64(lane * 0xD1342543DE82EF95 % 2**64))
         ones = np.zeros(64, np.int64)
         for at in range(0, len(x), 16384):  # a very long text in blocks
             part = x[at : at + 16384].astype(">u8").view(np.uint8).reshape(-1, 8)
             ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-        out.append(np.packbits(2 * ones > len(x)).tobytes())
-    return b"".join(out)
+        out[lane] = np.packbits(2 * ones > len(x)).view(">u8")[0]
+    return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, lanes: int = 1, distinct: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp binary) for every row; a null text counts as empty and gets the zero fingerprint."""
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t.as_py(), shingle, lanes, distinct) for t in b.column(1)]
+            fps = [fingerprint_of(shingle_hashes(t.as_py(), shingle)).astype(">u8").tobytes() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary())], ["id", "fp"])
 
     src = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     return src.mapInArrow(run, "id long, fp binary")
 
 
-def segment_sets(lanes: int, max_distance: int) -> list[np.ndarray]:
-    """Bit positions of each block key.
-
-    One lane: 2 * max_distance segments, taken max_distance at a time. max_distance differing bits touch at most that
-    many segments, so the others agree and no linked pair is lost. Several lanes: 40 sets of 16 bits; the chance to miss
-    a pair is (1 - s**16)**40 for a share s of equal bits (0.05 at 85 % equal bits, 0.004 at 87 %).
-    """
-    if lanes == 1:
-        parts = np.array_split(np.arange(64), 2 * max_distance)
-        return [np.concatenate(c) for c in combinations(parts, max_distance)]
-    bits = lanes * 64
-    return [np.arange(i, i + 16) for i in range(0, bits, 16)] + [np.arange(i, bits, bits // 16) for i in range(8)]
+def segment_sets(max_distance: int) -> list[np.ndarray]:
+    """Bit positions of each block key: 2 * max_distance segments, taken max_distance at a time. max_distance differing bits touch
+    at most that many segments, so the others agree and no linked pair is lost."""
+    parts = np.array_split(np.arange(64), 2 * max_distance)
+    return [np.concatenate(c) for c in combinations(parts, max_distance)]
 
 
 def _keys(raw: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -138,17 +128,17 @@ def _links(run: np.ndarray, fp: np.ndarray, refs: np.ndarray, limit: int) -> tup
     return order[np.array(out_a, int)], order[np.array(out_b, int)]
 
 
-def fingerprint_links(fps: DataFrame, lanes: int = 1, max_distance: int = 3) -> DataFrame:
+def fingerprint_links(fps: DataFrame, max_distance: int = 3) -> DataFrame:
     """(a, b): links between distinct fingerprints fps(fp) that connect all that lie within max_distance.
 
     Not every pair is returned, but a spanning forest of each block: what is connected stays connected.
     A block key shared by more than BLOCK_ROWS fingerprints is split in chunks, and each pair of chunks is a unit
     of its own, so no task holds an unbounded group.
     """
-    sets, refs = segment_sets(lanes, max_distance), reference_fingerprints(PIVOTS, lanes)
+    sets, refs = segment_sets(max_distance), reference_fingerprints(PIVOTS, 1)
 
     def as_matrix(col) -> np.ndarray:
-        return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, lanes * 8)
+        return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, 8)
 
     def keyed(batches):
         for b in batches:
@@ -158,7 +148,7 @@ def fingerprint_links(fps: DataFrame, lanes: int = 1, max_distance: int = 3) ->
                 yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), b.column(0).take(rows)], ["key", "fp"])
 
     def linked(batches):
-        empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, lanes * 8), np.uint8)
+        empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 8), np.uint8)
         held, size = [], 0
 
         def close(parts, last):
@@ -170,7 +160,7 @@ def fingerprint_links(fps: DataFrame, lanes: int = 1, max_distance: int = 3) ->
             rest = key[cut:], i[cut:], j[cut:], raw[cut:]
             if not cut:
                 return rest, []
-            a, b = _links(np.cumsum(new[:cut]), raw[:cut].view(">u8").astype(np.uint64).reshape(cut, lanes), refs, max_distance)
+            a, b = _links(np.cumsum(new[:cut]), raw[:cut].view(">u8").astype(np.uint64).reshape(cut, 1), refs, max_distance)
             return rest, [pa.RecordBatch.from_arrays([pa.array([raw[x].tobytes() for x in s], pa.binary()) for s in (a, b)], ["a", "b"])]
 
         for b in batches:
@@ -194,29 +184,20 @@ def fingerprint_links(fps: DataFrame, lanes: int = 1, max_distance: int = 3) ->
     return units.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(linked, "a binary, b binary")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, lanes: int = 1, distinct: bool = False, max_distance: int = 3) -> DataFrame:
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3) -> DataFrame:
     """(id, fp, component_id): component_id is the least id that links of at most max_distance bits reach.
 
     One row per input row. Null and empty texts share the zero fingerprint and are linked by it; rows with a null id keep
     a row, and never become a component_id unless the whole component lacks ids (then it is null). Repeated
     ids are judged row by row. Extra columns are not read. An empty table gives no rows.
     """
-    fps = written(fingerprints(docs, id_col, text_col, shingle, lanes, distinct), "fingerprints")
+    fps = written(fingerprints(docs, id_col, text_col, shingle).withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     nodes = written(fps.groupBy("fp").agg(F.min("id").alias("rep")), "nodes")
-    roots = components(fingerprint_links(nodes, lanes, max_distance))
-    grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    roots = components(fingerprint_links(nodes, max_distance))
+    grouped = written(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
     least = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_fp = grouped.join(least, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("id", "fp", "component_id")
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, component_id) for near copies on distinct five-word shingles with a similarity of about 0.8 or more.
-
-    The similarity is read off 512 fingerprint bits: a Jaccard similarity J means a cosine 2J/(1+J), and an angle a means
-    512 * a / pi differing bits, 77 at J = 0.8. 88 bits are allowed, one standard deviation and a bit more.
-    """
-    return simhash_components(docs, id_col, text_col, shingle=5, lanes=8, distinct=True, max_distance=88)
+    by_fp = written(spread_join(grouped, least, "root", ["fp"]).select("fp", "component_id"), "component-ids")
+    return spread_join(fps, by_fp, "fp", ["row"]).select("id", "fp", "component_id")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

@@ -78,22 +78,6 @@ def test_large_blocks_are_compared_whole(spark, monkeypatch):
     assert sorted(map(sorted, found.values())) == sorted(sorted(s) for s in want.values() if len(s) > 1)
 
 
-def test_near_duplicates_of_five_words(spark):
-    r = random.Random(5)
-    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
-    rows, pairs = [], []
-    for i in range(60):
-        a = [word() for _ in range(200)]
-        b = list(a)
-        for k in (40, 120):
-            b[k] = word()
-        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
-        pairs.append((2 * i, 2 * i + 1))
-    got = {x.id: x.component_id for x in simhash.near_duplicates(frame(spark, rows)).collect()}
-    assert sum(got[a] == got[b] == a for a, b in pairs) >= 57
-    assert len(set(got.values())) >= 60
-
-
 def test_null_ids_repeats_and_empty_tables(spark):
     rows = [(None, "a b c"), (None, "a b c"), (5, "a b c"), (5, "a b c"), (9, "other words here now")]
     got = sorted((x.id is None, x.id or 0, x.component_id) for x in simhash.simhash_components(frame(spark, rows)).collect())
