@@ -18,6 +18,7 @@ BROADCAST_BYTES = 16 << 20
 #: A key with more than one in HOT_SHARE of a table's rows, and more than HOT_ROWS, is hot: there are fewer than HOT_SHARE such keys.
 HOT_SHARE, HOT_ROWS = 1000, 500
 _local: list[str] = []
+_of_worker: dict[str, object] = {}
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -73,6 +74,15 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, by: list[str], how:
     return dealt.hint("merge").join(copied, [key, "__part"], how).drop("__part")
 
 
+def once_per_worker(key: str, make):
+    """make() for all tasks of a Python worker that ask for the same key; the last few results are kept."""
+    if key not in _of_worker:
+        if len(_of_worker) >= 4:
+            _of_worker.clear()
+        _of_worker[key] = make()
+    return _of_worker[key]
+
+
 def text_of(docs: DataFrame, text: str = "text") -> Column:
     return F.coalesce(docs[text].cast("string"), F.lit(""))
 
