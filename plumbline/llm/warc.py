@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import bounded, spread_join, table, written
 
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -19,6 +19,8 @@ MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 GZIP = b"\x1f\x8b\x08"
+#: Bytes that one gzip member may inflate to; of a larger one the records before the bound are kept, the rest is a gap.
+MAX_MEMBER = 1 << 30
 
 
 def record_id(page_id: int | None) -> str:
@@ -81,7 +83,7 @@ def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int]:
 def inflate(data: bytes, at: int) -> tuple[bytes, int]:
     """(content, where the member ends) of the gzip member at `at`."""
     z = zlib.decompressobj(31)
-    out, view, pos = [], memoryview(data), at
+    out, view, pos, size = [], memoryview(data), at, 0
     while not z.eof:
         part = bytes(view[pos : pos + (1 << 16)])
         if not part:
@@ -91,6 +93,9 @@ def inflate(data: bytes, at: int) -> tuple[bytes, int]:
         except zlib.error as e:
             raise ValueError(f"member is damaged: {e}") from None
         pos += len(part)
+        size += len(out[-1])
+        if size > MAX_MEMBER:
+            raise ValueError("member inflates beyond its bound")
     return b"".join(out), pos - len(z.unused_data)
 
 
@@ -111,6 +116,9 @@ def inflated(data: bytes, at: int) -> tuple[bytes, list[tuple[int, int]], str]:
         size += len(out[-1])
         pos = min(pos + step, len(data))
         marks.append((pos, size))
+        if size > MAX_MEMBER:
+            why = "member inflates beyond its bound"
+            break
     return b"".join(out), marks, why
 
 
@@ -194,6 +202,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
     keyed = src.withColumn("digest", F.sha2("payload", 256))
     long = keyed.filter(F.length("payload") >= MIN_REVISIT_BYTES)
     shared = long.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("digest", "first")
+    shared = bounded(written(shared, "shared-payloads"), 96)
     rows = keyed.join(shared, "digest", "left").select("page_id", "url", "payload", "digest", "first")
 
     def run(batches):
@@ -256,16 +265,19 @@ def read_archives(archives: DataFrame, name: str = "archive", body: str = "body"
 
 
 def op2_warc(spark, sf_dir: str) -> DataFrame:
-    """The contract query: pages written as archives, and what the reader finds in them."""
+    """The contract query: pages written as archives, and what the reader finds in them. A gap in these fresh archives is an error."""
     archives = written(write_archives(table(spark, sf_dir, "pages")), "warc", compression="none")
-    found = read_archives(archives).filter("gap is null").select(
-        "page_id", F.length("payload").cast("long").alias("own_bytes"), "payload_digest", F.sha2("payload", 256).alias("read_digest"), "record_type", "refers_to"
+    found = read_archives(archives).select(
+        "archive", "start", "stop", "gap", "page_id", F.length("payload").cast("long").alias("own_bytes"), "payload_digest", F.sha2("payload", 256).alias("read_digest"), "record_type", "refers_to"
     )
-    first = found.filter("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("own_bytes").alias("first_bytes"), F.col("read_digest").alias("first_digest")).filter("refers_to is not null")
-    first = first.groupBy("refers_to", "first_digest").agg(F.max("first_bytes").alias("first_bytes"))
+    found = written(found, "records")
+    gap = found.filter("gap is not null").select("archive", "start", "stop", "gap").first()
+    if gap:
+        raise ValueError(f"quarantined bytes in a new archive: {gap}")
+    first = found.filter("record_type = 'response'").groupBy(F.col("read_digest").alias("payload_digest")).agg(F.max("own_bytes").alias("payload_bytes"))
     here = found.filter("refers_to is null").select("page_id", F.col("own_bytes").alias("payload_bytes"), F.col("read_digest").alias("payload_digest"), "record_type", "refers_to")
-    again = found.filter("refers_to is not null").join(first, (found["refers_to"] == first["refers_to"]) & (found["payload_digest"] == first["first_digest"]), "left")
-    return here.unionByName(again.select("page_id", F.col("first_bytes").alias("payload_bytes"), F.col("first_digest").alias("payload_digest"), "record_type", found["refers_to"]))
+    again = spread_join(found.filter("refers_to is not null").select("page_id", "payload_digest", "record_type", "refers_to"), first, "payload_digest", ["page_id"], "left")
+    return here.unionByName(again)
 
 
 ORACLE = """
