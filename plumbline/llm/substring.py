@@ -16,16 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, table, text_of, written
+from .common import ASCII_LOWER, fresh, numbered_rows, spread_join, table, text_of, written
 from .simhash import splitmix
 
-K, WINDOW = 5, 11
+K, WINDOW = 5, 7
 SEED_SCORE, GAP_COST = 5.0, 0.1  # a seed, and each word skipped in either document
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
 BEFORE = 2  # documents before its own, among those with the k-mer, that an occurrence is matched with
 REACH = 12  # words that an alignment may skip on a side; wider gaps split it
-MARGIN = 32  # words around a chain into which its alignment may extend
-POS_BITS = 24  # words of a document in one number with its id
+MARGIN = 64  # words around a chain into which its alignment may extend
+POS_BITS = 26  # words of a document, in one number with the document's number
 BLANK = r"[\x20\x09-\x0D]+"
 _VALUE = splitmix(np.arange(1, 257, dtype=np.uint64))
 _IS_WORD = np.ones(256, bool)
@@ -106,6 +106,8 @@ def seeds(docs: DataFrame) -> DataFrame:
                 doc = np.searchsorted(ends, start, side="right")
                 h, at = minimisers(words, doc)
                 pos = at - np.searchsorted(doc, doc[at])
+                if len(pos) and pos.max() >> POS_BITS:
+                    raise ValueError(f"a text has more than 2**{POS_BITS} words")
                 h, pick = with_repeats(h, doc[at])
                 at, pos = at[pick], pos[pick]
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array((ids[lo:hi][doc[at]] << POS_BITS) + pos)], ["h", "at"])
@@ -154,21 +156,25 @@ def matches(docs: DataFrame) -> DataFrame:
     return seeds(docs).repartition(parts, "h").sortWithinPartitions("h", "at").mapInArrow(run, "doc long, ref long, x int, y int, least boolean")
 
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """docs(id, text) with ids that fit beside a word position, and the table (id, number) of the change, if one was needed.
+def with_numbers(docs: DataFrame, id_col: str) -> tuple[DataFrame, str, bool]:
+    """(docs with a column that numbers its rows in the order of their ids, nulls last; that column; whether it is the id).
 
-    Ids from 0 to 2**(63 - POS_BITS) - 1 stay; else every id is replaced by its rank, so the order of ids is kept.
+    Ids that are all different and from 0 to 2**(63 - POS_BITS) - 1 are the numbers themselves. Else the rows are written
+    with numbers of their own, so that rows which share an id or have none stay apart.
     """
-    low, high = docs.agg(F.min("id"), F.max("id")).first()
-    if low is None or low >= 0 and high < 1 << (63 - POS_BITS):
-        return docs, None
-    ids = docs.select("id").distinct().repartitionByRange("id").sortWithinPartitions("id")
-    ids = written(ids.withColumn("m", F.monotonically_increasing_id()), "ids").withColumn("part", F.shiftright("m", 33))
-    sums = ids.groupBy("part").agg(F.count("*").alias("n"))
+    name, key = fresh(docs, "document_number"), docs[id_col].cast("long")
+    ids = docs.select(key.alias("id"))
+    n, given, low, high = ids.agg(F.count("*"), F.count("id"), F.min("id"), F.max("id")).first()
+    if n == given and (not n or low >= 0 and high < 1 << (63 - POS_BITS)) and ids.groupBy("id").count().filter("count > 1").limit(1).count() == 0:
+        return docs.withColumn(name, key), name, True
+    kept, row = numbered_rows(docs, "documents")
+    rows = kept.select(row, F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{id_col}`").isNull().alias("none"))
+    order = rows.repartitionByRange("none", "id", row).sortWithinPartitions("none", "id", row)
+    order = written(order.select(row, F.monotonically_increasing_id().alias("m")), "row-order").withColumn("part", F.shiftright("m", 33))
+    sums = order.groupBy("part").agg(F.count("*").alias("n"))
     base = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))  # one row a partition
-    ranks = ids.join(F.broadcast(base), "part").select("id", (F.col("base") + F.col("m").bitwiseAND((1 << 33) - 1)).alias("number"))
-    ranks = written(ranks, "ranks")
-    return docs.join(ranks, "id").select(F.col("number").alias("id"), "text"), ranks
+    numbers = order.join(F.broadcast(base), "part").select(row, (F.col("base") + F.col("m").bitwiseAND((1 << 33) - 1)).alias(name))
+    return written(kept.join(numbers, row).drop(row), "numbered"), name, False
 
 
 def chain(x: list[int], y: list[int]) -> list[list[int]]:
@@ -391,27 +397,32 @@ def confirmed(found: DataFrame, src: DataFrame, min_words: int, min_identity: fl
     )
 
 
+def _passages(src: DataFrame, min_words: int, min_identity: float) -> DataFrame:
+    """passages() of src(id, text), whose ids are all different and fit beside a word position."""
+    found = written(chains(matches(src), 2 * K), "chains")
+    first = written(confirmed(found.filter("least"), src, min_words, min_identity), "passages")
+    covered = first.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    inside = F.exists("spans", lambda s: (s["start"] <= F.col("x0")) & (s["stop"] >= F.col("x1")))
+    others = found.filter("not least").hint("merge").join(covered, "doc", "left").filter(F.coalesce(~inside, F.lit(True))).drop("spans")
+    return first.unionByName(confirmed(others, src, min_words, min_identity)).distinct()
+
+
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
     """(doc_id, start, stop, src_doc_id, src_start, src_stop, n_words, identity): fuzzy passages of at least min_words words.
 
     Word ranges are half-open and count blank-separated words; identity is equal words over the longer of both ranges;
-    words are compared without regard to the case of A-Z. The source is always a lower id than the copy. Texts have at most
-    2**24 words. Rows with a null id and null or empty texts have no passages; an id
-    that repeats counts as one document; repeats inside one document are not reported. Extra columns are not read.
+    words are compared without regard to the case of A-Z. The source is always an earlier document than the copy, in the order of
+    the ids, nulls last. Rows that repeat an id or have none are documents of their own: a passage that two of them share is
+    reported with their common id, or null, on both sides. Null and empty texts have no passages; repeats inside one document
+    are not reported. A text of more than 2**26 words is an error. Extra columns are not read.
     """
-    src = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text")).filter("id is not null")
-    src, ranks = numbered(src)
-    found = written(chains(matches(src), max(2 * K, min_words - 2 * WINDOW)), "chains")
-    first = written(confirmed(found.filter("least"), src, min_words, min_identity), "passages")
-    covered = first.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    inside = F.exists("spans", lambda s: (s["start"] <= F.col("x0")) & (s["stop"] >= F.col("x1")))
-    others = found.filter("not least").hint("merge").join(covered, "doc", "left").filter(F.coalesce(~inside, F.lit(True))).drop("spans")
-    out = first.unionByName(confirmed(others, src, min_words, min_identity)).distinct()
-    if ranks is None:
+    src, number, same = with_numbers(docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text")), "id")
+    out = _passages(src.select(F.col(number).alias("id"), "text"), min_words, min_identity)
+    names = src.select(F.col(number).alias("__n"), F.col("id").alias("__id"))
+    if same:
         return out
     for c in ("doc_id", "src_doc_id"):
-        back = ranks.select(F.col("number").alias(c), F.col("id").alias("__id"))
-        out = out.join(back, c).withColumn(c, F.col("__id")).drop("__id")
+        out = spread_join(written(out, "numbered-passages"), names.withColumnRenamed("__n", c), c, ["doc_id", "src_doc_id", "start"]).withColumn(c, F.col("__id")).drop("__id")
     return out.select("doc_id", "start", "stop", "src_doc_id", "src_start", "src_stop", "n_words", "identity")
 
 
@@ -429,19 +440,22 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[done:]]).decode("utf-8", "surrogatepass")
 
 
-def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
     """docs, same columns: every passage that a document shares with an earlier one is cut out of the later text.
 
-    A document of which nothing but blanks is left goes; all others stay. Null ids and null texts stay as they are.
+    Each row is a document, also where ids repeat or are null; see passages(). A document of which nothing but blanks is
+    left goes; all others stay. Null and empty texts stay as they are.
     """
     names = docs.columns
-    spans = passages(docs, id_col, text_col, **how).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.struct("start", "stop")).alias("__spans"))
+    src, number, _ = with_numbers(docs, id_col)
+    found = _passages(src.select(F.col(number).alias("id"), text_of(src, text_col).alias("text")), min_words, min_identity)
+    spans = found.groupBy(F.col("doc_id").alias("__number")).agg(F.collect_set(F.struct("start", "stop")).alias("__spans"))
 
     @F.arrow_udf("string")
     def cut(texts, lists):
         return pa.array([cut_words(t, [(s["start"], s["stop"]) for s in x]) if x else t for t, x in zip(texts.to_pylist(), lists.to_pylist())], pa.string())
 
-    joined = docs.join(spans, docs[id_col].cast("long") == spans["__id"], "left")
+    joined = src.join(spans, src[number] == spans["__number"], "left")
     out = joined.withColumn(text_col, F.when(F.col("__spans").isNotNull(), cut.asNondeterministic()(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col)))
     return out.filter(F.col("__spans").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*[F.col(f"`{c}`") for c in names])
 

@@ -73,14 +73,41 @@ def test_odd_rows(spark):
     r = random.Random(9)
     long = " ".join(words(r, 20000))
     rows = [(1, long), (2, long), (3, None), (4, ""), (None, long), (5, "the " * 5000), (6, "the " * 5000), (6, "the " * 5000), (7, " \n\t ")]
-    got = {(x.doc_id, x.src_doc_id): x.n_words for x in substring.passages(frame(spark, rows)).collect()}
-    assert got[2, 1] == 20000 and (6, 5) in got and all(a > b for a, b in got)
+    found = substring.passages(frame(spark, rows)).collect()
+    got = {(x.doc_id, x.src_doc_id): x.n_words for x in found}
+    assert got[2, 1] == 20000 and got[None, 1] == 20000 and (6, 5) in got and all(a is None or a >= b for a, b in got)
     kept = substring.drop_passages(frame(spark, rows))
     assert kept.columns == ["doc_id", "text", "doc", "ref", "h"]
-    assert sorted((x.doc_id or -1) for x in kept.collect() if x.doc_id != 6) == [-1, 1, 3, 4, 5, 7]
+    assert sorted((x.doc_id or -1) for x in kept.collect() if x.doc_id != 6) == [1, 3, 4, 5, 7]
     assert substring.passages(frame(spark, rows).limit(0)).collect() == []
 
 
+def test_rows_of_one_id_are_cut_one_by_one(spark):
+    r = random.Random(10)
+    p, other = words(r, 80), words(r, 120)
+    rows = [(1, p), (2, p + words(r, 9)), (2, words(r, 5)), (2, None), (2, other), (None, p + ["end"]), (None, words(r, 70))]
+    left = substring.drop_passages(frame(spark, [(i, t and " ".join(t)) for i, t in rows])).collect()
+    want = [(1, 80), (2, 9), (2, 5), (2, 0), (2, 120), (None, 1), (None, 70)]
+    assert sorted(((x.doc_id, len((x.text or "").split())) for x in left), key=str) == sorted(want, key=str)
+
+
+def test_recall_of_substituted_passages(spark):
+    r = random.Random(16)
+    rows, share = [], (0.05, 0.1, 0.15, 0.18)
+    for k, s in enumerate(share):
+        for j in range(60):
+            p = words(r, 100)
+            q = list(p)
+            for i in r.sample(range(100), round(100 * s)):
+                q[i] = words(r, 1)[0]
+            at = 1000 * k + 2 * j
+            rows += [(at, words(r, 30) + p + words(r, 30)), (at + 1, words(r, 50) + q + words(r, 10))]
+    got = {(x.doc_id, x.src_doc_id) for x in substring.passages(frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()}
+    assert all(a - b == 1 and b % 2 == 0 for a, b in got)
+    for k in range(len(share)):
+        assert sum((1000 * k + 2 * j + 1, 1000 * k + 2 * j) in got for j in range(60)) >= 54, share[k]
+
+
 def test_any_ids(spark):
     r = random.Random(11)
     p = " ".join(words(r, 70))
