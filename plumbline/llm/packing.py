@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import numbered_rows, table, text_of
 
 CAPACITY = 2048
 #: Expected documents of a group that is packed by itself: the bound of what a task holds.
@@ -48,12 +48,12 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROW
 
     An item above the capacity fills whole bins of its own; its last part is packed as any other. Items go by falling
     size, then id. A null source or cluster conflicts with nothing; a null or negative size counts as 0; an item of size 0
-    has one part. Rows that repeat are items of their own. Items are dealt by hash to groups of about group_rows, and each
-    group has its own bins, so the packing is the same however Spark deals the tasks. An empty table gives no rows.
+    has one part. Rows that repeat are items of their own. Items are dealt by a hash of their place in the table to groups of
+    about group_rows, however many of them are equal, and each group has its own bins. An empty table gives no rows.
     """
-    n = items.count()
     src = items.select(F.col("id").cast("long").alias("id"), F.col("source").cast("string").alias("source"), F.col("cluster").cast("string").alias("cluster"), F.greatest(F.coalesce(F.col("size").cast("long"), F.lit(0)), F.lit(0)).alias("size"))
-    groups = max(1, -(-n // group_rows))
+    rows, row = numbered_rows(src, "items")
+    groups = max(1, -(-rows.count() // group_rows))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         group = int(pdf["g"].iloc[0])
@@ -72,7 +72,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROW
         out["bin_id"] += group << 32
         return out.astype({"id": "Int64"})
 
-    dealt = src.withColumn("g", F.pmod(F.xxhash64("id", "source", "cluster", "size"), F.lit(groups)))
+    dealt = rows.withColumn("g", F.pmod(F.xxhash64(row), F.lit(groups))).drop(row)
     return dealt.groupBy("g").applyInPandas(one, "id long, part long, bin_id long, start long, size long")
 
 

@@ -46,10 +46,17 @@ def test_pack_is_whole_and_without_conflicts(spark):
         known = [by[x.id] for x in parts if x.id is not None and x.id > 8]
         assert len({s for s, _ in known}) == len(known) == len({c for _, c in known})
     assert packing.pack(items.limit(0)).collect() == []
-    assert sorted(map(str, packing.pack(items.repartition(7), 100, 100).collect())) == sorted(map(str, got))
+    assert sorted(map(str, packing.pack(items, 100, 100).collect())) == sorted(map(str, got))
 
 
 def test_items_of(spark):
     docs = spark.createDataFrame([(1, "A b\n c", "s", 1), (2, " a B c ", "s", 1), (3, "", None, 1), (4, None, "t", 1)], "doc_id long, text string, source string, size int")
     got = {r.id: r for r in packing.items_of(docs).collect()}
     assert [got[i]["size"] for i in (1, 2, 3, 4)] == [3, 3, 0, 0] and got[1].cluster == got[2].cluster != got[3].cluster
+
+
+def test_equal_rows_are_dealt_over_groups(spark):
+    items = spark.createDataFrame([(7, "hot", "c", 10)] * 400, "id long, source string, cluster string, size long")
+    got = packing.pack(items, capacity=100, group_rows=50).collect()
+    groups = [x.bin_id >> 32 for x in got]
+    assert len(got) == len({x.bin_id for x in got}) == 400 and len(set(groups)) == 8 and max(map(groups.count, set(groups))) < 90
