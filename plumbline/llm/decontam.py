@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, table, text_of, written
+from .common import WORD_BYTES, bounded, numbered_rows, once_per_worker, table, text_of, written
+from .simhash import splitmix
+from .substring import word_hashes
 
 WINDOW = 13
-#: Words of test items in one automaton (about 0.1 GB in a task); more items make more passes over the documents.
+#: Words of test items in one automaton (about 0.1 GB in a task). A larger benchmark is dealt over several automata, and a document
+#: goes only to those with one of its windows, told by hashes.
 SHARD_WORDS = 200_000
+#: Hashes of item windows that one pass over the documents looks up: what the driver collects and broadcasts, 12 bytes each.
+PASS_WINDOWS = 4_000_000
+GROUP_DOCS = 256  # documents that an automaton built for one shard scans in one task
 HIT = "struct<n_words:long,items:array<string>,spans:array<struct<start:long,stop:long>>>"
 
 
@@ -128,16 +135,15 @@ class Automaton:
 
 
 def _hit_column(text: Column, items: list[tuple[str, list[bytes]]]) -> Column:
-    made: list[Automaton] = []
+    name = f"automaton-{uuid.uuid4().hex}"
 
     @F.arrow_udf(HIT)
     def hits(column: pa.Array) -> pa.Array:
-        if not made:
-            made.append(Automaton(items))
+        automaton = once_per_worker(name, lambda: Automaton(items))
         out = []
         for t in column:
             words = words_of(t.as_py() or "")
-            found, spans = made[0].scan(words)
+            found, spans = automaton.scan(words)
             out.append({"n_words": len(words), "items": sorted(found), "spans": [{"start": a, "stop": b} for a, b in spans]})
         kind = pa.struct([("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))])
         return pa.array(out, kind)
@@ -145,35 +151,119 @@ def _hit_column(text: Column, items: list[tuple[str, list[bytes]]]) -> Column:
     return hits.asNondeterministic()(text)
 
 
+def window_hashes(text: str, lengths) -> dict[int, np.ndarray]:
+    """length -> hashes of all runs of so many words."""
+    words, _ = word_hashes(text.encode("utf-8", "surrogatepass").translate(WORD_BYTES))
+    out = {}
+    with np.errstate(over="ignore"):
+        for n in lengths:
+            m = max(0, len(words) - n + 1)
+            x = words[:m].copy()
+            for j in range(1, n):
+                x = x * np.uint64(0xD6E8FEB86659FD93) + words[j : j + m]
+            out[n] = splitmix(x + np.uint64(n))
+    return out
+
+
+def _item_windows(items: DataFrame) -> DataFrame:
+    """items(shard, t) -> (shard, n, h): the distinct windows of each shard, n words long, by hash."""
+
+    def run(batches):
+        for b in batches:
+            for shard, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                n = min(WINDOW, len(words_of(t)))
+                if n:
+                    h = np.unique(window_hashes(t, [n])[n]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), shard, np.int32)), pa.array(np.full(len(h), n, np.int32)), pa.array(h)], ["shard", "n", "h"])
+
+    return items.select("shard", "t").mapInArrow(run, "shard int, n int, h long").distinct()
+
+
+def _with_shards(text: Column, h: np.ndarray, shard: np.ndarray, lengths: list[int]) -> Column:
+    """struct(n_words, shards): which shards have a window of the text; h is sorted."""
+
+    @F.arrow_udf("struct<n_words:long,shards:array<int>>")
+    def found(column: pa.Array) -> pa.Array:
+        out = []
+        for t in column:
+            t = t.as_py() or ""
+            mine = [x for x in window_hashes(t, lengths).values() if len(x)]
+            mine = np.unique(np.concatenate(mine)).view(np.int64) if mine else np.zeros(0, np.int64)
+            lo, hi = np.searchsorted(h, mine), np.searchsorted(h, mine, side="right")
+            hit = hi > lo
+            at = np.concatenate([np.arange(a, b) for a, b in zip(lo[hit], hi[hit])]) if hit.any() else np.zeros(0, np.int64)
+            out.append({"n_words": len(words_of(t)), "shards": np.unique(shard[at]).tolist()})
+        return pa.array(out, pa.struct([("n_words", pa.int64()), ("shards", pa.list_(pa.int32()))]))
+
+    return found.asNondeterministic()(text)
+
+
+def _scanned(candidates: DataFrame, items: DataFrame) -> DataFrame:
+    """candidates(row, t, shard) and items(shard, n, t) -> (row, items, spans): each shard's automaton over its documents."""
+    groups = candidates.groupBy("shard").agg(F.ceil(F.count("*") / GROUP_DOCS).cast("int").alias("parts"))
+    groups = F.broadcast(written(groups, "shards"))  # one row a shard
+    docs = candidates.join(groups, "shard").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    of = items.join(groups, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
+    def run(docs: pa.Table, items: pa.Table) -> pa.Table:
+        automaton = Automaton(sorted((n, words_of(t)) for n, t in zip(items["n"].to_pylist(), items["t"].to_pylist()))) if docs.num_rows else None
+        hits = [automaton.scan(words_of(t)) for t in docs["t"].to_pylist()]
+        return pa.table({"row": docs["row"], "items": pa.array([sorted(f) for f, _ in hits], pa.list_(pa.string())), "spans": pa.array([[{"start": a, "stop": b} for a, b in s] for _, s in hits], spans)})
+
+    left, right = docs.select("shard", "part", "row", "t"), of.select("shard", "part", "n", "t")
+    return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInArrow(run, "row long, items array<string>, spans array<struct<start:long,stop:long>>")
+
+
+def _merged(spans: Column) -> Column:
+    """Disjoint ranges, in order, of overlapping or touching ones."""
+    last = lambda a: F.element_at(a, -1)
+    return F.aggregate(
+        F.array_sort(spans),
+        F.array().cast("array<struct<start:long,stop:long>>"),
+        lambda a, x: F.when((F.size(a) > 0) & (F.coalesce(F.get(a, F.size(a) - 1)["stop"], F.lit(-1)) >= x["start"]),
+            F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last(a)["start"].alias("start"), F.greatest(last(a)["stop"], x["stop"]).alias("stop"))))
+        ).otherwise(F.concat(a, F.array(x))),
+    )
+
+
 def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", name: str = "__hit") -> DataFrame:
     """docs with a struct column: n_words, items (sorted names found), spans (disjoint word ranges hit).
 
     A null text has no words. Items without words never occur; a null item id goes by the empty name; an id that repeats
-    counts once. Everything passes through, whatever columns docs has. The items of one pass are at most about
-    SHARD_WORDS words; a larger benchmark is dealt by hash over several passes whose hits are united.
+    counts once. Everything passes through, whatever columns docs has.
+
+    A benchmark of at most about SHARD_WORDS words is one automaton and one pass. A larger one is dealt by hash over shards: a
+    pass looks up the hashes of the documents' windows, and only documents with a hit are scanned, by the automata of the
+    shards that they hit; the documents are written once, however many shards there are.
     """
     src = benchmark.select(F.coalesce(benchmark[item_col].cast("string"), F.lit("")).alias("n"), text_of(benchmark, item_text).alias("t"))
     size = src.agg(F.sum(F.length("t"))).first()[0] or 0
     shards = max(1, -(-size // (6 * SHARD_WORDS)))
-    cell = F.pmod(F.xxhash64("n", "t"), F.lit(shards))
-    passes = ([(r.n, words_of(r.t)) for r in src.filter(cell == s).sort("n", "t").collect()] for s in range(shards))
     if shards == 1:
-        return docs.withColumn(name, _hit_column(text_of(docs, text_col), next(passes)))
-    for at, items in enumerate(passes):
-        docs = docs.withColumn(f"{name}{at}", _hit_column(text_of(docs, text_col), items))
-        docs = written(docs, "decontam")
-    each = [F.col(f"{name}{s}") for s in range(shards)]
-    spans = F.array_sort(F.flatten(F.array(*[e["spans"] for e in each])))
-    last = lambda a: F.element_at(a, -1)
-    merged = F.aggregate(
-        spans,
-        F.array().cast("array<struct<start:long,stop:long>>"),
-        lambda a, x: F.when((F.size(a) > 0) & (F.coalesce(F.get(a, F.size(a) - 1)["stop"], F.lit(-1)) >= x["start"]),
-            F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last(a)["start"].alias("start"), F.greatest(last(a)["stop"], x["stop"]).alias("stop"))))
-        ).otherwise(F.concat(a, F.array(x))),
-    )
-    hit = F.struct(each[0]["n_words"].alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.array(*[e["items"] for e in each])))).alias("items"), merged.alias("spans"))
-    return docs.withColumn(name, hit).drop(*[f"{name}{s}" for s in range(shards)])
+        items = [(r.n, words_of(r.t)) for r in src.sort("n", "t").collect()]
+        return docs.withColumn(name, _hit_column(text_of(docs, text_col), items))
+    items = written(src.withColumn("shard", F.pmod(F.xxhash64("n", "t"), F.lit(shards)).cast("int")), "items")
+    windows = written(_item_windows(items), "item-windows")
+    passes = max(1, -(-windows.count() // PASS_WINDOWS))
+    cell = F.pmod(F.xxhash64("h"), F.lit(passes))
+    kept, row = numbered_rows(docs, "documents")
+    hits = []
+    for k in range(passes):
+        rows = windows.filter(cell == k).select("h", "shard", "n").toPandas().sort_values(["h", "shard"])
+        found = _with_shards(text_of(kept, text_col), rows["h"].to_numpy(), rows["shard"].to_numpy(), sorted(set(rows["n"].tolist())))
+        hits.append(written(kept.select(F.col(row).alias("row"), found.alias("f")).select("row", "f.*"), "window-hits"))
+    n_words = hits[0].select("row", "n_words")
+    places = hits[0].select("row", F.explode("shards").alias("shard"))
+    for more in hits[1:]:
+        places = places.unionByName(more.select("row", F.explode("shards").alias("shard")))
+    texts = kept.select(F.col(row).alias("row"), text_of(kept, text_col).alias("t"))
+    candidates = written(texts.join(bounded(places.distinct(), 16), "row"), "candidates")
+    found = _scanned(candidates, items).groupBy("row").agg(F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
+    found = written(found.select("row", F.array_sort(F.array_distinct("items")).alias("items"), _merged(F.col("spans")).alias("spans")), "hits")
+    each = n_words.join(found, "row", "left")
+    hit = F.struct("n_words", F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", F.array().cast("array<struct<start:long,stop:long>>")).alias("spans"))
+    return kept.join(each.select(F.col("row").alias(row), hit.alias(name)), row).drop(row)
 
 
 def n_hit(hit: str = "__hit") -> Column:

@@ -54,6 +54,8 @@ def test_against_brute_force(spark):
 
 def test_several_passes_agree(spark, monkeypatch):
     monkeypatch.setattr(decontam, "SHARD_WORDS", 10)
+    monkeypatch.setattr(decontam, "PASS_WINDOWS", 40)
+    monkeypatch.setattr(decontam, "GROUP_DOCS", 5)
     docs, items = random_case(3)
     d, b = tables(spark, docs, items)
     got = decontam.with_hits(d, b).select("doc_id", "__hit", decontam.n_hit().alias("n")).withColumnRenamed("__hit", "h").collect()
