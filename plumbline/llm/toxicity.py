@@ -6,6 +6,7 @@ cut in overlapping windows; a window gets one logit and the text the largest of
 
 from __future__ import annotations
 
+import uuid
 from itertools import chain, islice
 
 import numpy as np
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, table, text_of
+from .common import WORD_BYTES, once_per_worker, table, text_of
 
 WINDOW, STRIDE = 48, 32
 BUCKETS = 1 << 15
@@ -21,6 +22,8 @@ DIM, HIDDEN, ATTEND = 12, 8, 8
 PART_WORDS = 32_768
 #: At most so many labelled texts of each class are learnt from, those with the least hash of their id.
 SAMPLE_PER_CLASS = 3000
+#: Characters of the longest text that is learnt from; with the number of texts they bound what reaches the driver.
+SAMPLE_CHARS = 60_000
 #: Updates of a training, the first of which look at random windows, and texts of one update.
 UPDATES, WARM_UP, BATCH = 600, 60, 48
 #: Words whose inputs a worker remembers, and words scored at a time: they bound its memory.
@@ -297,12 +300,14 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> BiGru | float:
-    """A network from labelled rows that are not held out, at most per_class of each class; those rows are the only ones
-    that reach the driver. Where a class has no row, the share of label 1 (0 without labels) stands in for it."""
+    """A network from labelled rows that are not held out, at most per_class of each class and without texts of more than
+    SAMPLE_CHARS characters; those rows are the only ones that reach the driver. All texts are scored whole. Where a class has no row, the share of label 1 (0 without labels) stands in for it."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(~held_out())
     first = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
     picked = first[0].unionByName(first[1])
-    rows = docs.select("doc_id", text_of(docs).alias("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").collect()
+    texts = docs.select("doc_id", text_of(docs).alias("text")).filter(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(picked), "doc_id")
+    one = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # an id that repeats is learnt from once
+    rows = one.select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: (r.doc_id, r.text, r.toxic))
     if len({r.toxic for r in rows}) < 2:
         return float(rows[0].toxic) if rows else 0.0
@@ -313,13 +318,12 @@ def score_column(text: Column, net: BiGru | float) -> Column:
     """0 to 1 for every whole text; null counts as empty."""
     if isinstance(net, float):
         return F.lit(net)
-    made: list[Scorer] = []
+    name = f"scorer-{uuid.uuid4().hex}"
 
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
-        if not made:
-            made.append(Scorer(net))
-        return pa.array(made[0].scores(t.as_py() or "" for t in column), pa.float64())
+        scorer = once_per_worker(name, lambda: Scorer(net))
+        return pa.array(scorer.scores(t.as_py() or "" for t in column), pa.float64())
 
     return score.asNondeterministic()(text)
 
