@@ -38,6 +38,13 @@ def routes(spark, sf_dir: str, n: int = ROUTES, partial: bool = False) -> DataFr
     return by.crossJoin(F.broadcast(whole)).select("route_id", w.alias("weight"), F.lit("value_share").alias("weight_basis"), F.lit("events").alias("weight_source"), "weight_start", "weight_end")
 
 
+def route_table(spark, sf_dir: str) -> DataFrame:
+    """The route table with its ends and classes: every fourth route is not in use, and the third has no weight yet."""
+    k = F.col("route_id")
+    r = routes(spark, sf_dir).withColumn("weight", F.when(k != 2, F.col("weight")))
+    return r.select("route_id", F.concat(F.lit("R0"), k.cast("string")).alias("origin"), F.lit("HUB").alias("destination"), F.when(k % 2 == 0, "metro").otherwise("regional").alias("stratum_class"), (k % 4 != 3).alias("active"), "weight")
+
+
 QUOTES = """quotes AS (SELECT event_id AS quote_id, 'src' || CAST(event_id % 3 AS VARCHAR) AS source, event_type AS carrier, CAST(user_id % {R} AS INTEGER) AS route_id,
   CAST(ts AS DATE) AS period, ts AS collection_ts, CASE WHEN event_id % 29 = 0 THEN 8 WHEN event_id % 4 = 0 THEN 1 WHEN event_id % 4 = 1 THEN 7 WHEN event_id % 4 = 2 THEN 15 ELSE 30 END AS apd,
   value AS total_fare, CASE WHEN event_id % 31 = 0 THEN 'filed_floor' WHEN event_id % 37 = 0 THEN 'uncontrolled_lead' WHEN event_id % 5 = 0 THEN 'economy' END AS fare_class,
@@ -60,8 +67,9 @@ PANEL = """panel AS (SELECT period, route_id, apd, exp(avg(lr)) AS jevons, count
   count(*) FILTER (NOT imputed) / 5.0 AS coverage, count(*) FILTER (NOT imputed) / 5.0 < 0.6 AS suppressed FROM filled GROUP BY ALL)"""
 ROUTE = """routes AS (SELECT route_id, round(sum(total_fare) / (SELECT sum(total_fare) FROM quotes), 6) AS weight, min(period) AS weight_start, max(period) AS weight_end FROM quotes GROUP BY route_id)"""
 PARTIAL = """routes AS (SELECT route_id, CASE WHEN route_id < 4 THEN round(sum(total_fare) / (SELECT sum(total_fare) FROM quotes), 6) END AS weight, min(period) AS weight_start, max(period) AS weight_end FROM quotes GROUP BY route_id)"""
-UPPER = """curves AS (SELECT * FROM (VALUES ('central', 1, 0.08), ('central', 7, 0.27), ('central', 15, 0.35), ('central', 30, 0.30), ('front_loaded', 1, 0.15), ('front_loaded', 7, 0.35),
-  ('front_loaded', 15, 0.30), ('front_loaded', 30, 0.20), ('back_loaded', 1, 0.04), ('back_loaded', 7, 0.18), ('back_loaded', 15, 0.33), ('back_loaded', 30, 0.45)) t(curve, apd, cw)),
+CURVES = """curves AS (SELECT * FROM (VALUES ('central', 1, 0.08), ('central', 7, 0.27), ('central', 15, 0.35), ('central', 30, 0.30), ('front_loaded', 1, 0.15), ('front_loaded', 7, 0.35),
+  ('front_loaded', 15, 0.30), ('front_loaded', 30, 0.20), ('back_loaded', 1, 0.04), ('back_loaded', 7, 0.18), ('back_loaded', 15, 0.33), ('back_loaded', 30, 0.45)) t(curve, apd, cw))"""
+UPPER = CURVES + """,
 u1 AS (SELECT period, curve, sum(CASE WHEN NOT suppressed THEN weight * CAST(cw AS DOUBLE) END) AS sw, sum(CASE WHEN NOT suppressed THEN weight * CAST(cw AS DOUBLE) * jevons END) AS swj,
   sum(coverage) AS sc, count(*) FILTER (NOT suppressed) AS n_strata FROM panel JOIN routes USING (route_id) JOIN curves USING (apd) GROUP BY ALL),
 upper_ AS (SELECT period, curve, 100 * swj / sw AS value, least(1.0, sc / ((SELECT count(*) FROM routes) * 4)) AS coverage, n_strata FROM u1 WHERE sw > 0)"""

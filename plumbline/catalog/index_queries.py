@@ -6,10 +6,17 @@ from pyspark.sql import functions as F
 
 from .. import parameters
 from ..operators import eligibility, panel, quality, relatives, smooth
+from ..operators.weights import active
 from ..plans.index_run import index_run
+from ..plans.spool import shared_path, stored
 from ..sources import driver_tables as tables
+from ..sources import sinks
 from .common import COMP, FILL, FLAG, METHOD, OBS, PANEL, PARTIAL, QUOTES, REL, ROUTE, ROUTES, RUN, RUNS, SMOOTH, UPPER, out, routes, sql
 
+STACK = """series AS (SELECT 'composite.raw' AS series_id, period, value, coverage, suppressed, low, high FROM comp
+UNION ALL SELECT 'window.T' || CAST(apd AS VARCHAR), period, value, coverage, coverage < 0.75, NULL, NULL FROM win
+UNION ALL SELECT 'composite', period, value, coverage, suppressed, low, high FROM smooth)"""
+
 Q, S = {}, {}
 
 
@@ -38,11 +45,21 @@ def s1_observations(spark, d):
     return eligibility.observations(tables.quotes(spark, d), "2024-01-05", "2024-01-25")
 
 
-@add("s2_route_weights", sql("SELECT route_id, round(weight, 6) AS w FROM routes", QUOTES, ROUTE))
+@add("s2_route_weights", sql("SELECT route_id, round(weight, 6) AS weight FROM routes WHERE route_id % 4 <> 3", QUOTES, ROUTE))
 def s2_route_weights(spark, d):
+    return active(routes(spark, d).withColumn("active", F.col("route_id") % 4 != 3)).select("route_id", "weight")
+
+
+@add("s2_usable_weights", sql("SELECT route_id, round(weight, 6) AS w FROM routes", QUOTES, ROUTE))
+def s2_usable_weights(spark, d):
     return panel.usable_weights(routes(spark, d)).select("route_id", "w")
 
 
+@add("o1_panel_in_order", sql("SELECT CAST(period AS VARCHAR) AS period, route_id, apd, round(jevons, 6) AS jevons FROM panel ORDER BY panel.period, route_id, apd", *RUN[:6]))
+def o1_panel_in_order(spark, d):
+    return panel.in_order(run_of(spark, d).panel).select("period", "route_id", "apd", "jevons")
+
+
 @add("s3_f21_stamped_panel", sql("SELECT CAST(period AS VARCHAR) AS period, route_id, apd, round(jevons, 6) AS jevons, true AS has_hash, 1 AS one_vintage FROM panel", *RUN[:6]))
 def s3_f21_stamped_panel(spark, d):
     p = parameters.stamped(run_of(spark, d).panel, METHOD.param_table(spark), "2024-01-31")
@@ -167,11 +184,6 @@ def w1_w5_centred_mean(spark, d):
     return run_of(spark, d).smoothed.select("period", "value", "low", "high", "coverage", "suppressed")
 
 
-STACK = """series AS (SELECT 'composite.raw' AS series_id, period, value, coverage, suppressed, low, high FROM comp
-UNION ALL SELECT 'window.T' || CAST(apd AS VARCHAR), period, value, coverage, coverage < 0.75, NULL, NULL FROM win
-UNION ALL SELECT 'composite', period, value, coverage, suppressed, low, high FROM smooth)"""
-
-
 @add("u2_series_stack", sql("SELECT series_id, 'daily' AS frequency, CAST(period AS VARCHAR) AS period, round(value, 6) AS value, round(coverage, 6) AS coverage, suppressed, round(low, 6) AS low, round(high, 6) AS high FROM series", *RUN, STACK))
 def u2_series_stack(spark, d):
     return run_of(spark, d).series()
@@ -247,10 +259,26 @@ def k1_k2_append_if_absent(spark, d):
     return quality.append_counts(new, quality.append_if_absent(new, target, keys, ["collection_ts", "quote_id"]))
 
 
-@add("k3_k4_upsert", sql("SELECT CAST(period AS VARCHAR) AS period, route_id, apd, carrier, round(CASE WHEN route_id = 1 THEN price * 2 ELSE price END, 6) AS price FROM obs", QUOTES, OBS))
-def k3_k4_upsert(spark, d):
-    o = eligibility.observations(tables.quotes(spark, d))
-    return quality.upsert(o.filter("route_id = 1").withColumn("price", F.col("price") * 2), o, ["period", "route_id", "apd", "carrier"])
+@add("k3_f4_panel_upsert", sql("SELECT CAST(period AS VARCHAR) AS period, route_id, apd, round(round(CASE WHEN route_id = 1 THEN jevons ELSE jevons + 1 END, 8), 6) AS jevons, round(coverage, 4) AS coverage, n_observed FROM panel", *RUN[:6]))
+def k3_f4_panel_upsert(spark, d):
+    rows = panel.panel_rows(run_of(spark, d).panel)
+    path = shared_path(spark, "stratum-panel")
+    sinks.upsert_partitions(panel.panel_rows(rows.withColumn("jevons", F.col("jevons") + 1)), path, ["period", "route_id", "apd"], "period")
+    sinks.upsert_partitions(rows.filter("route_id = 1"), path, ["period", "route_id", "apd"], "period")
+    return spark.read.schema(rows.schema).parquet(path).select("period", "route_id", "apd", "jevons", "coverage", "n_observed")
+
+
+@add("k4_f4_published_values", sql("""SELECT series_id, CAST(period AS VARCHAR) AS period, round(CASE WHEN period >= DATE '2024-01-15' THEN value ELSE value - 1 END, 6) AS value, round(coverage, 4) AS coverage, suppressed, round(low, 6) AS low,
+  CASE WHEN period >= DATE '2024-01-15' THEN 'new' ELSE 'old' END AS config_hash, '2024-02-01 00:00:00' AS published_at FROM series""", *RUN, STACK))
+def k4_f4_published_values(spark, d):
+    run = run_of(spark, d)
+    cells, values = shared_path(spark, "stratum-panel"), shared_path(spark, "index-values")
+    s, rows = stored(run.series(), "series"), panel.panel_rows(run.panel)
+    sinks.publish(rows, panel.index_rows(s.withColumn("value", F.col("value") - 1), "v1", "old", "2024-02-01"), cells, values)
+    again = panel.index_rows(s.filter("period >= date'2024-01-15'"), "v1", "new", "2024-02-02")  # later, and only a part
+    sinks.publish(rows, again, cells, values)
+    out = spark.read.schema(again.schema).parquet(values)
+    return out.select("series_id", "period", "value", "coverage", "suppressed", "low", "config_hash", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"))
 
 
 @add("k5_write_back_flags", sql("""SELECT coalesce(o.outlier, false) AS outlier_flag, exclusion_reason, count(*) AS n FROM quotes q LEFT JOIN (SELECT DISTINCT period, route_id, apd, carrier, true AS outlier FROM flagged WHERE abs(z) > 2.0) o

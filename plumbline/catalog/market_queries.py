@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import parameters
 from ..operators import health, normalise, quality, weights
 from ..plans import reads
+from ..plans.spool import shared_path, stored
 from ..sources import driver_tables as tables
 from ..sources import sinks
-from .common import FLOWS, METHOD, OBS, PANEL, QUOTES, ROUTE, RUN, RUNS, out, routes, sql
+from .common import CURVES, FLOWS, METHOD, OBS, PANEL, QUOTES, ROUTE, RUN, RUNS, out, route_table, sql
 from .index_queries import STACK, run_of
 
 Q, S = {}, {}
@@ -41,8 +43,6 @@ def mapped(spark, d):
 
 @add("s4_traffic_csv", sql("SELECT origin, destination, CAST(period AS VARCHAR) AS period, passengers FROM flows", FLOWS))
 def s4_traffic_csv(spark, d):
-    from ..plans.spool import shared_path
-
     cells, path = tables.flows(spark, d), shared_path(spark, "traffic")
     rows = cells.select(F.year("period").alias("Year"), F.month("period").alias("Month"), F.col("city1").alias("City1"), F.col("city2").alias("City2"), F.col("passengers").alias("PaxToCity2"), F.lit("n/a").alias("PaxFromCity2"))
     rows.write.option("header", True).csv(path)
@@ -78,12 +78,29 @@ def u3_unmapped_codes(spark, d):
     return weights.unmapped_codes(basket(spark, d), tables.cities(spark, d))
 
 
-@add("a32_k6_weight_report", sql("SELECT origin, destination, round(passengers, 6) AS passengers, round(share, 6) AS share, round(share * (SELECT count(*) FROM shares) - 1, 6) + 0.0 AS vs_equal, months_observed, round(share, 6) AS current_weight FROM shares", FLOWS))
-def a32_k6_weight_report(spark, d):
+@add("a32_weight_report", sql("SELECT origin, destination, round(passengers, 6) AS passengers, round(share, 6) AS share, round(share * (SELECT count(*) FROM shares) - 1, 6) + 0.0 AS vs_equal, months_observed, round(share, 6) AS current_weight FROM shares", FLOWS))
+def a32_weight_report(spark, d):
     shares = weights.basket_shares(mapped(spark, d), basket(spark, d))
     return weights.weight_report(shares, shares.select("origin", "destination", F.col("share").alias("weight")))
 
 
+@add("k6_weights_write_back", sql("""SELECT origin, destination, active, CASE WHEN active THEN round(share, 6) END AS weight, CASE WHEN active THEN 'passenger_share' END AS weight_basis, CASE WHEN active THEN 'order lines' END AS weight_source,
+  CASE WHEN active THEN CAST((SELECT max(period) FROM flows) - INTERVAL 11 MONTH AS DATE)::VARCHAR END AS weight_start, CASE WHEN active THEN CAST((SELECT max(period) FROM flows) AS VARCHAR) END AS weight_end
+  FROM (SELECT origin, destination, NOT missing AS active, passengers / sum(passengers) OVER () AS share FROM shares)""", FLOWS))
+def k6_weights_write_back(spark, d):
+    flows, b, path = mapped(spark, d), basket(spark, d), shared_path(spark, "routes")
+    known = weights.basket_shares(flows, b).select("origin", "destination", (~F.col("missing")).alias("active"))
+    sinks.replace_routes(known.withColumn("weight", F.lit(None).cast("double")), path)
+    routes_ = spark.read.parquet(path)
+    in_use = weights.active(routes_)
+    shares = weights.basket_shares(flows, in_use)
+    last = flows.agg(F.max("period").alias("p")).select("p", F.add_months("p", -11).alias("first"), F.add_months("p", 2).alias("today")).first()
+    gates = weights.load_gates(flows, shares, weights.national_totals(tables.flows(spark, d)), weights.unmapped_codes(in_use, tables.cities(spark, d)), str(last.today))
+    new = stored(weights.with_new_weights(routes_, shares, gates, "passenger_share", "order lines", str(last.first), str(last.p), "2024-02-01"), "new-routes")
+    sinks.replace_routes(new, path)
+    return spark.read.parquet(path).drop("weight_retrieved_at")
+
+
 @add("m6_expenditure_shares", sql("""SELECT origin, destination, round(passengers * f / sum(passengers * f) OVER (), 6) AS share, 'expenditure_share' AS weight_basis FROM shares
   JOIN (SELECT origin, destination, avg(passengers) AS f FROM flows GROUP BY ALL) USING (origin, destination) WHERE NOT missing""", FLOWS))
 def m6_expenditure_shares(spark, d):
@@ -277,17 +294,25 @@ def j6_fuel_bands(spark, d):
     return normalise.in_band(li, bands).groupBy("l_linenumber").agg(F.count("*").alias("n"), F.count("carrier_charges").alias("in_band"), F.sum("carrier_charges").alias("charges"))
 
 
-@add("j7_j8_j9_f3_quotes", sql("""SELECT w.origin, w.destination, CAST(w.level1 AS DOUBLE) AS base_fare, CAST(udf AS DOUBLE) AS udf, CAST(gst AS DOUBLE) AS gst, CAST(w.level1 + udf + 406 + 549 + gst AS DOUBLE) AS total_fare FROM
-  (SELECT *, round((level1 + udf + 406) * 0.05, 2) AS gst FROM (SELECT x.*, (CASE WHEN o.n_nationkey % 3 = 0 THEN 152 ELSE 0 END + CASE WHEN e.n_nationkey % 5 = 0 THEN 75 ELSE 0 END) AS udf FROM
-    (SELECT origin, destination, level1 FROM filed WHERE line_no > doc_id UNION ALL SELECT destination, origin, level1 FROM filed WHERE line_no > doc_id) x JOIN nation o ON o.n_name = x.origin JOIN nation e ON e.n_name = x.destination)) w""", TARIFF))
-def j7_j8_j9_f3_quotes(spark, d):
-    f = filed(spark, d).filter("line_no > doc_id").select("origin", "destination", F.col("level1").cast("decimal(10,2)").alias("base_fare"))
+@add("f3_f5_j6_j7_j8_j9_quotes", sql("""SELECT doc_id, w.origin, w.destination, CAST(DATE '2024-02-04' + CAST(doc_id AS INTEGER) AS VARCHAR) AS departure_date, 30 AS advance_purchase_days, CAST(w.level1 AS DOUBLE) AS base_fare, CAST(udf AS DOUBLE) AS udf, 236.0::DOUBLE AS asf, 170.0::DOUBLE AS rcs_levy,
+  CAST(yq AS DOUBLE) AS carrier_charges, CAST(gst AS DOUBLE) AS gst, CAST(w.level1 + udf + 406 + yq + gst AS DOUBLE) AS total_fare FROM
+  (SELECT *, round((level1 + udf + 406) * 0.05, 2) AS gst FROM (SELECT x.*, (CASE WHEN o.n_nationkey % 3 = 0 THEN 152 ELSE 0 END + CASE WHEN e.n_nationkey % 5 = 0 THEN 75 ELSE 0 END) AS udf,
+    CASE WHEN distance % 1500 <= 499 THEN 299 WHEN distance % 1500 BETWEEN 501 AND 1000 THEN 399 WHEN distance % 1500 >= 1001 THEN 549 END AS yq FROM
+    (SELECT doc_id, origin, destination, level1, distance * 7 + line_no AS distance FROM filed WHERE line_no > doc_id UNION ALL SELECT doc_id, destination, origin, level1, distance * 7 + line_no FROM filed WHERE line_no > doc_id) x
+    JOIN nation o ON o.n_name = x.origin JOIN nation e ON e.n_name = x.destination) WHERE doc_id % 4 <> 3 AND yq IS NOT NULL) w""", TARIFF))
+def f3_f5_j6_j7_j8_j9_quotes(spark, d):
+    """Each sheet's routes in both directions with all charges; every fourth sheet lacks a flat charge and gives no quote."""
+    money = lambda x: F.lit(x).cast("decimal(10,2)")
+    f = filed(spark, d).filter("line_no > doc_id").select("doc_id", "origin", "destination", ((F.col("distance") * 7 + F.col("line_no")) % 1500).alias("distance"), F.col("level1").cast("decimal(10,2)").alias("base_fare"))
+    f = normalise.unordered_match(f.select("origin", "destination"), f)
+    f = f.withColumn("collection_ts", F.date_add(F.lit("2024-01-05").cast("date"), F.col("doc_id").cast("int")).cast("timestamp"))
     n = tables.read(spark, d, "nation")
-    fee = lambda x: F.lit(x).cast("decimal(10,2)")
-    ways = normalise.both_directions(normalise.unordered_match(f.select("origin", "destination"), f))
-    q = normalise.with_fees(ways, n.filter("n_nationkey % 3 = 0").select(F.col("n_name").alias("city"), fee(152).alias("fee")), n.filter("n_nationkey % 5 = 0").select(F.col("n_name").alias("code"), fee(75).alias("fee")))
-    gst, total = normalise.gst_and_total(F.col("base_fare"), F.col("udf"), fee(236), fee(170), fee(549))
-    return q.select("origin", "destination", "base_fare", F.col("udf").cast("decimal(10,2)").alias("udf"), gst.alias("gst"), total.alias("total_fare"))
+    kinds = F.explode(F.when(F.col("n_nationkey") % 4 == 3, F.array(F.lit("asf"), F.lit("rcs"))).otherwise(F.array(F.lit("asf"), F.lit("rcs"), F.lit("cute"))))
+    charges = n.select(F.col("n_nationkey").alias("doc_id"), kinds.alias("kind")).withColumn("amount", F.when(F.col("kind") == "asf", money(236)).when(F.col("kind") == "rcs", money(10)).otherwise(money(160)))
+    bands = spark.createDataFrame(BANDS, "lo int, hi int, amount double").withColumn("amount", F.col("amount").cast("decimal(10,2)"))
+    dep, arr = n.filter("n_nationkey % 3 = 0").select(F.col("n_name").alias("city"), money(152).alias("fee")), n.filter("n_nationkey % 5 = 0").select(F.col("n_name").alias("code"), money(75).alias("fee"))
+    q = normalise.fare_quotes(f, normalise.flat_charges(charges), bands, dep, arr)
+    return q.select("doc_id", "origin", "destination", "departure_date", "advance_purchase_days", "base_fare", "udf", "asf", "rcs_levy", "carrier_charges", "gst", "total_fare")
 
 
 @add("f2_gst", "SELECT l_linenumber, count(*) AS n, CAST(sum(gst) AS DOUBLE) AS gst FROM (SELECT l_linenumber, round((CAST(l_extendedprice AS DECIMAL(12, 2)) + 558) * 0.05, 2) AS gst FROM lineitem) GROUP BY ALL")
@@ -297,8 +322,11 @@ def f2_gst(spark, d):
     return tables.read(spark, d, "lineitem").select("l_linenumber", gst.alias("gst")).groupBy("l_linenumber").agg(F.count("*").alias("n"), F.sum("gst").alias("gst"))
 
 
+PAGE_EVENTS = 20_000  # the page number grows with the events, so a page does not
+
+
 def offer_pages(spark, d):
-    """One offer page per route and day, its state blob made of that day's events; every tenth page lacks the blob."""
+    """Offer pages of a route and day, each with the state blob of at most PAGE_EVENTS events; every tenth day's lack the blob."""
     e = tables.read(spark, d, "events")
     k = F.col("event_id")
     o, t = F.concat(F.lit("R"), (F.col("user_id") % 9).cast("string"), F.lit("A")), F.when(k % 6 == 0, "NMI").otherwise("HUB")
@@ -307,20 +335,21 @@ def offer_pages(spark, d):
     key = F.when(k % 4 == 0, F.concat_ws("|", leg, leg)).otherwise(leg)
     item = F.struct(F.lit("<b>Base Fare</b>").alias("text"), F.concat(F.lit("<i>₹"), F.format_number(F.col("value") * 0.8, 2), F.lit("</i>")).alias("amount"))
     journey = F.struct(F.col("value").alias("fare"), F.when(k % 3 == 0, F.array(F.lit("6E"))).alias("airlineCodes"), F.array(key).alias("journeyKeys"), F.struct(F.array(item).alias("fareBreakUpItems")).alias("fareBreakup"))
-    by = e.select(o.alias("origin"), F.to_date("ts").alias("day"), k.alias("k"), journey.alias("j")).groupBy("origin", "day").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", F.to_json("j").alias("j")))), lambda x: x["j"]).alias("js"))
+    page = F.floor(k / PAGE_EVENTS)
+    by = e.select(o.alias("origin"), F.to_date("ts").alias("day"), page.alias("page"), k.alias("k"), journey.alias("j")).groupBy("origin", "day", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", F.to_json("j").alias("j")))), lambda x: x["j"]).alias("js"))
     blob = F.concat(F.lit('{"allJourneys":[['), F.array_join("js", ","), F.lit("]]}"))
     script = F.when(F.dayofmonth("day") % 10 == 0, F.lit("<script>track(1)</script>")).otherwise(F.concat(F.lit('<script id="state" type="application/json">'), blob, F.lit("</script>")))
-    return by.select(F.concat_ws("/", "origin", F.col("day").cast("string")).alias("page_id"), "origin", F.lit("HUB").alias("destination"), F.col("day").cast("timestamp").alias("collection_ts"), F.concat(F.lit("<html>"), script, F.lit("</html>")).alias("html"))
+    return by.select(F.concat_ws("/", "origin", F.col("day").cast("string"), F.col("page").cast("string")).alias("page_id"), "origin", F.lit("HUB").alias("destination"), F.col("day").cast("timestamp").alias("collection_ts"), F.concat(F.lit("<html>"), script, F.lit("</html>")).alias("html"))
 
 
-OFFERS = """offer AS (SELECT 'R' || (user_id % 9) || 'A' AS origin, CAST(ts AS DATE) AS day, event_id AS k, value AS fare, event_id % 4 = 0 AS conn, event_id % 4 <> 0 AND event_id % 6 = 0 AS other,
+OFFERS = """offer AS (SELECT 'R' || (user_id % 9) || 'A' AS origin, CAST(ts AS DATE) AS day, event_id // 20000 AS page, event_id AS k, value AS fare, event_id % 4 = 0 AS conn, event_id % 4 <> 0 AND event_id % 6 = 0 AS other,
   CASE WHEN event_id % 3 = 0 THEN '6E' ELSE upper(substr(event_type, 1, 2)) END AS carrier, CAST(event_id % 40 AS INTEGER) AS lead FROM events),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY origin, day ORDER BY fare, k) AS rn FROM offer WHERE NOT conn AND NOT other) WHERE rn = 1)"""
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY origin, day, page ORDER BY fare, k) AS rn FROM offer WHERE NOT conn AND NOT other) WHERE rn = 1)"""
 
 
-@add("s5_f15_f18_a20_a21_offers", sql("""SELECT p.origin || '/' || CAST(p.day AS VARCHAR) AS page_id, CASE WHEN ok THEN round(b.fare, 6) END AS fare, CASE WHEN ok THEN b.carrier END AS carrier, CASE WHEN ok THEN b.lead END AS lead_days,
+@add("s5_f15_f18_a20_a21_offers", sql("""SELECT p.origin || '/' || CAST(p.day AS VARCHAR) || '/' || p.page AS page_id, CASE WHEN ok THEN round(b.fare, 6) END AS fare, CASE WHEN ok THEN b.carrier END AS carrier, CASE WHEN ok THEN b.lead END AS lead_days,
   CASE WHEN ok THEN n ELSE 0 END AS n_journeys, CASE WHEN ok THEN c ELSE 0 END AS connections, CASE WHEN ok THEN o ELSE 0 END AS other_airports, CASE WHEN NOT ok THEN 'shape_error' WHEN b.fare IS NULL THEN 'no_nonstop' END AS reason
-  FROM (SELECT origin, day, day(day) % 10 <> 0 AS ok, count(*) AS n, count(*) FILTER (conn) AS c, count(*) FILTER (other) AS o FROM offer GROUP BY ALL) p LEFT JOIN best b ON b.origin = p.origin AND b.day = p.day""", OFFERS))
+  FROM (SELECT origin, day, page, day(day) % 10 <> 0 AS ok, count(*) AS n, count(*) FILTER (conn) AS c, count(*) FILTER (other) AS o FROM offer GROUP BY ALL) p LEFT JOIN best b ON b.origin = p.origin AND b.day = p.day AND b.page = p.page""", OFFERS))
 def s5_f15_f18_a20_a21_offers(spark, d):
     r = normalise.cheapest_offers(normalise.journeys(offer_pages(spark, d)))
     return r.select("page_id", "fare", "carrier", "lead_days", "n_journeys", "connections", "other_airports", "reason")
@@ -332,18 +361,27 @@ def f16_offer_base_fares(spark, d):
     return j.groupBy("origin").agg(F.count("*").alias("n"), F.sum("base_fare").alias("base_fares"))
 
 
-@add("f17_f20_page_state", r"""SELECT page_id, sha256(html) AS hash, TRY_CAST(regexp_extract(html, 'track\(([0-9]+)\)', 1) AS BIGINT) AS track, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS text_chars FROM pages""")
+@add("f17_f20_page_state", r"""SELECT page_id, sha256(html) AS hash, TRY_CAST(regexp_extract(html, 'track\(([0-9]+)\)', 1) AS BIGINT) AS track FROM pages""")
 def f17_f20_page_state(spark, d):
-    return tables.read(spark, d, "pages").select("page_id", F.sha2("html", 256).alias("hash"), F.regexp_extract("html", r"track\(([0-9]+)\)", 1).try_cast("long").alias("track"), F.length(F.regexp_replace("html", "<[^>]+>", "")).alias("text_chars"))
+    state = normalise.page_state(tables.read(spark, d, "pages"), r"track\(([0-9]+)\)")
+    return state.select("page_id", "hash", F.col("state").try_cast("long").alias("track"))
 
 
-@add("f5_f6_f7_f19_document_dates", r"""SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS VARCHAR) AS issued, CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INTEGER) AS VARCHAR) AS valid_until,
-  CAST(CAST(o_orderdate AS TIMESTAMP) + INTERVAL 390 MINUTE AS VARCHAR) AS created, o_orderkey % 9 <> 0 AND o_orderkey % 90 > 45 AS stale FROM (SELECT DISTINCT o_orderkey, o_orderdate FROM orders)""")
-def f5_f6_f7_f19_document_dates(spark, d):
+@add("f5_f19_document_dates", r"""SELECT o_orderkey, CASE WHEN k % 9 <> 0 THEN strftime(day + INTERVAL 15 HOUR + INTERVAL 29 MINUTE + INTERVAL 2 SECOND, '%Y-%m-%d %H:%M:%S') END AS issued,
+  strftime(day + INTERVAL 390 MINUTE - CASE k % 3 WHEN 0 THEN INTERVAL 330 MINUTE WHEN 1 THEN -INTERVAL 210 MINUTE ELSE INTERVAL 0 MINUTE END, '%Y-%m-%d %H:%M:%S') AS created,
+  CASE WHEN k % 7 <> 0 THEN CAST(CAST(day AS DATE) + CAST(k % 90 AS INTEGER) AS VARCHAR) END AS valid_until, CASE WHEN k % 9 <> 0 THEN k % 160 - 1 > 75 END AS aged, CASE WHEN k % 7 <> 0 THEN k % 160 > k % 90 END AS expired,
+  CAST(CAST(day AS DATE) + CAST(k % 160 AS INTEGER) + 30 AS VARCHAR) AS departure FROM (SELECT DISTINCT o_orderkey, o_orderkey AS k, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day FROM orders)""")
+def f5_f19_document_dates(spark, d):
+    k, day = F.col("o_orderkey"), F.col("day")
     o = tables.read(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day")).distinct()
-    stamp = F.translate(F.upper(F.date_format("day", "dd-MMM-yyyy")), "-", "−")
-    text = F.concat(F.when(F.col("o_orderkey") % 9 != 0, F.concat(F.lit("ISSUED "), stamp)).otherwise("ISSUED 99-XXX-0000"), F.lit(" D:"), F.date_format("day", "yyyyMMdd"), F.lit("063000+00'00' VALID UNTIL "), F.date_add("day", (F.col("o_orderkey") % 90).cast("int")).cast("string"))
-    return normalise.document_dates(o.select("o_orderkey", text.alias("text"))).select("o_orderkey", "issued", "valid_until", "created", F.coalesce("stale", F.lit(False)).alias("stale"))
+    issued = F.when(k % 9 != 0, F.concat(F.translate(day.cast("string"), "-", "\u2212"), F.lit(" 15:29:02.126928"))).otherwise("2024\u221213\u221299 15:29:02")
+    offset = F.when(k % 3 == 0, "+05'30'").when(k % 3 == 1, "-03'30'").otherwise("+00'00'")
+    until = F.date_add("day", (k % 90).cast("int"))
+    till = F.concat(F.dayofmonth(until).cast("string"), F.lit("th "), F.date_format(until, "MMMM yyyy"))
+    text = F.concat(issued, F.lit("\nD:"), F.date_format("day", "yyyyMMdd"), F.lit("063000"), offset, F.lit("\nFares for the period W.I.E. till "), F.when(k % 7 != 0, till).otherwise("further notice"))
+    docs = o.select("o_orderkey", text.alias("text"), (F.date_add("day", (k % 160).cast("int")).cast("timestamp") + F.make_dt_interval(hours=F.lit(10))).alias("collection_ts"))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return normalise.document_dates(docs).select("o_orderkey", stamp("issued"), stamp("created"), "valid_until", "aged", "expired", normalise.anchor_departure(F.col("collection_ts")).alias("departure"))
 
 
 # --- read side
@@ -366,9 +404,9 @@ def q2_w6_index_latest(spark, d):
     return reads.index_latest(values(spark, d), "window.T7")
 
 
-@add("q3_routes", sql("SELECT route_id, round(weight, 6) AS weight FROM routes WHERE weight IS NOT NULL", QUOTES, ROUTE))
+@add("q3_routes", sql("SELECT route_id, 'R0' || route_id AS origin, 'HUB' AS destination, CASE WHEN route_id % 2 = 0 THEN 'metro' ELSE 'regional' END AS stratum_class, CASE WHEN route_id <> 2 THEN round(weight, 6) END AS weight FROM routes WHERE route_id % 4 <> 3", QUOTES, ROUTE))
 def q3_routes(spark, d):
-    return routes(spark, d).filter("weight is not null").select("route_id", "weight")
+    return reads.routes(route_table(spark, d))
 
 
 @add("q4_o2_quotes", sql("SELECT quote_id, carrier, CAST(period AS VARCHAR) AS period, round(total_fare, 6) AS total_fare FROM quotes WHERE route_id = 1 AND carrier = 'view' AND period BETWEEN DATE '2024-01-03' AND DATE '2024-01-28' ORDER BY collection_ts DESC, quote_id DESC LIMIT 100", QUOTES))
@@ -396,31 +434,37 @@ def q9_carrier_dispersion(spark, d):
     return reads.carrier_dispersion(run_of(spark, d).obs)
 
 
-@add("q10_quality_panel", sql("SELECT source, CAST(period AS VARCHAR) AS period, count(*) FILTER (observation_status = 'observed') AS observed, count(*) FILTER (observation_status = 'collection_failed') AS collection_failed FROM quotes GROUP BY ALL", QUOTES))
+@add("q10_quality_panel", sql("""SELECT source, CAST(q.period AS VARCHAR) AS period, count(*) FILTER (observation_status = 'observed') AS observed, 0 AS no_service, count(*) FILTER (observation_status = 'collection_failed') AS collection_failed, 0 AS imputed,
+  round(count(*) FILTER (observation_status = 'observed') / count(*), 6) AS yield, round(any_value(c.coverage), 6) AS coverage, coalesce(any_value(c.suppressed), 0) AS suppressed
+  FROM quotes q LEFT JOIN (SELECT period, avg(coverage) AS coverage, count(*) FILTER (suppressed) AS suppressed FROM panel GROUP BY period) c ON c.period = q.period GROUP BY source, q.period""", *RUN[:6]))
 def q10_quality_panel(spark, d):
-    return reads.quality_panel(tables.quotes(spark, d))
+    return reads.quality_panel(tables.quotes(spark, d), run_of(spark, d).panel)
 
 
-@add("q12_audit_trail", sql("SELECT CAST(c.period AS VARCHAR) AS period, round(c.value, 6) AS value, count(*) AS n_quotes, count(DISTINCT run_id) AS n_runs, count(DISTINCT run_id) AS n_payloads FROM comp c JOIN quotes q USING (period) GROUP BY c.period, c.value", *RUN))
+@add("q12_audit_trail", sql("""SELECT 'v1' AS vintage_id, 'hash' AS config_hash, CAST(c.period AS VARCHAR) AS period, round(c.value, 6) AS value, p.route_id, p.apd, round(p.jevons, 6) AS jevons, run_id, sha256(run_id) AS raw_payload_hash, count(run_id) AS n_quotes
+  FROM comp c JOIN panel p USING (period) LEFT JOIN quotes q ON q.period = p.period AND q.route_id = p.route_id AND q.apd = p.apd AND observation_status = 'observed' AND exclusion_reason IS NULL AND total_fare > 0 AND (fare_class IS NULL OR fare_class NOT IN ('filed_floor', 'filed_base', 'uncontrolled_lead'))
+  GROUP BY c.period, c.value, p.route_id, p.apd, p.jevons, run_id""", *RUN))
 def q12_audit_trail(spark, d):
-    q = tables.quotes(spark, d).withColumn("raw_payload_hash", F.sha2("run_id", 256))
-    return reads.audit_trail(run_of(spark, d).composite, q)
+    run = run_of(spark, d)
+    values = run.composite.select(F.lit("v1").alias("vintage_id"), F.lit("hash").alias("config_hash"), "period", "value")
+    return reads.audit_trail(values, run.panel, tables.quotes(spark, d).withColumn("raw_payload_hash", F.sha2("run_id", 256)))
 
 
-@add("q6_methodology", sql("SELECT count(*) AS n_params, 64 AS hash_chars FROM (SELECT unnest(range(0, 15 + (SELECT count(DISTINCT event_type) FROM events))))"))
-def q6_methodology(spark, d):
-    from .. import parameters
+PARAMS = """p AS (SELECT 'stratum_floor' AS key, '0.6' AS value UNION ALL SELECT 'headline_floor', '0.75' UNION ALL SELECT 'outlier_z', '3.5' UNION ALL SELECT 'curve.' || curve || '.' || apd, CAST(CAST(cw AS DOUBLE) AS VARCHAR) FROM curves
+  UNION ALL SELECT DISTINCT 'carrier.' || event_type, '1.0' FROM events)"""
+
 
+@add("q6_methodology", sql("SELECT key, value, (SELECT sha256(string_agg(key || '=' || value, chr(10) ORDER BY key || '=' || value)) FROM p) AS config_hash FROM p", CURVES, PARAMS))
+def q6_methodology(spark, d):
+    """The parameters in use and their stamp: of the expected carriers those that the events have."""
     p = METHOD.param_table(spark)
-    seen = tables.read(spark, d, "events").select(F.col("event_type").alias("carrier")).distinct()
-    used = p.join(F.broadcast(seen.select(F.concat(F.lit("carrier."), "carrier").alias("key"))), "key", "left_semi").unionByName(p.filter("key not like 'carrier.%'"))
-    return used.agg(F.count("*").alias("n_params")).crossJoin(parameters.stamp(used).select(F.length("config_hash").alias("hash_chars")))
+    seen = tables.read(spark, d, "events").select(F.concat(F.lit("carrier."), "event_type").alias("key")).distinct()
+    used = p.join(F.broadcast(seen), "key", "left_semi").unionByName(p.filter("key not like 'carrier.%'"))
+    return used.crossJoin(F.broadcast(parameters.stamp(used)))
 
 
 @add("k9_o3_sdmx_export", sql("SELECT 'dataflow' AS STRUCTURE, 'PLUMBLINE:INDEX(1.0)' AS STRUCTURE_ID, 'D' AS FREQ, series_id AS SERIES, CAST(period AS VARCHAR) AS TIME_PERIOD, round(value, 6) AS OBS_VALUE, CASE WHEN suppressed THEN 'S' ELSE 'A' END AS OBS_STATUS FROM series", *RUN, STACK))
 def k9_o3_sdmx_export(spark, d):
-    from ..plans.spool import shared_path
-
     rows, path = reads.sdmx_rows(run_of(spark, d).series()), shared_path(spark, "sdmx")
     rows.write.option("header", True).csv(path)
     return spark.read.option("header", True).schema(rows.schema).csv(path)

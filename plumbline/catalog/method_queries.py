@@ -63,7 +63,14 @@ def m3_geks_window(spark, d):
     return multilateral.geks(multilateral.bilateral(tables.monthly_prices(spark, d)), F.lit("2000-01-01").cast("date"), F.lit("2001-01-01").cast("date"))
 
 
-@add("m3_rolling_geks")
+ROLLING = """idx AS (SELECT stratum, period, row_number() OVER (PARTITION BY stratum ORDER BY period) AS k, 12 * year(period) + month(period) AS m FROM (SELECT DISTINCT stratum, period FROM prices)),
+pr AS (SELECT p.stratum, a.k AS s, a.m AS ms, b.k AS t, b.m AS mt, g FROM pairs p JOIN idx a ON a.stratum = p.stratum AND a.period = p.s JOIN idx b ON b.stratum = p.stratum AND b.period = p.t),
+step AS (SELECT x.stratum, y.t, x.s, avg(x.g + y.g) AS g FROM pr x JOIN pr y ON x.stratum = y.stratum AND x.t = y.s WHERE x.ms <= y.mt AND y.mt - x.ms < 13 AND x.mt <= y.mt AND y.mt - x.mt < 13 AND x.s < y.t GROUP BY ALL),
+gl AS (SELECT i.stratum, i.k, i.period, coalesce(list({'s': s, 'g': g}) FILTER (s IS NOT NULL), []) AS steps FROM idx i LEFT JOIN step ON step.stratum = i.stratum AND step.t = i.k GROUP BY i.stratum, i.k, i.period)"""
+
+
+@add("m3_rolling_geks", sql("""SELECT stratum, CAST(period AS VARCHAR) AS period, round(100 * exp(lp[k]), 6) AS value FROM (WITH RECURSIVE r(stratum, k, period, lp) AS (SELECT stratum, k, period, [0.0::DOUBLE] FROM gl WHERE k = 1 UNION ALL
+  SELECT gl.stratum, gl.k, gl.period, list_append(r.lp, CASE WHEN len(gl.steps) > 0 THEN list_avg([r.lp[x.s] + x.g for x in gl.steps]) ELSE 0.0 END) FROM r JOIN gl ON gl.stratum = r.stratum AND gl.k = r.k + 1) SELECT * FROM r)""", PRICES, PAIRS, ROLLING))
 def m3_rolling_geks(spark, d):
     return multilateral.rolling_geks(tables.monthly_prices(spark, d))
 
@@ -97,10 +104,17 @@ def j15_benchmark_join(spark, d):
     return validate.benchmark_join(*halves(spark, d), ["period"])
 
 
-@add("m7_scores", sql("""SELECT round(avg(CASE WHEN ca IS NOT NULL AND cb IS NOT NULL THEN CASE WHEN sign(ca) = sign(cb) THEN 1.0 ELSE 0.0 END END), 6) AS direction, round((SELECT corr(ra, rb) FROM (SELECT rank() OVER (ORDER BY va) AS ra, rank() OVER (ORDER BY vb) AS rb FROM both_)), 6) AS spearman,
-  round(avg(CASE WHEN cb <> 0 AND ca IS NOT NULL THEN abs((ca - cb) / cb) END), 6) AS mape FROM both_""", HALVES))
+BY_ROUTE = """part_ AS (SELECT l_linenumber % 2 AS odd, l_suppkey % 25 AS route, CAST(date_trunc('month', l_shipdate) AS DATE) AS period, avg(l_extendedprice) AS value FROM lineitem GROUP BY ALL),
+rc AS (SELECT *, value / lag(value) OVER (PARTITION BY odd, route ORDER BY period) - 1 AS c FROM part_),
+rb AS (SELECT a.route, a.value AS va, b.value AS vb, a.c AS ca, b.c AS cb FROM rc a JOIN rc b USING (route, period) WHERE a.odd = 1 AND b.odd = 0),
+lv AS (SELECT route, avg(va) AS va, avg(vb) AS vb FROM rb GROUP BY route)"""
+
+
+@add("m7_scores", sql("""SELECT round(avg(CASE WHEN ca IS NOT NULL AND cb IS NOT NULL THEN CASE WHEN sign(ca) = sign(cb) THEN 1.0 ELSE 0.0 END END), 6) AS direction, round((SELECT corr(x, y) FROM (SELECT rank() OVER (ORDER BY va) AS x, rank() OVER (ORDER BY vb) AS y FROM lv)), 6) AS spearman,
+  round(avg(CASE WHEN cb <> 0 AND ca IS NOT NULL THEN abs((ca - cb) / cb) END), 6) AS mape FROM rb""", BY_ROUTE))
 def m7_scores(spark, d):
-    return validate.scores(*halves(spark, d), [])
+    each = tables.read(spark, d, "lineitem").groupBy((F.col("l_linenumber") % 2).alias("odd"), (F.col("l_suppkey") % 25).alias("route"), F.trunc("l_shipdate", "MM").alias("period")).agg(F.avg("l_extendedprice").alias("value"))
+    return validate.scores(each.filter("odd = 1").drop("odd"), each.filter("odd = 0").drop("odd"), ["route"])
 
 
 @add("m8_lead_lag", sql("SELECT k AS lag, round(corr(a.ca, b.cb), 6) AS correlation, count(*) AS n FROM (SELECT *, unnest([-3, -2, -1, 0, 1, 2, 3]) AS k FROM both_ WHERE ca IS NOT NULL) a JOIN both_ b ON b.period = a.period + to_months(k) AND b.cb IS NOT NULL GROUP BY k", HALVES))
@@ -115,16 +129,18 @@ def m9_revisions(spark, d):
     return validate.revisions(stored, c, ["period"])
 
 
-@add("m10_event_calendar", sql("SELECT CAST(period AS VARCHAR) AS period, round(value, 6) AS value, CASE WHEN period BETWEEN DATE '2024-01-12' AND DATE '2024-01-16' THEN 'festival,strike' WHEN period BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' THEN 'festival' END AS events FROM comp", *RUN[:9]))
+@add("m10_event_calendar", sql("""SELECT CAST(period AS VARCHAR) AS period, round(value, 6) AS value, CASE WHEN period BETWEEN DATE '2024-01-12' AND DATE '2024-01-14' THEN 'festival,strike' WHEN period BETWEEN DATE '2024-01-10' AND DATE '2024-01-14' THEN 'festival' WHEN period BETWEEN DATE '2024-01-15' AND DATE '2024-01-16' THEN 'fare cap,festival,strike'
+  WHEN period BETWEEN DATE '2024-01-17' AND DATE '2024-01-20' THEN 'fare cap,festival' WHEN period > DATE '2024-01-20' THEN 'fare cap' END AS events, period >= DATE '2024-01-15' AS structural_break, CAST(period >= DATE '2024-01-15' AS INTEGER) AS regime FROM comp""", *RUN[:9]))
 def m10_event_calendar(spark, d):
-    c = spark.createDataFrame([("festival", "2024-01-10", "2024-01-20"), ("strike", "2024-01-12", "2024-01-16")], "name string, starts string, ends string").selectExpr("name", "date(starts) as starts", "date(ends) as ends")
+    c = [("festival", "2024-01-10", "2024-01-20", False), ("strike", "2024-01-12", "2024-01-16", False), ("fare cap", "2024-01-15", None, True)]
+    c = spark.createDataFrame(c, "name string, starts string, ends string, breaks boolean").selectExpr("name", "date(starts) as starts", "date(ends) as ends", "breaks")
     return validate.annotated(run_of(spark, d).composite.select("period", "value"), c)
 
 
 # --- streams
 
 
-@add("t1_s8_k7_spool_ingest", sql("SELECT quote_id, CAST(period AS VARCHAR) AS period, round(CAST(total_fare AS DECIMAL(10, 2)), 2) AS total_fare FROM (SELECT *, row_number() OVER (PARTITION BY source, carrier, route_id, apd, coalesce(fare_class, ''), period ORDER BY started_at, quote_id) AS rn FROM (SELECT q.*, min(collection_ts) OVER (PARTITION BY run_id) AS started_at FROM quotes q)) WHERE rn = 1", QUOTES))
+@add("t1_s8_k7_spool_ingest", sql("SELECT quote_id, CAST(period AS VARCHAR) AS period, round(CAST(total_fare AS DECIMAL(10, 2)), 2) AS total_fare FROM (SELECT *, row_number() OVER (PARTITION BY source, carrier, route_id, apd, coalesce(fare_class, ''), period ORDER BY started_at, quote_id) AS rn FROM (SELECT q.*, min(collection_ts) OVER (PARTITION BY run_id, quote_id // 20000) AS started_at FROM quotes q)) WHERE rn = 1", QUOTES))
 def t1_s8_k7_spool_ingest(spark, d):
     folder, table, mark = (spool.shared_path(spark, n) for n in ("spool", "quotes", "mark"))
     spool.write_spool(tables.quotes(spark, d), folder)
@@ -140,9 +156,9 @@ def t2_daily_yield(spark, d):
     stream = spark.readStream.schema(r.schema).parquet(folder)
 
     def land(batch, _):
-        batch.write.mode("overwrite").parquet(table)
+        sinks.upsert_partitions(batch, table, ["day", "source"], "day")
 
-    ingest.daily_yield(stream).writeStream.outputMode("complete").foreachBatch(land).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+    ingest.daily_yield(stream).writeStream.outputMode("update").foreachBatch(land).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(table)
 
 

@@ -21,11 +21,13 @@ def monthly_from_weeks(weekly: DataFrame) -> DataFrame:
 def bilateral(prices: DataFrame, window: int = 13) -> DataFrame:
     """(stratum, s, t, log_index, n): matched Jevons between any two months less than `window` months apart, both orders.
 
-    prices(period, stratum, item, price) has one row per item and month, so an item meets itself at most window times.
+    prices(period, stratum, item, price) has one row per item and month. Each row names the months it may meet, so the join is
+    on equal keys and an item's row meets at most 2 * window - 1 others, however long the series is.
     """
     p = prices.filter("price > 0").select("stratum", "item", "period", F.ln("price").alias("lp"), (12 * F.year("period") + F.month("period")).alias("m"))
-    a, b = p.withColumnsRenamed({"period": "s", "lp": "ls", "m": "ms"}), p.withColumnsRenamed({"period": "t", "lp": "lt", "m": "mt"})
-    both = a.join(b, ["stratum", "item"]).filter(F.abs(F.col("ms") - F.col("mt")) < window)
+    near = F.explode(F.sequence(F.col("m") - (window - 1), F.col("m") + (window - 1))).alias("m")
+    a = p.select("stratum", "item", F.col("period").alias("s"), F.col("lp").alias("ls"), near)
+    both = a.join(p.withColumnsRenamed({"period": "t", "lp": "lt"}), ["stratum", "item", "m"])
     return both.groupBy("stratum", "s", "t").agg(F.avg(F.col("lt") - F.col("ls")).alias("log_index"), F.count("*").alias("n"))
 
 
@@ -51,7 +53,7 @@ def rolling_geks(prices: DataFrame, window: int = 13) -> DataFrame:
     ends = month.select("stratum", F.col("period").alias("last"), F.col("m").alias("ml"))
     idx = lambda c: 12 * F.year(c) + F.month(c)
     inside = lambda c: (idx(c) <= F.col("ml")) & (idx(c) > F.col("ml") - window)
-    to_last = pairs.join(ends, "stratum").filter((F.col("t") == F.col("last")) & inside("s")).select("stratum", "last", F.col("s").alias("k"), F.col("log_index").alias("b"))
+    to_last = pairs.withColumnRenamed("t", "last").join(ends, ["stratum", "last"]).filter(inside("s")).select("stratum", "last", F.col("s").alias("k"), F.col("log_index").alias("b"))
     from_s = pairs.select("stratum", "s", F.col("t").alias("k"), F.col("log_index").alias("a"))
     links = from_s.join(to_last, ["stratum", "k"]).join(ends, ["stratum", "last"]).filter(inside("s") & inside("k"))
     steps = links.groupBy("stratum", "last", "s").agg(F.avg(F.col("a") + F.col("b")).alias("g"))

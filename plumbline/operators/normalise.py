@@ -169,14 +169,60 @@ def cheapest_offers(df: DataFrame) -> DataFrame:
     return out.select("page_id", "origin", "destination", "b.fare", "b.carrier", "b.base_fare", "lead_days", "n_journeys", "connections", "other_airports", reason.alias("reason"))
 
 
-def document_dates(df: DataFrame, text: str = "text", max_age_days: int = 45) -> DataFrame:
-    """Adds issued, created, valid_until and stale from a document's stamps; a stamp that is missing or broken stays null."""
-    issued = F.regexp_extract(text, r"ISSUED (\d{2}[\x{2212}-][A-Z]{3}[\x{2212}-]\d{4})", 1)
-    issued = F.to_date(F.try_to_timestamp(F.initcap(F.translate(issued, "\u2212", "-")), F.lit("dd-MMM-yyyy")))
-    created = F.regexp_extract(text, r"D:(\d{14})", 1)
-    offset = F.regexp_extract(text, r"D:\d{14}([+-]\d{2})'(\d{2})'", 1)
-    made = F.try_to_timestamp(created, F.lit("yyyyMMddHHmmss"))
-    made = made - F.make_dt_interval(hours=F.coalesce(offset.try_cast("int"), F.lit(0)))
-    until = F.to_date(F.try_to_timestamp(F.regexp_extract(text, r"VALID UNTIL (\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd")))
-    out = df.withColumn("issued", issued).withColumn("created", made).withColumn("valid_until", until)
-    return out.withColumn("stale", F.datediff("valid_until", "issued") > max_age_days)
+# How the documents write their dates, and the age from which an issue stamp counts as old.
+ISSUE_STAMP = r"(\d{4}[\x{2212}-]\d{2}[\x{2212}-]\d{2} \d{2}:\d{2}:\d{2})"
+CREATION_STAMP = r"D:(\d{14})([+-])(\d{2})'(\d{2})"
+VALIDITY_END = r"(?i)period\s+W\.I\.E\.\s+till\s+(\d{1,2})\w{0,2}\s+([a-z]{3})[a-z]*\s+(\d{4})"
+MAX_AGE_DAYS = 75
+ANCHOR_DAYS = 30
+FILED_CLASS = "filed_base"
+
+
+def document_dates(df: DataFrame, text: str = "text", collected: str = "collection_ts", max_age_days: int = MAX_AGE_DAYS) -> DataFrame:
+    """Adds issued, created (both UTC), valid_until, aged and expired from the stamps in a document's text.
+
+    aged: whole days from issue to collection are more than max_age_days; expired: the collection day is past the validity.
+    A stamp that is missing or broken is null, never the present, and what is decided from it is null too.
+    """
+    issued = F.try_to_timestamp(F.translate(F.regexp_extract(text, ISSUE_STAMP, 1), "\u2212", "-"), F.lit("yyyy-MM-dd HH:mm:ss"))
+    part = lambda i: F.regexp_extract(text, CREATION_STAMP, i)
+    sign = F.when(part(2) == "-", -1).otherwise(1)
+    offset = F.make_dt_interval(hours=sign * part(3).try_cast("int"), mins=sign * part(4).try_cast("int"))
+    created = F.try_to_timestamp(part(1), F.lit("yyyyMMddHHmmss")) - offset
+    until = F.concat_ws(" ", *[F.initcap(F.regexp_extract(text, VALIDITY_END, i)) for i in (1, 2, 3)])
+    until = F.to_date(F.try_to_timestamp(until, F.lit("d MMM yyyy")))
+    out = df.withColumn("issued", issued).withColumn("created", created).withColumn("valid_until", until)
+    days = F.floor((F.unix_seconds(F.col(collected)) - F.unix_seconds("issued")) / 86400)
+    return out.withColumn("aged", days > max_age_days).withColumn("expired", F.to_date(collected) > F.col("valid_until"))
+
+
+def anchor_departure(collected: Column, days: int = ANCHOR_DAYS) -> Column:
+    """The departure day of a fare that is filed without a travel date: a fixed lead after the UTC day of collection."""
+    return F.date_add(F.to_date(collected), days)
+
+
+def flat_charges(charges: DataFrame) -> DataFrame:
+    """(doc_id, asf, rcs_cute) of documents that file all three flat charges; a document that lacks one gets no total at all."""
+    of = lambda kind: F.first(F.when(F.col("kind") == kind, F.col("amount")), ignorenulls=True)
+    out = charges.groupBy("doc_id").agg(of("asf").alias("asf"), of("rcs").alias("rcs"), of("cute").alias("cute")).filter("asf is not null and rcs is not null and cute is not null")
+    return out.select("doc_id", "asf", (F.col("rcs") + F.col("cute")).alias("rcs_cute"))
+
+
+def fare_quotes(filed: DataFrame, flat: DataFrame, bands: DataFrame, departure: DataFrame, arrival: DataFrame) -> DataFrame:
+    """filed(doc_id, origin, destination, distance, base_fare, collection_ts) -> one decomposed quote per direction.
+
+    Fuel comes from the band of the distance: without a band there is no total, hence no quote. Fees of departure(city, fee)
+    and arrival(code, fee) that are not filed count 0; flat(doc_id, asf, rcs_cute) holds one row a document.
+    """
+    q = in_band(filed, bands).filter("carrier_charges is not null").join(F.broadcast(flat), "doc_id")
+    q = with_fees(both_directions(q), departure, arrival).withColumn("udf", F.col("udf").cast("decimal(10,2)"))
+    gst, total = gst_and_total(F.col("base_fare"), F.col("udf"), F.col("asf"), F.col("rcs_cute"), F.col("carrier_charges"))
+    return q.select(
+        "doc_id", "origin", "destination", anchor_departure(F.col("collection_ts")).alias("departure_date"), "collection_ts", F.lit(ANCHOR_DAYS).alias("advance_purchase_days"), F.lit(FILED_CLASS).alias("fare_class"),
+        F.lit(True).alias("is_nonstop"), "base_fare", "udf", "asf", F.col("rcs_cute").alias("rcs_levy"), "carrier_charges", gst.alias("gst"), total.alias("total_fare"), F.lit("observed").alias("observation_status"),
+    )
+
+
+def page_state(pages: DataFrame, pattern: str = STATE) -> DataFrame:
+    """pages(page_id, html) -> (page_id, hash, state): the payload's SHA-256 and the state blob, null where the page has none."""
+    return pages.select("page_id", F.sha2(F.col("html").cast("binary"), 256).alias("hash"), F.nullif(F.regexp_extract("html", pattern, 1), F.lit("")).alias("state"))

@@ -70,6 +70,23 @@ def window_index(panel: DataFrame, weights: DataFrame, floor: float) -> DataFram
     return out.filter("sw > 0").select("period", "apd", (BASE * F.col("swj") / F.col("sw")).alias("value"), "coverage", (F.col("coverage") < floor).alias("suppressed"))
 
 
+def in_order(panel: DataFrame) -> DataFrame:
+    """The panel as it is presented: by day, route and lead window."""
+    return panel.orderBy("period", "route_id", "apd")
+
+
+def panel_rows(panel: DataFrame) -> DataFrame:
+    """The panel as it is stored: relatives to 8 decimals, coverage to 4."""
+    return panel.withColumn("jevons", F.round("jevons", 8)).withColumn("coverage", F.round("coverage", 4))
+
+
+def index_rows(series: DataFrame, vintage_id: str, config_hash: str, published_at: str) -> DataFrame:
+    """Series rows as they are published: values and band to 6 decimals, coverage to 4, with vintage, methodology and time."""
+    to = lambda digits, *names: {c: F.round(c, digits) for c in names}
+    out = series.withColumns({**to(6, "value", "low", "high"), **to(4, "coverage")})
+    return out.withColumns({"vintage_id": F.lit(vintage_id), "config_hash": F.lit(config_hash), "published_at": F.lit(published_at).cast("timestamp")})
+
+
 def weight_label(routes: DataFrame) -> DataFrame:
     """One row (basis, source, starts, ends, n_groups): the first provenance group by source, or equal_fallback."""
     groups = routes.filter("weight is not null").groupBy("weight_basis", "weight_source").agg(F.min("weight_start").alias("starts"), F.max("weight_end").alias("ends"))

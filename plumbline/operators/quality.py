@@ -28,8 +28,12 @@ def append_counts(new: DataFrame, fresh: DataFrame) -> DataFrame:
     return new.agg(F.count("*").alias("n")).crossJoin(fresh.agg(F.count("*").alias("written"))).select("written", (F.col("n") - F.col("written")).alias("duplicate"))
 
 
-def upsert(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
-    """The table after an upsert: new rows, and old ones whose key is not among them."""
+def upsert(new: DataFrame, old: DataFrame, keys: list[str], first_seen: list[str] = ()) -> DataFrame:
+    """The table after an upsert: new rows, and old ones whose key is not among them. The columns first_seen keep the value
+    that an old row of the key has, such as the time of its first publication."""
+    if first_seen:
+        before = old.select(*keys, *[F.col(c).alias(f"__{c}") for c in first_seen])
+        new = new.join(before, keys, "left").select(*[F.coalesce(f"__{c}", c).alias(c) if c in first_seen else c for c in new.columns])
     return new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
 
 

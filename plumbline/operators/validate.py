@@ -13,18 +13,20 @@ def benchmark_join(ours: DataFrame, theirs: DataFrame, keys: list[str]) -> DataF
 
 
 def scores(ours: DataFrame, theirs: DataFrame, by: list[str]) -> DataFrame:
-    """One row: share of months with the same direction, Spearman rank correlation of levels, mean absolute relative error of
-    the changes (months in which the benchmark does not change are left out of it)."""
+    """One row: share of changes with the same direction, Spearman rank correlation of the levels of the series `by` (their means
+    over the common months), and mean absolute relative error of the changes, without those where the benchmark stands still."""
     a, b = change(ours, by), change(theirs, by)
     keys = [*by, "period"]
     both = a.select(*keys, F.col("value").alias("va"), F.col("change").alias("ca")).join(b.select(*keys, F.col("value").alias("vb"), F.col("change").alias("cb")), keys)
+    level = both.groupBy(*by).agg(F.avg("va").alias("va"), F.avg("vb").alias("vb"))
     mean_rank = lambda c: (F.rank().over(Window.orderBy(c)) + (F.count("*").over(Window.partitionBy(c)) - 1) / 2)
-    ranked = both.withColumn("ra", mean_rank("va")).withColumn("rb", mean_rank("vb"))  # months of a few series
+    ranked = level.select(mean_rank("va").alias("ra"), mean_rank("vb").alias("rb"))  # one row a route: the basket is a short list
     moved = F.col("ca").isNotNull() & F.col("cb").isNotNull()
-    return ranked.agg(
-        F.avg(F.when(moved, (F.signum("ca") == F.signum("cb")).cast("double"))).alias("direction"), F.corr("ra", "rb").alias("spearman"),
+    changes = both.agg(
+        F.avg(F.when(moved, (F.signum("ca") == F.signum("cb")).cast("double"))).alias("direction"),
         F.avg(F.when(moved & (F.col("cb") != 0), F.abs((F.col("ca") - F.col("cb")) / F.col("cb")))).alias("mape"),
     )
+    return changes.crossJoin(ranked.agg(F.corr("ra", "rb").alias("spearman"))).select("direction", "spearman", "mape")
 
 
 def lead_lag(ours: DataFrame, theirs: DataFrame, max_lag: int = 3) -> DataFrame:
@@ -44,10 +46,16 @@ def revisions(stored: DataFrame, recomputed: DataFrame, keys: list[str], digits:
 
 
 def annotated(series: DataFrame, calendar: DataFrame) -> DataFrame:
-    """series with the names of the events that hold on each day; values are neither smoothed nor left out.
+    """series with events, structural_break and regime; values are neither smoothed nor left out.
 
-    calendar(name, starts, ends) is a list kept by hand, so it is broadcast.
+    calendar(name, starts, ends, breaks) is a list kept by hand, so it is broadcast; without an end it holds on. events: names of
+    the entries that hold on the day; structural_break: one of them breaks the series (a fare band, a cap); regime: how many
+    breaks have begun by then, so that changes across two regimes can be told from movements of the market.
     """
-    on = F.col("period").between(F.col("starts"), F.col("ends"))
-    hit = series.select("period").distinct().join(F.broadcast(calendar), on).groupBy("period").agg(F.array_join(F.array_sort(F.collect_list("name")), ",").alias("events"))
-    return series.join(hit, "period", "left")
+    c = F.broadcast(calendar.withColumnsRenamed({"name": "__name", "starts": "__starts", "ends": "__ends", "breaks": "__breaks"}))
+    holds = F.coalesce(F.col("period") <= F.col("__ends"), F.lit(True))
+    hit = series.select("period").distinct().join(c, F.col("period") >= F.col("__starts")).groupBy("period").agg(
+        F.array_join(F.array_sort(F.collect_list(F.when(holds, F.col("__name")))), ",").alias("events"), F.bool_or(holds & F.col("__breaks")).alias("structural_break"), F.count_if("__breaks").cast("int").alias("regime")
+    )
+    out = series.join(hit, "period", "left").withColumn("events", F.nullif("events", F.lit("")))
+    return out.withColumn("structural_break", F.coalesce("structural_break", F.lit(False))).withColumn("regime", F.coalesce("regime", F.lit(0)))

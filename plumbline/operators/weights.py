@@ -96,6 +96,29 @@ def weight_report(shares: DataFrame, routes: DataFrame) -> DataFrame:
     return out.select("origin", "destination", "passengers", "share", (F.col("share") * F.col("n") - 1).alias("vs_equal"), "months_observed", F.col("weight").alias("current_weight"))
 
 
+def active(routes: DataFrame) -> DataFrame:
+    """The basket's routes in use. A table without the column `active` has only such routes."""
+    return routes.filter("active") if "active" in routes.columns else routes
+
+
+def with_new_weights(routes: DataFrame, shares: DataFrame, gates: DataFrame, basis: str, source: str, starts: str, ends: str, retrieved_at: str) -> DataFrame:
+    """The route table after a load: every active route gets its share and where it comes from, inactive ones stay as they are.
+
+    All or nothing: if a gate of load_gates() failed, or an active route has no share, it is an error and nothing changes.
+    """
+    failed = gates.select("failed").first()[0]
+    share = shares.filter("not missing").select("origin", "destination", "share")
+    in_use = F.coalesce("active", F.lit(False)) if "active" in routes.columns else F.lit(True)
+    out = routes.join(share, ["origin", "destination"], "left")
+    if not failed and out.filter(in_use & F.col("share").isNull()).limit(1).count():
+        failed = "missing_route"
+    if failed:
+        raise ValueError(f"weights are not loaded: {failed}")
+    new = {"weight": F.col("share"), "weight_basis": F.lit(basis), "weight_source": F.lit(source), "weight_start": F.lit(starts).cast("date"), "weight_end": F.lit(ends).cast("date"), "weight_retrieved_at": F.lit(retrieved_at).cast("timestamp")}
+    kept = {c: F.col(c) if c in routes.columns else F.lit(None) for c in new}
+    return out.select(*[c for c in routes.columns if c not in new], *[F.when(in_use, v).otherwise(kept[c]).alias(c) for c, v in new.items()])
+
+
 def expenditure_shares(shares: DataFrame, fares: DataFrame) -> DataFrame:
     """Traffic times average fare as a share: fares(origin, destination, avg_fare)."""
     out = shares.filter("not missing").join(fares, ["origin", "destination"]).withColumn("e", F.col("passengers") * F.col("avg_fare"))

@@ -1,27 +1,61 @@
-"""The index run as one lazy plan from quotes to stacked series, and its report."""
+"""The index run from quotes to stacked series, and its report."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import eligibility, panel, relatives, smooth
+from ..operators.weights import active
 from ..parameters import SERIES_RAW, SERIES_SMOOTH, SERIES_WINDOW, Methodology
+from .spool import stored
 
 
-@dataclass
 class IndexRun:
-    obs: DataFrame
-    flagged: DataFrame
-    filled: DataFrame
-    panel: DataFrame
-    weights: DataFrame
-    upper: DataFrame
-    composite: DataFrame
-    windows: DataFrame
-    smoothed: DataFrame
+    """The stages of a run. Those that several others read (observations, relatives, panel) are computed when one is first asked
+    for and kept in the shared folder; everything else stays a plan on top of them."""
+
+    def __init__(self, quotes: DataFrame, routes: DataFrame, method: Methodology, start: str | None = None, end: str | None = None):
+        self.quotes, self.routes, self.method, self.start, self.end = quotes, active(routes), method, start, end
+        self.spark = quotes.sparkSession
+
+    @cached_property
+    def obs(self) -> DataFrame:
+        return stored(eligibility.observations(self.quotes, self.start, self.end), "observations")
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return stored(relatives.flag_outliers(relatives.build_relatives(self.obs), self.method.outlier_z), "relatives")
+
+    @cached_property
+    def filled(self) -> DataFrame:
+        return relatives.impute(self.flagged, self.method.carrier_table(self.spark)) if self.method.carriers else self.flagged.withColumn("imputed", F.lit(False))
+
+    @cached_property
+    def panel(self) -> DataFrame:
+        return stored(panel.elementary_panel(self.filled, len(self.method.carriers), self.method.stratum_floor), "panel")
+
+    @cached_property
+    def weights(self) -> DataFrame:
+        return panel.usable_weights(self.routes)
+
+    @cached_property
+    def upper(self) -> DataFrame:
+        return panel.upper_level(self.panel, self.weights, self.method.curve_table(self.spark), len(self.method.windows))
+
+    @cached_property
+    def composite(self) -> DataFrame:
+        return panel.composite(self.upper, self.method.headline_floor)
+
+    @cached_property
+    def windows(self) -> DataFrame:
+        return panel.window_index(self.panel, self.weights, self.method.headline_floor)
+
+    @cached_property
+    def smoothed(self) -> DataFrame:
+        return smooth.centred_mean(self.composite, ["value", "low", "high"])
 
     def series(self) -> DataFrame:
         """(series_id, frequency, period, value, coverage, suppressed, low, high): raw, by window, and smoothed."""
@@ -55,14 +89,5 @@ class IndexRun:
 
 
 def index_run(quotes: DataFrame, routes: DataFrame, method: Methodology, start: str | None = None, end: str | None = None) -> IndexRun:
-    """quotes and the basket's routes(route_id, weight) -> every stage, nothing computed yet."""
-    spark = quotes.sparkSession
-    obs = eligibility.observations(quotes, start, end)
-    flagged = relatives.flag_outliers(relatives.build_relatives(obs), method.outlier_z)
-    filled = relatives.impute(flagged, method.carrier_table(spark)) if method.carriers else flagged.withColumn("imputed", F.lit(False))
-    cells = panel.elementary_panel(filled, len(method.carriers), method.stratum_floor)
-    weights = panel.usable_weights(routes)
-    upper = panel.upper_level(cells, weights, method.curve_table(spark), len(method.windows))
-    comp = panel.composite(upper, method.headline_floor)
-    windows = panel.window_index(cells, weights, method.headline_floor)
-    return IndexRun(obs, flagged, filled, cells, weights, upper, comp, windows, smooth.centred_mean(comp, ["value", "low", "high"]))
+    """quotes and the basket's routes(route_id, weight, active if it has it) -> every stage, nothing computed yet."""
+    return IndexRun(quotes, routes, method, start, end)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.eligibility import eligible
+from ..operators.weights import active
+
 
 def index(values: DataFrame, series: str, frequency: str = "daily", start: str | None = None, end: str | None = None, vintage: str | None = None) -> DataFrame:
     """One series within inclusive bounds; of several vintages of a day the newest published, unless one is named."""
@@ -60,20 +63,35 @@ def carrier_dispersion(obs: DataFrame) -> DataFrame:
     return obs.groupBy("route_id", "period").agg(F.stddev_samp(F.ln("price")).alias("sd_log"), (F.max("price") / F.min("price")).alias("max_over_min"), F.countDistinct("carrier").alias("carriers"))
 
 
-def quality_panel(table: DataFrame, statuses: tuple[str, ...] = ("observed", "collection_failed")) -> DataFrame:
-    """(source, period, one column a status): the status mix of each source and day."""
-    return table.groupBy("source", "period").pivot("observation_status", list(statuses)).count().na.fill(0)
+def routes(table: DataFrame) -> DataFrame:
+    """The active basket; a route without a weight is in it, with a null weight."""
+    return active(table).select("route_id", "origin", "destination", "stratum_class", "weight")
+
+
+STATUS_MIX = ("observed", "no_service", "collection_failed", "imputed")
+
+
+def quality_panel(table: DataFrame, panel: DataFrame) -> DataFrame:
+    """(source, period, one column a status, yield, coverage, suppressed): the status mix and the share observed of each source
+    and day, beside the mean coverage of that day's panel (null where it has none) and how many of its strata are suppressed."""
+    mix = table.groupBy("source", "period").pivot("observation_status", list(STATUS_MIX)).count().na.fill(0)
+    whole = sum((F.col(c) for c in STATUS_MIX), F.lit(0))
+    day = panel.groupBy("period").agg(F.avg("coverage").alias("coverage"), F.count_if("suppressed").alias("suppressed"))
+    return mix.withColumn("yield", F.col("observed") / whole).join(day, "period", "left").withColumn("suppressed", F.coalesce("suppressed", F.lit(0)))
 
 
-def audit_trail(values: DataFrame, obs_quotes: DataFrame) -> DataFrame:
-    """(period, value, n_quotes, n_runs, hashes): which quotes, runs and payloads stand behind a published value."""
-    seen = obs_quotes.groupBy("period").agg(F.count("*").alias("n_quotes"), F.countDistinct("run_id").alias("n_runs"), F.countDistinct("raw_payload_hash").alias("n_payloads"))
-    return values.select("period", "value").join(seen, "period")
+def audit_trail(values: DataFrame, panel: DataFrame, quotes: DataFrame) -> DataFrame:
+    """(vintage_id, config_hash, period, value, route_id, apd, jevons, run_id, raw_payload_hash, n_quotes): a published value with each
+    stratum of its day, and every run and payload whose index-eligible quotes stand behind the stratum; null run and no quotes
+    where a stratum is wholly imputed."""
+    behind = eligible(quotes).groupBy("period", "route_id", "apd", "run_id", "raw_payload_hash").agg(F.count("*").alias("n_quotes"))
+    cells = values.select("vintage_id", "config_hash", "period", "value").join(panel.select("period", "route_id", "apd", "jevons"), "period")
+    return cells.join(behind, ["period", "route_id", "apd"], "left").withColumn("n_quotes", F.coalesce("n_quotes", F.lit(0)))
 
 
 def sdmx_rows(series: DataFrame) -> DataFrame:
-    """Observations in the column layout of SDMX-CSV."""
-    return series.select(
+    """Observations in the column layout of SDMX-CSV, each series by period."""
+    return series.orderBy("series_id", "period").select(
         F.lit("dataflow").alias("STRUCTURE"), F.lit("PLUMBLINE:INDEX(1.0)").alias("STRUCTURE_ID"), F.upper(F.substring("frequency", 1, 1)).alias("FREQ"), F.col("series_id").alias("SERIES"),
         F.col("period").cast("string").alias("TIME_PERIOD"), F.col("value").alias("OBS_VALUE"), F.when(F.col("suppressed"), "S").otherwise("A").alias("OBS_STATUS"),
     )

@@ -8,21 +8,33 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+RUN_QUOTES = 20_000
 _local: list[str] = []
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; a temporary folder only where that is unset."""
+    """A new path under spark.checkpoint.dir. Where that is unset, a temporary folder, but only on a local master, where all
+    tasks see it; elsewhere an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         if not _local:
             _local.append(tempfile.mkdtemp(prefix="spark-plumbline-"))
         base = f"file://{_local[0]}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once in the shared folder and read again, for stages that several others read."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_spool(quotes: DataFrame, path: str) -> None:
-    """One JSON document per run: the run and its quotes, fares as text."""
+    """JSON documents of a run with the quotes it collected, fares as text; a long run has several of RUN_QUOTES ids each."""
     q = F.struct("quote_id", "source", "carrier", "route_id", "apd", "fare_class", "collection_ts", F.col("total_fare").cast("string").alias("total_fare"))
-    runs = quotes.groupBy("run_id").agg(F.min("source").alias("source"), F.min("collection_ts").alias("started_at"), F.array_sort(F.collect_list(q)).alias("quotes"))
-    runs.withColumn("status", F.lit("succeeded")).write.json(path)
+    runs = quotes.groupBy("run_id", F.floor(F.col("quote_id") / RUN_QUOTES).alias("part")).agg(F.min("source").alias("source"), F.min("collection_ts").alias("started_at"), F.array_sort(F.collect_list(q)).alias("quotes"))
+    runs.drop("part").withColumn("status", F.lit("succeeded")).write.json(path)

@@ -1,4 +1,4 @@
-"""Declared schemas of the engine's tables; readers always pass them."""
+"""Declared schemas of the engine's tables; readers always pass them. Names and types of shared tables are fixed values."""
 
 from __future__ import annotations
 

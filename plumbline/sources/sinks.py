@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +12,12 @@ from ..operators.quality import append_if_absent, upsert
 
 
 def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table at path, or no rows where there is none yet; any other fault of reading is an error."""
     try:
         return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return like.limit(0)
 
 
@@ -30,16 +35,32 @@ def append_quotes(new: DataFrame, path: str, keys: list[str], order: list[str],
     return written, total - written
 
 
-def upsert_partitions(new: DataFrame, path: str, keys: list[str], partition: str) -> None:
-    """Upsert by overwriting the partitions that `new` touches, all others stay."""
+def upsert_partitions(new: DataFrame, path: str, keys: list[str], partition: str, first_seen: list[str] = ()) -> None:
+    """Upsert by overwriting the partitions that `new` touches, all others stay.
+
+    The merged partitions are first written whole to a folder of this call. A run that stops before it is complete leaves the
+    table as it was; one that stops while the table is overwritten leaves the merged partitions in that folder. Either
+    way the same call again gives the table its end state, because an upsert may be repeated.
+    """
     spark = new.sparkSession
     old = read_or_empty(spark, path, new).join(F.broadcast(new.select(partition).distinct()), partition, "left_semi")
-    merged = upsert(new, old, keys)
-    stage = f"{path}.__staged"
-    merged.write.mode("overwrite").partitionBy(partition).parquet(stage)  # never overwrite what is being read
+    merged = upsert(new, old, keys, first_seen)
+    stage = f"{path}.staged-{uuid.uuid4().hex}"
+    merged.write.partitionBy(partition).parquet(stage)  # never overwrite what is being read
     spark.read.schema(new.schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def publish(panel: DataFrame, rows: DataFrame, panel_path: str, values_path: str) -> None:
+    """Stores panel_rows() by day and index_rows() by vintage; a value that is computed again keeps its first published_at."""
+    upsert_partitions(panel, panel_path, ["period", "route_id", "apd"], "period")
+    upsert_partitions(rows, values_path, ["vintage_id", "series_id", "frequency", "period"], "vintage_id", ["published_at"])
+
+
+def replace_routes(routes: DataFrame, path: str) -> None:
+    """One overwrite of the route table, a short list: either all routes have their new weights or the old table stays."""
+    routes.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def land_payloads(binary_files: DataFrame, path: str) -> int:
     """Content-addressed landing of a binaryFile frame: each new hash once, by its first two digits; returns how many."""
     spark = binary_files.sparkSession

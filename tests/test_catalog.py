@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from plumbline import catalog
 
 SF = "/root/testdata/sf0.001"
-SAMPLE = ["flagship_index", "a5_a7_outlier_flags", "a22_run_report", "a16_j11_basket_shares", "a26_alerts", "w4_missed_spans", "s5_f15_f18_a20_a21_offers", "f8_f9_f14_tariff_rows", "j7_j8_j9_f3_quotes", "q1_index", "k1_k2_append_if_absent"]
+SAMPLE = ["flagship_index", "a5_a7_outlier_flags", "a22_run_report", "a16_j11_basket_shares", "a26_alerts", "w4_missed_spans", "s5_f15_f18_a20_a21_offers", "f8_f9_f14_tariff_rows", "f3_f5_j6_j7_j8_j9_quotes", "q1_index", "k1_k2_append_if_absent", "f5_f19_document_dates", "k4_f4_published_values", "k6_weights_write_back", "q10_quality_panel", "q12_audit_trail", "m3_rolling_geks", "t2_daily_yield"]
 
 
 def rows(columns, data):
