@@ -278,17 +278,17 @@ def walk(a: list, b: list, reach: int = REACH, agree: int = 2) -> list[tuple[int
             runs.append((start, j - (i - start), i - start))
         if i >= n or j >= m:
             return runs
-        for total in range(1, 2 * reach):
-            for da in sorted(range(max(0, total - reach), min(total, reach) + 1), key=lambda d: abs(2 * d - total)):
-                p, q = i + da, j + total - da
-                if p < n and q < m and a[p : p + agree] == b[q : q + agree] and (len(a) - p >= agree <= len(b) - q):
-                    break
-            else:
-                continue
-            break
-        else:
+        after: dict[tuple, list[int]] = {}
+        for db in range(min(reach, m - j - agree) + 1):
+            after.setdefault(tuple(b[j + db : j + db + agree]), []).append(db)
+        best = None
+        for da in range(min(reach, n - i - agree) + 1):
+            for db in after.get(tuple(a[i + da : i + da + agree]), ()):
+                if 0 < da + db < 2 * reach and (best is None or (da + db, abs(da - db), da) < best):
+                    best = (da + db, abs(da - db), da)
+        if best is None:
             return runs
-        i, j = p, q
+        i, j = i + best[2], j + best[0] - best[2]
 
 
 def align(a: list, b: list, xs: list[int], ys: list[int]) -> list[tuple[int, int, int]]:
