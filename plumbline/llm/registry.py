@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from . import decontam, quotes, warc
 from .decontam import op7_decontamination
 from .licences import op5_licence_scan
@@ -29,7 +27,6 @@ def queries() -> dict:
         "op8_simhash": op8_simhash,
         "op9_quotation_links": op9_quotation_links,
         "op10_media_chunks": op10_media_chunks,
-        "pipeline": corpus_pipeline.run,
     }
 
 

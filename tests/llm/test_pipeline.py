@@ -1,6 +1,11 @@
+import random
+
 import corpus_pipeline
+from plumbline.llm import packing, toxicity
 from plumbline.llm.common import table
 
+from . import test_decontam, test_similar
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -25,3 +30,80 @@ def test_stages_on_odd_rows(spark):
         for name, stage in corpus_pipeline.STAGES:
             d = corpus_pipeline.written(stage(spark, d, SF), name)
         assert d.count() == 0 if empty else d.count() >= 4
+
+
+def words(r, n):
+    return ["".join(r.choice("bcdfghjklmnpqrst") for _ in range(7)) for _ in range(n)]
+
+
+def planted(spark):
+    """(doc_id, text, source) rows with copies, near copies, shared passages, test items, repeated and null ids."""
+    r = random.Random(21)
+    items = [x.text for x in table(spark, SF, "benchmark").orderBy("item_id").collect() if len((x.text or "").split()) >= 20][:3]
+    base, other, p, q = words(r, 60), words(r, 90), words(r, 70), words(r, 55)
+    near = list(base)
+    near[30] = "changed"
+    rows = [(1, base), (5, base), (7, near), (5, other), (5, None), (None, base), (None, words(r, 40))]
+    rows += [(10, words(r, 30) + p + words(r, 12)), (11, words(r, 9) + p + words(r, 25)), (11, words(r, 80)), (12, q + words(r, 66)), (None, words(r, 20) + q), (13, p[:49] + words(r, 20))]
+    rows += [(20 + k, words(r, 15) + i.split()) for k, i in enumerate(items)] + [(30, words(r, 900) + items[0].split()[:13])]
+    return [(i, t if t is None else " ".join(t), f"s{k % 3}") for k, (i, t) in enumerate(rows)]
+
+
+def by_id(row):
+    return (row[0] is None, row[0] or 0)
+
+
+def without_passages(rows):
+    """Plain: each later text loses the runs of 50 words or more that it shares with an earlier one."""
+    order = sorted(range(len(rows)), key=lambda k: (by_id(rows[k]), k))
+    texts = [(t or "").split() for _, t, _ in rows]
+    out = []
+    for at, k in enumerate(order):
+        lost = set()
+        for e in order[:at]:
+            a, b = texts[e], texts[k]
+            for i in range(len(b) - 49):
+                for j in range(len(a) - 49):
+                    if b[i : i + 50] == a[j : j + 50]:
+                        lost |= set(range(i, i + 50))
+        kept = [w for i, w in enumerate(texts[k]) if i not in lost]
+        if kept or not lost:
+            out.append((rows[k][0], " ".join(kept) if rows[k][1] is not None else None, rows[k][2]))
+    return out
+
+
+def test_stages_against_plain_versions(spark):
+    rows = planted(spark)
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    stages = dict(corpus_pipeline.STAGES)
+    plain = lambda df: sorted(((x.doc_id, x.text and " ".join(x.text.split()), x.source) for x in df.collect()), key=str)
+    heads = test_similar.brute(sorted([(i, t) for i, t, _ in rows], key=by_id))
+    ordered = sorted(rows, key=by_id)
+    want = [ordered[k] for k in sorted(set(heads))]
+    d = corpus_pipeline.written(stages["simhash_near_dedup"](spark, docs, SF), "near")
+    assert plain(d) == sorted(want, key=str) and len(want) == len(rows) - 3
+    d = corpus_pipeline.written(stages["substring_dedup"](spark, d, SF), "passages")
+    want = without_passages(want)
+    assert plain(d) == sorted(want, key=str)
+    items = [(x.item_id, x.text) for x in table(spark, SF, "benchmark").collect()]
+    clean = []
+    for i, t, s in want:
+        n, hit, _ = test_decontam.brute(t, items)
+        if not (hit and 20 * hit >= n):
+            clean.append((i, t, s))
+    d = corpus_pipeline.written(stages["benchmark_decontamination"](spark, d, SF), "clean")
+    assert plain(d) == sorted(clean, key=str) and 0 < len(clean) < len(want)
+    bins = {}
+    for x in stages["best_fit_packing"](spark, d, SF).collect():
+        bins.setdefault(x.bin_id, []).append(x)
+    size = {i: sum(x["size"] for b in bins.values() for x in b if x.doc_id == i) for i, _, _ in clean}
+    assert size == {i: sum(len((t or "").split()) for j, t, _ in clean if j == i) for i, _, _ in clean}
+    assert all(sum(x["size"] for x in b) <= packing.CAPACITY for b in bins.values())
+
+
+def test_toxic_rows_against_single_scores(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "UPDATES", 60)
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    net = toxicity.fit(docs, labels)
+    want = [x.doc_id for x in docs.collect() if toxicity.Scorer(net).scores([x.text or ""])[0] < 0.5]
+    assert sorted(x.doc_id for x in corpus_pipeline.toxic(spark, docs, SF).collect()) == sorted(want)
