@@ -65,8 +65,10 @@ def bounded(df: DataFrame, row_bytes: int | Column) -> DataFrame:
 def spread_join(left: DataFrame, right: DataFrame, key: str, by: list[str], how: str = "inner") -> DataFrame:
     """left joined to right, which has at most one row a key. Hot keys of left are dealt over several tasks by a hash of the
     columns `by`, and right's row is copied to each. The list of hot keys has fewer than HOT_SHARE rows; left is read twice."""
-    counts = left.groupBy(key).agg(F.count("*").alias("__n"))
-    most = max(HOT_ROWS, (left.count() or 0) // HOT_SHARE)
+    n = left.count()
+    if n <= HOT_ROWS:
+        return left.join(right, key, how)
+    counts, most = left.groupBy(key).agg(F.count("*").alias("__n")), max(HOT_ROWS, n // HOT_SHARE)
     hot = F.broadcast(counts.filter(F.col("__n") > most).select(key, F.ceil(F.col("__n") / most).cast("int").alias("__parts")))
     parts = F.coalesce("__parts", F.lit(1))
     dealt = left.join(hot, key, "left").withColumn("__part", F.pmod(F.xxhash64(*by), parts).cast("int")).drop("__parts")
