@@ -50,17 +50,22 @@ def shingle_hashes(text: str, k: int) -> np.ndarray:
     return np.fromiter((h(line[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, len(starts))
 
 
+LANE_SEEDS = np.array([lane * 0xD1342543DE82EF95 % 2**64 for lane in range(64)], np.uint64)
+
+
 def fingerprint_of(h: np.ndarray, lanes: int = 1) -> np.ndarray:
     """`lanes` 64-bit words of the hashes h of shingles: a bit is 1 if more than half of them have it."""
-    out = np.zeros(lanes, np.uint64)
-    for lane in range(lanes):
-        x = h if lane == 0 else splitmix(h ^ np.uint64(lane * 0xD1342543DE82EF95 % 2**64))
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(x), 16384):  # a very long text in blocks
-            part = x[at : at + 16384].astype(">u8").view(np.uint8).reshape(-1, 8)
-            ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-        out[lane] = np.packbits(2 * ones > len(x)).view(">u8")[0]
-    return out
+    ones = np.zeros(lanes * 64, np.int64)
+    for at in range(0, len(h), 255 * 16):  # a very long text in blocks
+        x = h[at : at + 255 * 16, None] ^ LANE_SEEDS[:lanes]
+        x[:, 1:] = splitmix(x[:, 1:])  # the first word is that of the hashes themselves
+        bits = np.unpackbits(x.astype(">u8").view(np.uint8).reshape(len(x), -1), axis=1)
+        if lanes == 1:
+            ones += bits.sum(axis=0, dtype=np.uint16)
+            continue
+        for lo in range(0, len(bits), 255):
+            ones += np.add.reduce(bits[lo : lo + 255], axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(h)).view(">u8").astype(np.uint64)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
