@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, quotes, warc
+from . import decontam, quotes, vectors, warc
 from .decontam import op7_decontamination
 from .licences import op5_licence_scan
 from .media import op10_media_chunks
@@ -12,6 +12,7 @@ from .simhash import op8_simhash
 from .substring import op1_substring_dedup
 from .tokens import op3_token_ids
 from .toxicity import op4_toxicity
+from .vectors import op12_vector_codes
 from .warc import op2_warc
 
 
@@ -27,8 +28,9 @@ def queries() -> dict:
         "op8_simhash": op8_simhash,
         "op9_quotation_links": op9_quotation_links,
         "op10_media_chunks": op10_media_chunks,
+        "op12_vector_codes": op12_vector_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE, "op7_decontamination": decontam.ORACLE, "op9_quotation_links": quotes.ORACLE}
+    return {"op2_warc": warc.ORACLE, "op7_decontamination": decontam.ORACLE, "op9_quotation_links": quotes.ORACLE, "op12_vector_codes": vectors.oracle()}
