@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import decontam, quotes, vectors, warc
+from .bytecnn import op11_quality
 from .decontam import op7_decontamination
 from .licences import op5_licence_scan
 from .media import op10_media_chunks
@@ -28,6 +29,7 @@ def queries() -> dict:
         "op8_simhash": op8_simhash,
         "op9_quotation_links": op9_quotation_links,
         "op10_media_chunks": op10_media_chunks,
+        "op11_quality": op11_quality,
         "op12_vector_codes": op12_vector_codes,
     }
 
