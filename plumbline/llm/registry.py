@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontam, quotes, vectors, warc
+from . import decontam, phrases, quotes, vectors, warc
 from .bytecnn import op11_quality
 from .decontam import op7_decontamination
 from .licences import op5_licence_scan
 from .media import op10_media_chunks
 from .packing import op6_best_fit_packing
+from .phrases import op13_phrases
 from .quotes import op9_quotation_links
 from .simhash import op8_simhash
 from .substring import op1_substring_dedup
@@ -31,8 +32,9 @@ def queries() -> dict:
         "op10_media_chunks": op10_media_chunks,
         "op11_quality": op11_quality,
         "op12_vector_codes": op12_vector_codes,
+        "op13_phrases": op13_phrases,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE, "op7_decontamination": decontam.ORACLE, "op9_quotation_links": quotes.ORACLE, "op12_vector_codes": vectors.oracle()}
+    return {"op2_warc": warc.ORACLE, "op7_decontamination": decontam.ORACLE, "op9_quotation_links": quotes.ORACLE, "op12_vector_codes": vectors.oracle(), "op13_phrases": phrases.ORACLE}
