@@ -11,6 +11,7 @@ from ..plans.index_run import index_run
 from ..plans.spool import shared_path, stored
 from ..sources import driver_tables as tables
 from ..sources import sinks
+from ..sources.versions import Change, Store
 from .common import COMP, FILL, FLAG, METHOD, OBS, PANEL, PARTIAL, QUOTES, REL, ROUTE, ROUTES, RUN, RUNS, SMOOTH, UPPER, out, routes, sql
 
 STACK = """series AS (SELECT 'composite.raw' AS series_id, period, value, coverage, suppressed, low, high FROM comp
@@ -68,23 +69,26 @@ def s3_f21_stamped_panel(spark, d):
     return p.crossJoin(F.broadcast(shuffled)).select("period", "route_id", "apd", "jevons", ok.alias("has_hash"), F.lit(1).alias("one_vintage"))
 
 
-CONTRACT = """quoted AS (SELECT *, CASE WHEN quote_id % 101 = 0 THEN 'XX' ELSE 'R' || lpad(CAST(route_id AS VARCHAR), 2, '0') END AS origin, CASE WHEN quote_id % 103 = 0 THEN 'R' || lpad(CAST(route_id AS VARCHAR), 2, '0') ELSE 'HUB' END AS destination,
-  CASE WHEN quote_id % 107 = 0 THEN 400 ELSE apd END AS lead, CASE WHEN quote_id % 109 = 0 THEN NULL WHEN quote_id % 113 = 0 THEN -total_fare ELSE total_fare END AS fare, CASE WHEN quote_id % 127 <> 0 THEN sha256(CAST(quote_id AS VARCHAR)) END AS h FROM quotes)"""
+CONTRACT = """quoted AS (SELECT * EXCLUDE (source, carrier, observation_status, collection_ts), CASE WHEN quote_id % 131 = 0 THEN NULL WHEN quote_id % 101 = 0 THEN 'XX' ELSE 'R' || lpad(CAST(route_id AS VARCHAR), 2, '0') END AS origin,
+  CASE WHEN quote_id % 137 = 0 THEN NULL WHEN quote_id % 103 = 0 THEN 'R' || lpad(CAST(route_id AS VARCHAR), 2, '0') ELSE 'HUB' END AS destination, CASE WHEN quote_id % 139 = 0 THEN NULL WHEN quote_id % 107 = 0 THEN 400 ELSE apd END AS lead,
+  CASE WHEN quote_id % 149 <> 0 THEN observation_status END AS observation_status, CASE WHEN quote_id % 151 <> 0 THEN carrier END AS carrier, CASE WHEN quote_id % 157 <> 0 THEN source END AS source, CASE WHEN quote_id % 163 <> 0 THEN period + apd END AS departure_date, CASE WHEN quote_id % 167 <> 0 THEN collection_ts END AS collection_ts, CASE WHEN quote_id % 109 = 0 THEN NULL WHEN quote_id % 113 = 0 THEN -total_fare ELSE total_fare END AS fare, CASE WHEN quote_id % 127 <> 0 THEN sha256(CAST(quote_id AS VARCHAR)) END AS h FROM quotes)"""
 
 
 def contract_quotes(spark, d):
     q, k = tables.quotes(spark, d), F.col("quote_id")
     code = F.concat(F.lit("R"), F.lpad(F.col("route_id").cast("string"), 2, "0"))
     return (
-        q.withColumn("origin", F.when(k % 101 == 0, "XX").otherwise(code)).withColumn("destination", F.when(k % 103 == 0, code).otherwise("HUB"))
-        .withColumn("apd", F.when(k % 107 == 0, 400).otherwise(F.col("apd"))).withColumn("total_fare", F.when(k % 109 == 0, None).when(k % 113 == 0, -F.col("total_fare")).otherwise(F.col("total_fare")))
+        q.withColumn("departure_date", F.when(k % 163 != 0, F.date_add("period", F.col("apd")))).withColumn("origin", F.when(k % 131 == 0, None).when(k % 101 == 0, "XX").otherwise(code)).withColumn("destination", F.when(k % 137 == 0, None).when(k % 103 == 0, code).otherwise("HUB"))
+        .withColumns({c: F.when(k % m != 0, F.col(c)) for c, m in (("observation_status", 149), ("carrier", 151), ("source", 157), ("collection_ts", 167))})
+        .withColumn("apd", F.when(k % 139 == 0, None).when(k % 107 == 0, 400).otherwise(F.col("apd"))).withColumn("total_fare", F.when(k % 109 == 0, None).when(k % 113 == 0, -F.col("total_fare")).otherwise(F.col("total_fare")))
         .withColumn("raw_payload_hash", F.when(k % 127 != 0, F.sha2(k.cast("string"), 256)))
     )
 
 
-@add("p6_row_contract", sql("""SELECT quote_id, concat_ws(',', CASE WHEN length(destination) <> 3 THEN 'destination_code' END, CASE WHEN origin = destination THEN 'distinct_ends' END, CASE WHEN fare < 0 THEN 'fare_not_negative' END,
-  CASE WHEN lead NOT BETWEEN 0 AND 365 THEN 'lead_days' END, CASE WHEN observation_status = 'observed' AND fare IS NULL THEN 'observed_has_fare' END, CASE WHEN observation_status = 'observed' AND h IS NULL THEN 'observed_has_hash' END,
-  CASE WHEN length(origin) <> 3 THEN 'origin_code' END) AS violations FROM quoted""", QUOTES, CONTRACT))
+@add("p6_row_contract", sql("""SELECT quote_id, concat_ws(',', CASE WHEN carrier IS NULL THEN 'carrier_present' END, CASE WHEN collection_ts IS NULL THEN 'collection_ts_present' END, CASE WHEN departure_date IS NULL THEN 'departure_date_present' END,
+  CASE WHEN destination IS NULL OR length(destination) <> 3 THEN 'destination_code' END, CASE WHEN origin = destination THEN 'distinct_ends' END, CASE WHEN fare < 0 THEN 'fare_not_negative' END,
+  CASE WHEN lead IS NULL OR lead NOT BETWEEN 0 AND 365 THEN 'lead_days' END, CASE WHEN observation_status IS NULL THEN 'observation_status_present' END, CASE WHEN observation_status = 'observed' AND fare IS NULL THEN 'observed_has_fare' END,
+  CASE WHEN observation_status = 'observed' AND h IS NULL THEN 'observed_has_hash' END, CASE WHEN origin IS NULL OR length(origin) <> 3 THEN 'origin_code' END, CASE WHEN source IS NULL THEN 'source_present' END) AS violations FROM quoted""", QUOTES, CONTRACT))
 def p6_row_contract(spark, d):
     return contract_quotes(spark, d).select("quote_id", F.array_join(eligibility.violations(eligibility.row_contract()), ",").alias("violations"))
 
@@ -262,30 +266,34 @@ def k1_k2_append_if_absent(spark, d):
 @add("k3_f4_panel_upsert", sql("SELECT CAST(period AS VARCHAR) AS period, route_id, apd, round(round(CASE WHEN route_id = 1 THEN jevons ELSE jevons + 1 END, 8), 6) AS jevons, round(coverage, 4) AS coverage, n_observed FROM panel", *RUN[:6]))
 def k3_f4_panel_upsert(spark, d):
     rows = panel.panel_rows(run_of(spark, d).panel)
-    path = shared_path(spark, "stratum-panel")
-    sinks.upsert_partitions(panel.panel_rows(rows.withColumn("jevons", F.col("jevons") + 1)), path, ["period", "route_id", "apd"], "period")
-    sinks.upsert_partitions(rows.filter("route_id = 1"), path, ["period", "route_id", "apd"], "period")
-    return spark.read.schema(rows.schema).parquet(path).select("period", "route_id", "apd", "jevons", "coverage", "n_observed")
+    store, keys = Store(spark, shared_path(spark, "store")), ["period", "route_id", "apd"]
+    store.commit({"panel": store.merged("panel", panel.panel_rows(rows.withColumn("jevons", F.col("jevons") + 1)), keys, "period")})
+    store.commit({"panel": store.merged("panel", rows.filter("route_id = 1"), keys, "period")})
+    return store.read("panel", rows.schema).select("period", "route_id", "apd", "jevons", "coverage", "n_observed")
 
 
 @add("k4_f4_published_values", sql("""SELECT series_id, CAST(period AS VARCHAR) AS period, round(CASE WHEN period >= DATE '2024-01-15' THEN value ELSE value - 1 END, 6) AS value, round(coverage, 4) AS coverage, suppressed, round(low, 6) AS low,
   CASE WHEN period >= DATE '2024-01-15' THEN 'new' ELSE 'old' END AS config_hash, '2024-02-01 00:00:00' AS published_at FROM series""", *RUN, STACK))
 def k4_f4_published_values(spark, d):
     run = run_of(spark, d)
-    cells, values = shared_path(spark, "stratum-panel"), shared_path(spark, "index-values")
+    store = Store(spark, shared_path(spark, "store"))
     s, rows = stored(run.series(), "series"), panel.panel_rows(run.panel)
-    sinks.publish(rows, panel.index_rows(s.withColumn("value", F.col("value") - 1), "v1", "old", "2024-02-01"), cells, values)
+    sinks.publish(rows, panel.index_rows(s.withColumn("value", F.col("value") - 1), "v1", "old", "2024-02-01"), store)
     again = panel.index_rows(s.filter("period >= date'2024-01-15'"), "v1", "new", "2024-02-02")  # later, and only a part
-    sinks.publish(rows, again, cells, values)
-    out = spark.read.schema(again.schema).parquet(values)
+    sinks.publish(rows, again, store)
+    out = store.read("values", again.schema)
     return out.select("series_id", "period", "value", "coverage", "suppressed", "low", "config_hash", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"))
 
 
-@add("k5_write_back_flags", sql("""SELECT coalesce(o.outlier, false) AS outlier_flag, exclusion_reason, count(*) AS n FROM quotes q LEFT JOIN (SELECT DISTINCT period, route_id, apd, carrier, true AS outlier FROM flagged WHERE abs(z) > 2.0) o
+@add("k5_write_back_flags", sql("""SELECT coalesce(o.outlier, quote_id % 17 = 0) AS outlier_flag, exclusion_reason, count(*) AS n FROM quotes q LEFT JOIN (SELECT DISTINCT period, route_id, apd, carrier, true AS outlier FROM flagged WHERE abs(z) > 2.0) o
   USING (period, route_id, apd, carrier) GROUP BY ALL""", QUOTES, OBS, REL, FLAG))
 def k5_write_back_flags(spark, d):
     flagged = relatives.flag_outliers(relatives.build_relatives(eligibility.observations(tables.quotes(spark, d))), 2.0)
-    return quality.write_back_flags(tables.quotes(spark, d), flagged).groupBy("outlier_flag", "exclusion_reason").agg(F.count("*").alias("n"))
+    flagged = stored(flagged, "flagged")
+    store, quotes = Store(spark, shared_path(spark, "store")), tables.quotes(spark, d).withColumn("outlier_flag", F.col("quote_id") % 17 == 0)  # an earlier review
+    store.commit({"quotes": Change(quotes, "period")})
+    sinks.flag_outliers(store, flagged, quotes.schema)
+    return store.read("quotes", quotes.schema).groupBy("outlier_flag", "exclusion_reason").agg(F.count("*").alias("n"))
 
 
 @add("w8_weekday_adjusted", sql("""SELECT CAST(c.period AS VARCHAR) AS period, round(value, 6) AS value, round(value / exp(e - (SELECT avg(e) FROM eff)), 6) AS adjusted FROM comp c JOIN eff ON eff.d = isodow(c.period)""", *RUN,

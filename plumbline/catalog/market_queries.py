@@ -10,6 +10,7 @@ from ..plans import reads
 from ..plans.spool import shared_path, stored
 from ..sources import driver_tables as tables
 from ..sources import sinks
+from ..sources.versions import Store
 from .common import CURVES, FLOWS, METHOD, OBS, PANEL, QUOTES, ROUTE, RUN, RUNS, out, route_table, sql
 from .index_queries import STACK, run_of
 
@@ -88,17 +89,18 @@ def a32_weight_report(spark, d):
   CASE WHEN active THEN CAST((SELECT max(period) FROM flows) - INTERVAL 11 MONTH AS DATE)::VARCHAR END AS weight_start, CASE WHEN active THEN CAST((SELECT max(period) FROM flows) AS VARCHAR) END AS weight_end
   FROM (SELECT origin, destination, NOT missing AS active, passengers / sum(passengers) OVER () AS share FROM shares)""", FLOWS))
 def k6_weights_write_back(spark, d):
-    flows, b, path = mapped(spark, d), basket(spark, d), shared_path(spark, "routes")
+    flows, b, store = mapped(spark, d), basket(spark, d), Store(spark, shared_path(spark, "store"))
     known = weights.basket_shares(flows, b).select("origin", "destination", (~F.col("missing")).alias("active"))
-    sinks.replace_routes(known.withColumn("weight", F.lit(None).cast("double")), path)
-    routes_ = spark.read.parquet(path)
+    known = known.withColumn("weight", F.lit(None).cast("double"))
+    sinks.replace_routes(known, store)
+    routes_ = store.read("routes", known.schema)
     in_use = weights.active(routes_)
     shares = weights.basket_shares(flows, in_use)
     last = flows.agg(F.max("period").alias("p")).select("p", F.add_months("p", -11).alias("first"), F.add_months("p", 2).alias("today")).first()
     gates = weights.load_gates(flows, shares, weights.national_totals(tables.flows(spark, d)), weights.unmapped_codes(in_use, tables.cities(spark, d)), str(last.today))
-    new = stored(weights.with_new_weights(routes_, shares, gates, "passenger_share", "order lines", str(last.first), str(last.p), "2024-02-01"), "new-routes")
-    sinks.replace_routes(new, path)
-    return spark.read.parquet(path).drop("weight_retrieved_at")
+    new = weights.with_new_weights(routes_, shares, gates, "passenger_share", "order lines", str(last.first), str(last.p), "2024-02-01")
+    sinks.replace_routes(new, store)  # derived from the version that it replaces
+    return store.read("routes", new.schema).drop("weight_retrieved_at")
 
 
 @add("m6_expenditure_shares", sql("""SELECT origin, destination, round(passengers * f / sum(passengers * f) OVER (), 6) AS share, 'expenditure_share' AS weight_basis FROM shares
@@ -184,13 +186,6 @@ def a28_last_success(spark, d):
     return health.last_success_before(tables.runs(spark, d), TODAY)
 
 
-@add("u4_k8_retained_runs", sql("SELECT pending, count(*) AS n FROM runs WHERE pending OR day >= DATE '2024-01-16' GROUP BY ALL", RUNS))
-def u4_k8_retained_runs(spark, d):
-    r = tables.runs(spark, d)
-    both = r.filter("not pending").unionByName(r.filter("pending"))
-    return sinks.drop_sent_before(both, TODAY).groupBy("pending").agg(F.count("*").alias("n"))
-
-
 @add("m9_yield_monitor", sql("""SELECT source, CAST(day AS VARCHAR) AS day, n, round(before, 6) AS "trailing" FROM (SELECT *, avg(n) OVER (PARTITION BY source ORDER BY day RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING) AS before
   FROM (SELECT source, day, count(*) AS n FROM runs GROUP BY ALL)) WHERE n < 0.5 * before""", RUNS))
 def m9_yield_monitor(spark, d):

@@ -8,6 +8,7 @@ from ..operators import multilateral, smooth, validate
 from ..plans import spool
 from ..sources import driver_tables as tables
 from ..sources import sinks
+from ..sources.versions import Store
 from ..streaming import ingest
 from .common import COMP, PRICES, QUOTES, RUN, RUNS, out, sql
 from .index_queries import run_of
@@ -140,12 +141,45 @@ def m10_event_calendar(spark, d):
 # --- streams
 
 
+def spooled(spark, quotes, times=1):
+    """A store into which the quotes' spool folder was streamed, `times` times from the start."""
+    folder, store = spool.shared_path(spark, "spool"), Store(spark, spool.shared_path(spark, "store"))
+    spool.write_spool(quotes, folder)
+    for _ in range(times):
+        ingest.ingest_spool(spark, folder, store, spool.shared_path(spark, "mark")).awaitTermination()
+    return store
+
+
 @add("t1_s8_k7_spool_ingest", sql("SELECT quote_id, CAST(period AS VARCHAR) AS period, round(CAST(total_fare AS DECIMAL(10, 2)), 2) AS total_fare FROM (SELECT *, row_number() OVER (PARTITION BY source, carrier, route_id, apd, coalesce(fare_class, ''), period ORDER BY started_at, quote_id) AS rn FROM (SELECT q.*, min(collection_ts) OVER (PARTITION BY run_id, quote_id // 20000) AS started_at FROM quotes q)) WHERE rn = 1", QUOTES))
 def t1_s8_k7_spool_ingest(spark, d):
-    folder, table, mark = (spool.shared_path(spark, n) for n in ("spool", "quotes", "mark"))
+    return spooled(spark, tables.quotes(spark, d)).read("quotes", ingest.QUOTES).select("quote_id", "period", "total_fare")
+
+
+DOCS = """docs AS (SELECT run_id, quote_id // 20000 AS part, min(collection_ts) AS started_at FROM quotes GROUP BY ALL),
+landed AS (SELECT * FROM (SELECT q.*, row_number() OVER (PARTITION BY source, carrier, route_id, apd, coalesce(fare_class, ''), period ORDER BY d.started_at, quote_id) AS rn FROM quotes q JOIN docs d ON d.run_id = q.run_id AND d.part = q.quote_id // 20000) WHERE rn = 1)"""
+
+
+@add("k7_k2_runs_with_quotes", sql("SELECT d.run_id, strftime(min(d.started_at), '%Y-%m-%d %H:%M:%S') AS started_at, coalesce(any_value(n), 0) AS n_quotes FROM docs d LEFT JOIN (SELECT run_id, count(*) AS n FROM landed GROUP BY run_id) l ON l.run_id = d.run_id GROUP BY d.run_id", QUOTES, DOCS))
+def k7_k2_runs_with_quotes(spark, d):
+    """Runs and their quotes land in one step, and a replay from a lost checkpoint adds neither."""
+    store = spooled(spark, tables.quotes(spark, d), times=2)
+    n = store.read("quotes", ingest.QUOTES).groupBy("run_id").agg(F.count("*").alias("n_quotes"))
+    return store.read("runs", ingest.RUNS).join(n, "run_id", "left").select("run_id", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("started_at"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"))
+
+
+@add("s8_rejected_documents", sql("SELECT run_id, count(*) AS n, 'not readable' AS reason FROM (SELECT DISTINCT run_id, quote_id // 20000 AS part FROM quotes WHERE user_id % 50 % 10 = 0) GROUP BY run_id UNION ALL SELECT 'none', count(DISTINCT run_id), 'lacks quotes' FROM quotes WHERE user_id % 50 % 10 = 1", QUOTES.replace("SELECT event_id AS quote_id", "SELECT user_id, event_id AS quote_id")))
+def s8_rejected_documents(spark, d):
+    """Cut off copies of every tenth run's documents, and documents without quotes, land in the reject table with file and text."""
+    folder, mark, store = spool.shared_path(spark, "spool"), spool.shared_path(spark, "mark"), Store(spark, spool.shared_path(spark, "store"))
     spool.write_spool(tables.quotes(spark, d), folder)
-    ingest.ingest_spool(spark, folder, table, mark).awaitTermination()
-    return spark.read.parquet(table).select("quote_id", "period", "total_fare")
+    number = F.regexp_extract("run_id", "^run([0-9]+)-", 1).cast("int") % 10
+    cut = spark.read.text(folder).withColumn("run_id", F.get_json_object("value", "$.run_id"))
+    cut = cut.filter(number == 0).select(F.expr("substring(value, 1, length(value) - 5)").alias("value"))
+    bare = tables.quotes(spark, d).select("run_id").distinct().filter(number == 1).select(F.to_json(F.struct(F.lit("none").alias("run_id"), F.lit("s").alias("source"), F.lit("2024-01-01T00:00:00Z").alias("started_at"), F.col("run_id").alias("notes"), F.lit("failed").alias("status"))).alias("value"))
+    spool.stored_text(cut.unionByName(bare), folder)
+    ingest.ingest_spool(spark, folder, store, mark).awaitTermination()
+    run_id = F.regexp_extract("text", '"run_id":"([^"]*)"', 1)
+    return store.read("rejects", ingest.REJECTS).filter("file is not null").groupBy(run_id.alias("run_id"), "reason").agg(F.count("*").alias("n")).select("run_id", "n", "reason")
 
 
 @add("t2_daily_yield", sql("SELECT CAST(day AS VARCHAR) AS day, source, count(*) AS n_runs, count(*) FILTER (status <> 'failed') AS n_done FROM runs GROUP BY ALL", RUNS))
@@ -162,14 +196,45 @@ def t2_daily_yield(spark, d):
     return spark.read.parquet(table)
 
 
-@add("t3_late_rows", sql("SELECT source, count(*) AS n FROM runs WHERE day < DATE '2024-01-16' GROUP BY ALL", RUNS))
-def t3_late_rows(spark, d):
-    return ingest.late_rows(tables.runs(spark, d), "2024-01-30").groupBy("source").agg(F.count("*").alias("n"))
+LATE = """late AS (SELECT source, day, count(*) AS n FROM runs WHERE day < DATE '2024-01-20' AND day + 1 <= (SELECT max(started_at) FROM runs WHERE day >= DATE '2024-01-20') - INTERVAL 14 DAYS GROUP BY ALL)"""
 
 
-@add("s9_landing", "SELECT sha256(html) AS hash, count(*) AS n FROM pages GROUP BY ALL")
+@add("t3_late_rows", sql("SELECT CAST(r.day AS VARCHAR) AS day, CAST(r.source AS VARCHAR) AS source, count(*) AS n_runs, count(*) FILTER (status <> 'failed') AS n_done, coalesce(any_value(n), 0) AS n_late FROM runs r LEFT JOIN late l ON l.source = r.source AND l.day = r.day GROUP BY r.day, r.source", RUNS, LATE))
+def t3_late_rows(spark, d):
+    """Two batches of one stream, the second with runs from before the watermark: they are reported, and the yields of their days
+    are those of a full computation."""
+    folder, mark, store = spool.shared_path(spark, "spool"), spool.shared_path(spark, "mark"), Store(spark, spool.shared_path(spark, "store"))
+    r = tables.runs(spark, d)
+    for part in ("day >= date'2024-01-20'", "day < date'2024-01-20'"):
+        spool.write_runs(r.filter(part), folder)
+        ingest.ingest_spool(spark, folder, store, mark).awaitTermination()
+    late = store.read("late", ingest.LATE).groupBy("day", "source").agg(F.count("*").alias("n_late"))
+    return store.read("yield", ingest.YIELD).join(late, ["day", "source"], "left").na.fill(0, ["n_late"])
+
+
+@add("u4_k8_retained_runs", sql("SELECT pending, count(*) AS n, 0 AS stale FROM runs WHERE pending OR day >= DATE '2024-01-16' GROUP BY ALL", RUNS))
+def u4_k8_retained_runs(spark, d):
+    """Sent runs older than the retention go from store and folders; `stale` counts what is left of them. Pending ones stay."""
+    folder, archive, mark, store = (spool.shared_path(spark, n) for n in ("spool", "archive", "mark", "store"))
+    store, r = Store(spark, store), tables.runs(spark, d)
+    spool.write_runs(r.filter("not pending"), folder)
+    ingest.ingest_spool(spark, folder, store, mark, per_batch=12, archive=archive).awaitTermination()
+    spool.write_runs(r.filter("pending"), folder)
+    ingest.retain(store, [archive], "2024-01-30")
+    sent = store.read("sent", ingest.SENT)
+    there = ingest.read_spool(spark, f"{folder.rsplit('/', 1)[0]}/{{{folder.rsplit('/', 1)[1]},{archive.rsplit('/', 1)[1]}}}").select("run_id", F.to_date("started_at").alias("day"))
+    both = there.join(r.select("run_id", "pending"), "run_id")
+    stale = both.filter("not pending and day < date'2024-01-16'").groupBy("pending").agg(F.count("*").alias("stale"))
+    kept = sent.select(F.lit(False).alias("pending")).unionByName(both.filter("pending").select("pending"))
+    return kept.groupBy("pending").agg(F.count("*").alias("n")).join(stale, "pending", "left").select("pending", "n", F.coalesce("stale", F.lit(0)).cast("int").alias("stale"))
+
+
+@add("s9_landing", "SELECT sha256(coalesce(html, '') || chr(10)) AS hash, count(*) AS n, 0 AS again FROM (SELECT DISTINCT html FROM pages) GROUP BY ALL")
 def s9_landing(spark, d):
-    pages, path = tables.read(spark, d, "pages").select(F.encode("html", "UTF-8").alias("content")), spool.shared_path(spark, "landing")
-    sinks.land_payloads(pages, path)
-    sinks.land_payloads(pages, path)  # a second landing adds nothing
-    return spark.read.parquet(path).groupBy("hash").agg(F.count("*").alias("n"))
+    """One file a page, landed twice: the second time adds nothing."""
+    files, path = spool.shared_path(spark, "files"), spool.shared_path(spark, "landing")
+    tables.read(spark, d, "pages").select("page_id", "html").write.partitionBy("page_id").text(files)
+    payloads = sinks.read_payloads(spark, files)
+    sinks.land_payloads(payloads, path)
+    again = sinks.land_payloads(payloads, path)
+    return spark.read.parquet(path).groupBy("hash").agg(F.count("*").alias("n")).withColumn("again", F.lit(again))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..parameters import NON_HEADLINE, WINDOWS
 
+#: Fields without a form of their own that every quote must have.
+REQUIRED = ("source", "carrier", "departure_date", "collection_ts", "observation_status")
 STATUSES = ("observed", "no_service", "collection_failed", "imputed")
 
 
@@ -42,12 +44,15 @@ def violations(checks: dict[str, Column]) -> Column:
 
 
 def row_contract() -> dict[str, Column]:
+    """Checks of one quote. A required field that is missing fails by its own name or by the check of its form."""
     seen = F.col("observation_status") == "observed"
+    there = lambda ok: F.coalesce(ok, F.lit(False))
     return {
-        "origin_code": F.length("origin") == 3,
-        "destination_code": F.length("destination") == 3,
+        **{f"{c}_present": F.col(c).isNotNull() for c in REQUIRED},
+        "origin_code": there(F.length("origin") == 3),
+        "destination_code": there(F.length("destination") == 3),
         "distinct_ends": F.col("origin") != F.col("destination"),
-        "lead_days": F.col("apd").between(0, 365),
+        "lead_days": there(F.col("apd").between(0, 365)),
         "observed_has_fare": ~seen | F.col("total_fare").isNotNull(),
         "observed_has_hash": ~seen | F.col("raw_payload_hash").isNotNull(),
         "fare_not_negative": F.col("total_fare") >= 0,

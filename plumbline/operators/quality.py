@@ -29,8 +29,10 @@ def append_counts(new: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def upsert(new: DataFrame, old: DataFrame, keys: list[str], first_seen: list[str] = ()) -> DataFrame:
-    """The table after an upsert: new rows, and old ones whose key is not among them. The columns first_seen keep the value
-    that an old row of the key has, such as the time of its first publication."""
+    """The table after an upsert: new rows, and old ones whose key is not among them. A key that repeats in new is an error. The
+    columns first_seen keep the value that an old row of the key has, such as the time of its first publication."""
+    once = F.count("*").over(Window.partitionBy(*keys)) == 1
+    new = new.withColumn("__ok", once).filter(F.assert_true("__ok", F.lit("a key repeats among the new rows")).isNull()).drop("__ok")
     if first_seen:
         before = old.select(*keys, *[F.col(c).alias(f"__{c}") for c in first_seen])
         new = new.join(before, keys, "left").select(*[F.coalesce(f"__{c}", c).alias(c) if c in first_seen else c for c in new.columns])
@@ -62,6 +64,8 @@ def source_agreement(quotes: DataFrame) -> DataFrame:
 
 
 def write_back_flags(quotes: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Quotes with outlier_flag set for flagged (period, route_id, apd, carrier); exclusion reasons stay as they are."""
+    """Quotes with outlier_flag set for flagged (period, route_id, apd, carrier). A flag that is set stays, and so do exclusion
+    reasons: the flag marks what is to be reviewed, and only a reviewer takes it back."""
     hit = flagged.filter("outlier").select("period", "route_id", "apd", "carrier").distinct().withColumn("__o", F.lit(True))
-    return quotes.join(hit, ["period", "route_id", "apd", "carrier"], "left").withColumn("outlier_flag", F.coalesce("__o", F.lit(False))).drop("__o")
+    before = F.col("outlier_flag") if "outlier_flag" in quotes.columns else F.lit(False)
+    return quotes.join(hit, ["period", "route_id", "apd", "carrier"], "left").withColumn("outlier_flag", F.coalesce("__o", before, F.lit(False))).drop("__o").select(*quotes.columns, *[c for c in ["outlier_flag"] if c not in quotes.columns])

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import append_if_absent, upsert
+from ..operators.quality import append_if_absent, upsert, write_back_flags
+from .versions import Change, Store, part_of
 
 
 def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -50,30 +51,52 @@ def upsert_partitions(new: DataFrame, path: str, keys: list[str], partition: str
     spark.read.schema(new.schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def publish(panel: DataFrame, rows: DataFrame, panel_path: str, values_path: str) -> None:
-    """Stores panel_rows() by day and index_rows() by vintage; a value that is computed again keeps its first published_at."""
-    upsert_partitions(panel, panel_path, ["period", "route_id", "apd"], "period")
-    upsert_partitions(rows, values_path, ["vintage_id", "series_id", "frequency", "period"], "vintage_id", ["published_at"])
+def publish(panel: DataFrame, rows: DataFrame, store: Store) -> int:
+    """Stores panel_rows() by day and index_rows() by vintage as one version: no reader sees a panel without its values. A value
+    that is computed again keeps its first published_at."""
+    return store.commit({
+        "panel": store.merged("panel", panel, ["period", "route_id", "apd"], "period"),
+        "values": store.merged("values", rows, ["vintage_id", "series_id", "frequency", "period"], "vintage_id", ["published_at"]),
+    })
 
 
-def replace_routes(routes: DataFrame, path: str) -> None:
-    """One overwrite of the route table, a short list: either all routes have their new weights or the old table stays."""
-    routes.coalesce(1).write.mode("overwrite").parquet(path)
+def replace_routes(routes: DataFrame, store: Store) -> int:
+    """The route table anew, a short list, which may derive from the old one: a run that stops leaves the old table."""
+    return store.commit({"routes": Change(routes.coalesce(1))})
+
+
+def flag_outliers(store: Store, flagged: DataFrame, schema) -> int:
+    """Writes outlier flags back to the stored quotes; returns how many parts (days) were written anew. Only days with a flagged
+    key are read and written, the files of all others stay."""
+    days = {r[0] for r in flagged.filter("outlier").select(part_of("period")).distinct().collect()}
+    days &= store.parts("quotes")
+    if days:
+        store.commit({"quotes": Change(write_back_flags(store.read("quotes", schema, days), flagged), "period")})
+    return len(days)
 
 
 def land_payloads(binary_files: DataFrame, path: str) -> int:
-    """Content-addressed landing of a binaryFile frame: each new hash once, by its first two digits; returns how many."""
+    """Content-addressed landing of a binaryFile frame: each new hash once, by its first two digits; returns how many. Of the
+    store only the prefixes of the new payloads are read, 256 at most, and of those only the hashes."""
     spark = binary_files.sparkSession
-    new = binary_files.select(F.sha2("content", 256).alias("hash"), "content").dropDuplicates(["hash"]).withColumn("prefix", F.substring("hash", 1, 2))
-    fresh = new.join(read_or_empty(spark, path, new).select("hash"), "hash", "left_anti").select("hash", "content", "prefix").persist()
+    new = binary_files.select(F.sha2("content", 256).alias("hash"), "content").dropDuplicates(["hash"]).withColumn("prefix", F.substring("hash", 1, 2)).persist()
     try:
+        known = stored_hashes(new, path)
+        fresh = new.join(known, ["prefix", "hash"], "left_anti").select("hash", "content", "prefix").persist()
         n = fresh.count()
         fresh.write.mode("append").partitionBy("prefix").parquet(path)
-    finally:
         fresh.unpersist()
+    finally:
+        new.unpersist()
     return n
 
 
-def drop_sent_before(runs: DataFrame, today: str, keep_days: int = 14) -> DataFrame:
-    """Retention: sent records older than keep_days go, pending ones never."""
-    return runs.filter(F.col("pending") | (F.col("day") >= F.date_sub(F.lit(today).cast("date"), keep_days)))
+def stored_hashes(new: DataFrame, path: str) -> DataFrame:
+    """(prefix, hash) of the stored payloads whose prefix is among those of new(hash, content, prefix)."""
+    prefixes = sorted(r[0] for r in new.select("prefix").distinct().collect())
+    return read_or_empty(new.sparkSession, path, new.select("hash", "content", "prefix")).filter(F.col("prefix").isin(prefixes)).select("prefix", "hash")
+
+
+def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """The files below a folder as rows of (path, modificationTime, length, content)."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import eligibility, health, multilateral, normalise, quality, validate, weights
-from plumbline.plans import reads, spool
+from plumbline.plans import reads
 from plumbline.sources import sinks
-from plumbline.streaming import ingest
+from plumbline.sources.versions import Change, Store
 
 DAY = dt.date(2026, 9, 14)
 
@@ -94,9 +94,27 @@ def test_offers(spark):
 
 
 def test_contracts(spark):
-    q = spark.createDataFrame([("DEL", "BOM", 7, "observed", 5.0, "h"), ("DE", "DE", 400, "observed", None, None)], "origin string, destination string, apd int, observation_status string, total_fare double, raw_payload_hash string")
+    columns = "origin string, destination string, apd int, observation_status string, total_fare double, raw_payload_hash string, source string, carrier string, departure_date date, collection_ts timestamp"
+    at = (DAY, dt.datetime(2026, 9, 14))
+    q = spark.createDataFrame([("DEL", "BOM", 7, "observed", 5.0, "h", "s", "c", *at), ("DE", "DE", 400, "observed", None, None, "s", "c", *at), (None,) * 10], columns)
     got = [r.v for r in q.select(eligibility.violations(eligibility.row_contract()).alias("v")).collect()]
-    assert got == [[], ["destination_code", "distinct_ends", "lead_days", "observed_has_fare", "observed_has_hash", "origin_code"]]
+    required = ["carrier_present", "collection_ts_present", "departure_date_present", "destination_code", "lead_days", "observation_status_present", "origin_code", "source_present"]
+    assert got == [[], ["destination_code", "distinct_ends", "lead_days", "observed_has_fare", "observed_has_hash", "origin_code"], required]
+
+
+def test_flags_are_added_and_untouched_days_keep_their_files(spark, tmp_path):
+    rows = [(d, 1, 7, c, f, "why") for d in (DAY, DAY + dt.timedelta(1)) for c, f in (("a", True), ("b", False), ("c", None))]
+    quotes = spark.createDataFrame(rows, "period date, route_id int, apd int, carrier string, outlier_flag boolean, exclusion_reason string")
+    flagged = spark.createDataFrame([(DAY, 1, 7, c, c == "b") for c in "abc"], "period date, route_id int, apd int, carrier string, outlier boolean")
+    store = Store(spark, str(tmp_path / "store"))
+    store.commit({"quotes": Change(quotes, "period")})
+    before = {r.part: r.folder for r in store.entries()}
+    assert sinks.flag_outliers(store, flagged, quotes.schema) == 1
+    after = {r.part: r.folder for r in store.entries()}
+    assert before[str(DAY)] != after[str(DAY)] and before[str(DAY + dt.timedelta(1))] == after[str(DAY + dt.timedelta(1))]
+    got = {(r.period, r.carrier): (r.outlier_flag, r.exclusion_reason) for r in store.read("quotes", quotes.schema).collect()}
+    assert [got[DAY, c] for c in "abc"] == [(True, "why"), (True, "why"), (False, "why")] and len(got) == 6
+    assert sinks.flag_outliers(store, flagged.filter("not outlier"), quotes.schema) == 0 and store.version() == 2
 
 
 def test_idempotent_sinks(spark, tmp_path):
@@ -108,18 +126,6 @@ def test_idempotent_sinks(spark, tmp_path):
     sinks.upsert_partitions(v, str(tmp_path / "v"), ["k"], "p")
     sinks.upsert_partitions(v.filter("k = 1").withColumn("value", F.lit(9.0)), str(tmp_path / "v"), ["k"], "p")
     assert sorted((r.k, r.value) for r in spark.read.parquet(str(tmp_path / "v")).collect()) == [(1, 9.0), (2, 2.0)]
-    old = runs(spark, [("a", 1, "failed")]).withColumn("pending", F.lit(True)).unionByName(runs(spark, [("b", 1, "failed")]))
-    assert [r.source for r in sinks.drop_sent_before(old, str(DAY + dt.timedelta(30))).collect()] == ["a"]
-
-
-def test_stream_equals_batch_and_replay_adds_nothing(spark, tmp_path):
-    q = spark.createDataFrame([(i, "s", "c", i % 5, 7, None, dt.datetime(2026, 9, 1 + i % 9, 5), f"{100 + i}.50", f"run{i % 4}") for i in range(60)], "quote_id long, source string, carrier string, route_id int, apd int, fare_class string, collection_ts timestamp, total_fare string, run_id string")
-    folder, table = str(tmp_path / "spool"), str(tmp_path / "table")
-    spool.write_spool(q, folder)
-    for mark in ("m1", "m2"):  # a lost checkpoint replays everything
-        ingest.ingest_spool(spark, folder, table, str(tmp_path / mark)).awaitTermination()
-    want = quality.keep_earliest(ingest.spooled_quotes(ingest.read_spool(spark, folder)), ingest.KEYS, ["started_at", "quote_id"])
-    assert sorted(r.quote_id for r in spark.read.parquet(table).collect()) == sorted(r.quote_id for r in want.collect())
 
 
 def test_index_reads(spark):
@@ -232,12 +238,13 @@ def test_published_values_keep_their_first_time(spark, tmp_path):
 
     s = spark.createDataFrame([("c", "daily", dt.date(2024, 1, k), 100.12345678 + k, 0.123456, False, None, None) for k in (1, 2)], "series_id string, frequency string, period date, value double, coverage double, suppressed boolean, low double, high double")
     cells = panel.panel_rows(spark.createDataFrame([(dt.date(2024, 1, 1), 1, 7, 1.123456789, 3, 0, 0.66666)], "period date, route_id int, apd int, jevons double, n_observed int, n_imputed int, coverage double"))
-    a, b = str(tmp_path / "cells"), str(tmp_path / "values")
-    sinks.publish(cells, panel.index_rows(s, "v", "h1", "2024-02-01"), a, b)
-    sinks.publish(cells, panel.index_rows(s.filter("period > date'2024-01-01'"), "v", "h2", "2024-02-02"), a, b)
-    got = spark.read.parquet(b).orderBy("period").collect()
+    store = Store(spark, str(tmp_path / "store"))
+    sinks.publish(cells, panel.index_rows(s, "v", "h1", "2024-02-01"), store)
+    again = panel.index_rows(s.filter("period > date'2024-01-01'"), "v", "h2", "2024-02-02")
+    sinks.publish(cells, again, store)
+    got = store.read("values", again.schema).orderBy("period").collect()
     assert [(r.value, r.coverage, r.config_hash, r.published_at.day) for r in got] == [(101.123457, 0.1235, "h1", 1), (102.123457, 0.1235, "h2", 1)]
-    assert [(r.jevons, r.coverage) for r in spark.read.parquet(a).collect()] == [(1.12345679, 0.6667)]
+    assert [(r.jevons, r.coverage) for r in store.read("panel", cells.schema).collect()] == [(1.12345679, 0.6667)]
 
 
 def test_reading_a_broken_table_is_an_error(spark, tmp_path):
