@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, once_per_worker, table, text_of
+from .common import WORD_BYTES, fresh, once_per_worker, table, text_of
+from .labelled import held_out, sample
 
 WINDOW, STRIDE = 48, 32
 BUCKETS = 1 << 15
@@ -22,8 +23,8 @@ DIM, HIDDEN, ATTEND = 12, 8, 8
 PART_WORDS = 32_768
 #: At most so many labelled texts of each class are learnt from, those with the least hash of their id.
 SAMPLE_PER_CLASS = 3000
-#: Characters of the longest text that is learnt from; with the number of texts they bound what reaches the driver.
-SAMPLE_CHARS = 60_000
+#: Bytes of the longest text that is learnt from; with the number of texts they bound what reaches the driver (180 MB).
+SAMPLE_BYTES = 30_000
 #: Updates of a training, the first of which look at random windows, and texts of one update.
 UPDATES, WARM_UP, BATCH = 600, 60, 48
 #: Words whose inputs a worker remembers, and words scored at a time: they bound its memory.
@@ -295,23 +296,14 @@ class Scorer:
         return out + (self._chunk(held) if held else [])
 
 
-def held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
-
-
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> BiGru | float:
-    """A network from labelled rows that are not held out, at most per_class of each class and without texts of more than
-    SAMPLE_CHARS characters; those rows are the only ones that reach the driver. All texts are scored whole. Where a class has no row, the share of label 1 (0 without labels) stands in for it."""
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(~held_out())
-    first = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    picked = first[0].unionByName(first[1])
-    texts = docs.select("doc_id", text_of(docs).alias("text")).filter(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(picked), "doc_id")
-    one = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # an id that repeats is learnt from once
-    rows = one.select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text, r.toxic))
-    if len({r.toxic for r in rows}) < 2:
-        return float(rows[0].toxic) if rows else 0.0
-    return train([r.text for r in rows], [r.toxic for r in rows])
+    """A network from labelled rows of docs that are not held out, at most per_class of each class and without texts of more than
+    SAMPLE_BYTES bytes; those rows are the only ones that reach the driver. All texts are scored whole. An id with both labels is
+    not learnt from. Where a class has no row, the share of label 1 (0 without labels) stands in for it."""
+    rows = sample(docs, labels, "toxic", per_class, SAMPLE_BYTES)
+    if len({y for _, y in rows}) < 2:
+        return float(rows[0][1]) if rows else 0.0
+    return train([t.decode("utf-8", "replace") for t, _ in rows], [y for _, y in rows])
 
 
 def score_column(text: Column, net: BiGru | float) -> Column:
@@ -328,11 +320,12 @@ def score_column(text: Column, net: BiGru | float) -> Column:
     return score.asNondeterministic()(text)
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """docs, same columns, without the rows whose score reaches the threshold. Null and empty texts are scored as empty."""
-    names = docs.columns
-    scored = docs.withColumn("__score", score_column(text_of(docs), fit(docs, labels)))
-    return scored.filter(F.col("__score") < threshold).select(*[F.col(f"`{c}`") for c in names])
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, net: BiGru | float | None = None) -> DataFrame:
+    """docs, same columns, without the rows whose score reaches the threshold. Null and empty texts are scored as empty. A network
+    that fit() gave before saves the training."""
+    score = fresh(docs, "score")
+    scored = docs.withColumn(score, score_column(text_of(docs), fit(docs, labels) if net is None else net))
+    return scored.filter(F.col(score) < threshold).drop(score)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -86,3 +86,12 @@ def test_scores_do_not_depend_on_neighbours():
     together = toxicity.Scorer(net).scores(texts)
     alone = [toxicity.Scorer(net).scores([t])[0] for t in texts]
     assert np.allclose(together, alone, atol=1e-5)
+
+
+def test_labels_without_documents_do_not_use_up_the_bound(spark):
+    rows = corpus(40, 9)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(10_000 + i, i % 2) for i in range(5000)], "doc_id bigint, toxic int")
+    assert sorted(y for _, y in toxicity.sample(docs, labels, "toxic", 3, 10_000)) == [0, 0, 0, 1, 1, 1]
+    both = labels.unionByName(spark.createDataFrame([(i, 1 - y) for i, _, y in rows], "doc_id bigint, toxic int"))
+    assert toxicity.sample(docs, both, "toxic", 3, 10_000) == []
