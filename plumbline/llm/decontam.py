@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, bounded, numbered_rows, once_per_worker, table, text_of, written
+from .common import WORD_BYTES, bounded, fresh, numbered_rows, once_per_worker, table, text_of, written
 from .simhash import splitmix
 from .substring import word_hashes
 
@@ -231,7 +231,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
     """docs with a struct column: n_words, items (sorted names found), spans (disjoint word ranges hit).
 
     A null text has no words. Items without words never occur; a null item id goes by the empty name; an id that repeats
-    counts once. Everything passes through, whatever columns docs has.
+    counts once. Everything passes through, whatever columns docs has; one called `name` is replaced.
 
     A benchmark of at most about SHARD_WORDS words is one automaton and one pass. A larger one is dealt by hash over shards: a
     pass looks up the hashes of the documents' windows, and only documents with a hit are scanned, by the automata of the
@@ -263,7 +263,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
     found = written(found.select("row", F.array_sort(F.array_distinct("items")).alias("items"), _merged(F.col("spans")).alias("spans")), "hits")
     each = n_words.join(found, "row", "left")
     hit = F.struct("n_words", F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", F.array().cast("array<struct<start:long,stop:long>>")).alias("spans"))
-    return kept.join(each.select(F.col("row").alias(row), hit.alias(name)), row).drop(row)
+    return kept.drop(name).join(each.select(F.col("row").alias(row), hit.alias(name)), row).drop(row)
 
 
 def n_hit(hit: str = "__hit") -> Column:
@@ -292,8 +292,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     A row goes if its coverage reaches a twentieth. If max_span is given, spans of at least so many words are also cut out
     of the texts of the rows that stay; other texts are left as they are. Null texts stay.
     """
-    names = docs.columns
-    kept = with_hits(docs, benchmark, text_col).filter(~contaminated())
+    hit = fresh(docs, "hit")
+    kept = with_hits(docs, benchmark, text_col, name=hit).filter(~contaminated(hit))
     if max_span is not None:
 
         @F.arrow_udf("string")
@@ -305,8 +305,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 out.append(cut_spans(t, long) if t and long else t)
             return pa.array(out, pa.string())
 
-        kept = kept.withColumn(text_col, cut(F.col(text_col), F.col("__hit")["spans"]))
-    return kept.select(*[F.col(f"`{c}`") for c in names])
+        kept = kept.withColumn(text_col, cut(F.col(text_col), F.col(hit)["spans"]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
