@@ -264,7 +264,8 @@ def chains(found: DataFrame, least_span: int) -> DataFrame:
 def walk(a: list, b: list, reach: int = REACH, agree: int = 2) -> list[tuple[int, int, int]]:
     """Follows a and b from their starts: runs (word of a, word of b, equal words), in order.
 
-    At a difference the nearest pair of offsets up to `reach` after which `agree` words are equal is taken.
+    At a difference the nearest pair of offsets up to `reach` after which `agree` words are equal is taken; without one, one
+    equal word after one or two that are replaced.
     """
     i = j = 0
     n, m = len(a), len(b)
@@ -286,8 +287,11 @@ def walk(a: list, b: list, reach: int = REACH, agree: int = 2) -> list[tuple[int
             for db in after.get(tuple(a[i + da : i + da + agree]), ()):
                 if 0 < da + db < 2 * reach and (best is None or (da + db, abs(da - db), da) < best):
                     best = (da + db, abs(da - db), da)
-        if best is None:
-            return runs
+        if best is None:  # one equal word behind one or two replaced ones still belongs to a passage that ends there
+            step = next((d for d in (1, 2) if i + d < n and j + d < m and a[i + d] == b[j + d]), None)
+            if step is None:
+                return runs
+            best = (2 * step, 0, step)
         i, j = i + best[2], j + best[0] - best[2]
 
 
@@ -314,6 +318,47 @@ def align(a: list, b: list, xs: list[int], ys: list[int]) -> list[tuple[int, int
     return runs + [(i + p, j + q, n) for p, q, n in walk(a[i:], b[j:])] if runs else runs
 
 
+def longest(x, ex, y, ey, done, min_words: int, min_identity: float) -> tuple[int, int] | None:
+    """(first, last + 1) of the runs between which the most words lie, min_words at least, with min_identity on both sides; the first
+    such stretch of equal ones.
+
+    A stretch f .. t is good where done[t] - identity * ex[t - 1] is not below done[f] - identity * x[f], and likewise for y.
+    Ends are met in the order of the first value with all starts whose first value is not above it; a tree over the starts
+    keeps the least second value, and its leftmost leaf that is not above the end's is the best start. n log n for n runs.
+    """
+    n = len(x)
+    scaled = lambda d, at: np.round((d - min_identity * at) * 1e6).astype(np.int64)  # noqa: E731  equal on both sides of a bound
+    sx, sy, tx, ty = scaled(done[:-1], x), scaled(done[:-1], y), scaled(done[1:], ex), scaled(done[1:], ey)
+    if n <= 64:
+        good = (tx[None] >= sx[:, None]) & (ty[None] >= sy[:, None]) & (ex[None] - x[:, None] >= min_words)
+        if not good.any():
+            return None
+        f, t = np.unravel_index(int(np.where(good, ex[None] - x[:, None], -1).argmax()), good.shape)
+        return int(f), int(t) + 1
+    size = 1 << (n - 1).bit_length()
+    none = 1 << 62
+    tree, starts, at, best = [none] * (2 * size), np.argsort(sx, kind="stable").tolist(), 0, None
+    sx, sy, ty, xs, exs = sx.tolist(), sy.tolist(), ty.tolist(), x.tolist(), ex.tolist()
+    for t in np.argsort(tx, kind="stable").tolist():
+        limit = int(tx[t])
+        while at < n and sx[starts[at]] <= limit:
+            leaf = size + starts[at]
+            tree[leaf] = sy[starts[at]]
+            while leaf > 1 and tree[leaf] < tree[leaf >> 1]:
+                tree[leaf >> 1] = tree[leaf]
+                leaf >>= 1
+            at += 1
+        if tree[1] <= ty[t]:
+            leaf = 1
+            while leaf < size:
+                leaf = 2 * leaf + (tree[2 * leaf] > ty[t])
+            f = leaf - size
+            wide = exs[t] - xs[f]
+            if f <= t and wide >= min_words and (best is None or (-wide, f, t) < best):
+                best = (-wide, f, t)
+    return (best[1], best[2] + 1) if best else None
+
+
 def parts(runs: list[tuple[int, int, int]], min_words: int, min_identity: float) -> list[tuple[int, int, int, int, int]]:
     """(x0, x1, y0, y1, equal words) of the passages in the runs of an alignment.
 
@@ -335,17 +380,10 @@ def parts(runs: list[tuple[int, int, int]], min_words: int, min_identity: float)
             size = max(ex[hi - 1] - x[lo], ey[hi - 1] - y[lo])
             if (done[hi] - done[lo]) / size >= min_identity:
                 out.append((int(x[lo]), int(ex[hi - 1]), int(y[lo]), int(ey[hi - 1]), int(done[hi] - done[lo])))
-            elif hi - lo > 1024:  # the table below is square in the runs
-                widest = np.flatnonzero(gap[lo : hi - 1] == gap[lo : hi - 1].max())
-                k = lo + 1 + int(widest[len(widest) // 2])
-                todo += [(lo, k), (k, hi)]
             else:
-                wide, high = ex[None, lo:hi] - x[lo:hi, None], ey[None, lo:hi] - y[lo:hi, None]
-                same = done[None, lo + 1 : hi + 1] - done[lo:hi, None]
-                good = (wide >= min_words) & (same >= min_identity * np.maximum(wide, high))
-                if good.any():
-                    f, t = np.unravel_index(int(np.where(good, wide, -1).argmax()), good.shape)
-                    f, t = lo + int(f), lo + int(t) + 1
+                at = longest(x[lo:hi], ex[lo:hi], y[lo:hi], ey[lo:hi], done[lo : hi + 1], min_words, min_identity)
+                if at:
+                    f, t = lo + at[0], lo + at[1]
                     out.append((int(x[f]), int(ex[t - 1]), int(y[f]), int(ey[t - 1]), int(done[t] - done[f])))
                     todo += [(lo, f), (t, hi)]
         return out
@@ -449,15 +487,16 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     names = docs.columns
     src, number, _ = with_numbers(docs, id_col)
     found = _passages(src.select(F.col(number).alias("id"), text_of(src, text_col).alias("text")), min_words, min_identity)
-    spans = found.groupBy(F.col("doc_id").alias("__number")).agg(F.collect_set(F.struct("start", "stop")).alias("__spans"))
+    cuts = fresh(src, "cuts")
+    spans = found.groupBy(F.col("doc_id").alias(number)).agg(F.collect_set(F.struct("start", "stop")).alias(cuts))
 
     @F.arrow_udf("string")
     def cut(texts, lists):
         return pa.array([cut_words(t, [(s["start"], s["stop"]) for s in x]) if x else t for t, x in zip(texts.to_pylist(), lists.to_pylist())], pa.string())
 
-    joined = src.join(spans, src[number] == spans["__number"], "left")
-    out = joined.withColumn(text_col, F.when(F.col("__spans").isNotNull(), cut.asNondeterministic()(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col)))
-    return out.filter(F.col("__spans").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*[F.col(f"`{c}`") for c in names])
+    joined = src.join(spans, number, "left")
+    out = joined.withColumn(text_col, F.when(F.col(cuts).isNotNull(), cut.asNondeterministic()(F.col(text_col), F.col(cuts))).otherwise(F.col(text_col)))
+    return out.filter(F.col(cuts).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*[F.col(f"`{c}`") for c in names])
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:

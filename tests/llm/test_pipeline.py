@@ -1,7 +1,9 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from plumbline.llm import packing, toxicity
+from plumbline.llm import decontam, packing, similar, substring, toxicity
 from plumbline.llm.common import table
 
 from . import test_decontam, test_similar
@@ -107,3 +109,19 @@ def test_toxic_rows_against_single_scores(spark, monkeypatch):
     net = toxicity.fit(docs, labels)
     want = [x.doc_id for x in docs.collect() if toxicity.Scorer(net).scores([x.text or ""])[0] < 0.5]
     assert sorted(x.doc_id for x in corpus_pipeline.toxic(spark, docs, SF).collect()) == sorted(want)
+
+
+def test_columns_with_inner_names_pass_through_every_stage(spark):
+    """Names that the stages use inside are a user's as well."""
+    inner = ["__score", "score", "__hit", "hit", "__spans", "__number", "cuts", "document_number", "row_number", "__n", "__id"]
+    words = [f"word{i}" for i in range(400)]
+    texts = [" ".join(words[20 * k : 20 * k + 90]) for k in range(12)] + [None, ""]
+    rows = [(k, t, *[f"{c}-{k}" for c in inner]) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"`{c}` string" for c in inner))
+    benchmark = spark.createDataFrame([("b", " ".join(words[300:313]))], "item_id string, text string")
+    for stage in (lambda d: toxicity.drop_toxic(d, None, net=0.0), similar.drop_near_duplicates, substring.drop_passages, lambda d: decontam.decontaminate(d, benchmark, max_span=13)):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        kept = out.collect()
+        assert kept and all(r[c] == f"{c}-{r.doc_id}" for r in kept for c in inner)
+    assert packing.pack(packing.items_of(docs.withColumns({"source": F.lit("s")}))).count() >= len(texts) - 2

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from plumbline.llm import substring
@@ -171,3 +172,38 @@ def test_matches_against_brute_force(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(got) == sorted(want)
+
+
+def test_a_passage_is_found_however_many_runs_lie_around_it():
+    """The best stretch of an alignment of many runs is that of all pairs of runs."""
+    r = random.Random(6)
+
+    def all_pairs(x, ex, y, ey, done, least, identity):
+        best = None
+        for f in range(len(x)):
+            for t in range(f, len(x)):
+                wide, high, same = ex[t] - x[f], ey[t] - y[f], done[t + 1] - done[f]
+                if wide >= least and round((same - identity * wide) * 1e6) >= 0 and round((same - identity * high) * 1e6) >= 0:
+                    best = min(best or (0, 0, 0), (-wide, f, t))
+        return (best[1], best[2] + 1) if best else None
+
+    for n in (1, 30, 64, 65, 130):
+        for _ in range(8):
+            words = np.array([r.randint(1, 6) for _ in range(n)])
+            x, y = (np.cumsum([r.randint(0, 3) for _ in range(n)]) + np.r_[0, np.cumsum(words)[:-1]] for _ in range(2))
+            args = (x, x + words, y, y + words, np.r_[0, np.cumsum(words)], r.choice((5, 20)), r.choice((0.7, 0.8)))
+            assert substring.longest(*args) == all_pairs(*args)
+    # 56 of 68 words are equal amid thousands of runs that are half equal
+    runs, at = [], 0
+    for k in range(3000):
+        wide = 3 if 1500 <= k < 1514 else 1
+        runs.append((at, at, wide))
+        at += wide + (1 if wide == 3 else 2)
+    found = substring.parts(runs, 50, 0.7)
+    assert any(a <= 1500 * 3 and b >= 1500 * 3 + 55 for a, b, *_ in found)
+
+
+def test_an_edit_beside_the_edge_of_a_passage():
+    a = [f"w{i}" for i in range(60)]
+    b = [*a[:57], "other", a[58], "x", "y"]
+    assert substring.walk(a, b)[-1] == (58, 58, 1)
