@@ -81,6 +81,30 @@ def m4_time_dummies(spark, d):
     return multilateral.time_dummies(tables.monthly_prices(spark, d))
 
 
+TPD = """pm AS (SELECT stratum, item, period, 12 * year(period) + month(period) AS m, ln(price) AS lp FROM prices WHERE price > 0),
+mo AS (SELECT DISTINCT stratum, m, period FROM pm),
+fe AS (SELECT mo.stratum, max(m) AS e FROM mo JOIN (SELECT stratum, min(m) AS m0 FROM mo GROUP BY stratum) f ON f.stratum = mo.stratum AND m < m0 + 13 GROUP BY mo.stratum),
+we AS (SELECT mo.stratum, m AS last, m = e AS is_first FROM mo JOIN fe ON fe.stratum = mo.stratum AND m >= e),
+wr AS MATERIALIZED (SELECT p.stratum, last, item, m, lp, count(*) OVER w AS n, avg(lp) OVER w AS mean FROM we JOIN pm p ON p.stratum = we.stratum AND m BETWEEN last - 12 AND last WINDOW w AS (PARTITION BY p.stratum, last, item)),
+ow AS MATERIALIZED (SELECT stratum, last, m, sum(lp - mean) AS b, count(*) AS d, row_number() OVER (PARTITION BY stratum, last ORDER BY m) - 1 AS i FROM wr GROUP BY stratum, last, m),
+cr AS (SELECT a.stratum, a.last, a.m AS s, b.m AS t, sum(1.0 / a.n) AS x FROM wr a JOIN wr b ON a.stratum = b.stratum AND a.last = b.last AND a.item = b.item GROUP BY ALL),
+gr AS (SELECT a.stratum, a.last, a.i, b.i AS j, CASE WHEN a.i = b.i THEN a.d ELSE 0 END - coalesce(x, 0) AS v, a.b FROM ow a JOIN ow b ON a.stratum = b.stratum AND a.last = b.last LEFT JOIN cr ON cr.stratum = a.stratum AND cr.last = a.last AND s = a.m AND t = b.m WHERE a.i > 0 AND b.i > 0),
+mx AS (SELECT stratum, last, list(r ORDER BY i) AS mat FROM (SELECT stratum, last, i, list_append(list(v ORDER BY j), any_value(b)) AS r FROM gr GROUP BY stratum, last, i) GROUP BY stratum, last),
+el AS (WITH RECURSIVE e(stratum, last, k, mat, good) AS (SELECT stratum, last, 0, mat, []::BOOLEAN[] FROM mx UNION ALL SELECT stratum, last, k + 1,
+  CASE WHEN abs(mat[k + 1][k + 1]) > 1e-9 THEN list_transform(mat, lambda r, i: list_transform(r, lambda c, j: CASE WHEN i = k + 1 THEN c / mat[k + 1][k + 1] ELSE c - r[k + 1] * mat[k + 1][j] / mat[k + 1][k + 1] END)) ELSE mat END,
+  list_append(good, abs(mat[k + 1][k + 1]) > 1e-9) FROM e WHERE k < len(mat)) SELECT stratum, last, list_prepend(0.0::DOUBLE, list_transform(mat, lambda r, i: CASE WHEN good[i] THEN r[len(mat) + 1] ELSE 0.0 END)) AS step FROM e WHERE k = len(mat)),
+ds AS MATERIALIZED (SELECT we.stratum, we.last, is_first, ow.m, CASE WHEN step IS NULL THEN 0.0 ELSE step[CAST(ow.i + 1 AS BIGINT)] END AS g FROM we JOIN ow ON ow.stratum = we.stratum AND ow.last = we.last LEFT JOIN el ON el.stratum = we.stratum AND el.last = we.last),
+tl AS (SELECT a.stratum, a.last, row_number() OVER (PARTITION BY a.stratum ORDER BY a.last) AS k, list({'m': b.m, 'g': a.g - b.g} ORDER BY b.m) FILTER (b.m < a.last) AS steps FROM ds a JOIN ds b ON a.stratum = b.stratum AND a.last = b.last WHERE a.m = a.last AND NOT a.is_first GROUP BY a.stratum, a.last),
+f0 AS (SELECT stratum, map_from_entries(list((m, g))) AS lp FROM ds WHERE is_first GROUP BY stratum),
+sp AS (WITH RECURSIVE r(stratum, k, lp) AS (SELECT stratum, 0, lp FROM f0 UNION ALL SELECT r.stratum, r.k + 1, map_concat(r.lp, MAP {tl.last: coalesce(list_avg([r.lp[x.m] + x.g for x in tl.steps]), (SELECT g FROM ds WHERE ds.stratum = tl.stratum AND ds.last = tl.last AND ds.m = tl.last))}) FROM r JOIN tl ON tl.stratum = r.stratum AND tl.k = r.k + 1)
+  SELECT stratum, lp FROM r QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY k DESC) = 1)"""
+
+
+@add("m4_rolling_time_dummies", sql("SELECT sp.stratum, CAST(period AS VARCHAR) AS period, round(100 * exp(lp[mo.m]), 6) AS value FROM sp JOIN mo ON mo.stratum = sp.stratum", PRICES, TPD))
+def m4_rolling_time_dummies(spark, d):
+    return multilateral.rolling_time_dummies(tables.monthly_prices(spark, d))
+
+
 CHG = "m AS (SELECT stratum, period, sum(price * revenue) / sum(revenue) AS value FROM prices GROUP BY ALL)"
 
 

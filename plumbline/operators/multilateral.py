@@ -1,7 +1,9 @@
-"""Monthly methods: complete-week series, rolling GEKS with mean splice, time product dummies, sub-indices."""
+"""Monthly methods: complete-week series, rolling GEKS and time product dummies with mean splice, sub-indices."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -97,6 +99,68 @@ def time_dummies(prices: DataFrame, stratum: str | None = None) -> DataFrame:
     return out if stratum is None else out.select("period", "value")
 
 
+def solved(matrix: np.ndarray, rhs: np.ndarray, tiny: float = 1e-9) -> np.ndarray:
+    """The solution of a symmetric system by elimination; unknowns whose pivot vanishes are 0."""
+    m, n = np.c_[matrix, rhs].astype(float), len(rhs)
+    good = np.zeros(n, bool)
+    for k in range(n):
+        if abs(m[k, k]) > tiny:
+            good[k] = True
+            m[k] /= m[k, k]
+            others = np.arange(n) != k
+            m[others] -= m[others, k : k + 1] * m[k]
+    return np.where(good, m[:, n], 0.0)
+
+
+def rolling_time_dummies(prices: DataFrame, window: int = 13) -> DataFrame:
+    """(stratum, period, value): time product dummies over a rolling window, joined by the mean splice.
+
+    The first window (the first `window` calendar months) is taken as it is, 100 in its first month. Each later month has a
+    window that ends with it; its log value is the mean, over the window's earlier months s, of log P(s) plus the window's
+    step from s to it. prices(period, stratum, item, price) has one row per item and month; prices that are not positive are
+    left out. A month that shares no item with the rest of its window stays on the level of the window's first month.
+
+    A row joins the `window` windows that its month lies in. Item effects are swept out within a window, so that Spark sums a
+    normal matrix of at most window x window cells per (stratum, window); one small group a stratum solves its windows in order.
+    """
+    p = prices.filter("price > 0").select("stratum", "item", (12 * F.year("period") + F.month("period")).alias("m"), F.ln("price").alias("lp"))
+    month = p.select("stratum", "m").distinct()
+    first = month.groupBy("stratum").agg(F.min("m").alias("m0"))
+    end = month.join(first, "stratum").filter(F.col("m") < F.col("m0") + window).groupBy("stratum").agg(F.max("m").alias("end"))
+    ends = month.join(end, "stratum").filter("m >= end").select("stratum", F.col("m").alias("last"))
+    rows = p.withColumn("last", F.explode(F.sequence("m", F.col("m") + (window - 1)))).join(ends, ["stratum", "last"])
+    item = rows.groupBy("stratum", "last", "item").agg(F.array_sort(F.collect_list(F.struct("m", "lp"))).alias("x"), F.avg("lp").alias("mean"), F.count("*").alias("n"))
+    pairs = item.select("stratum", "last", "mean", "n", "x", F.explode("x").alias("a")).select("stratum", "last", "mean", "n", "a", F.explode(F.filter("x", lambda b: b["m"] >= F.col("a.m"))).alias("b"))
+    same = F.col("a.m") == F.col("b.m")
+    cells = pairs.groupBy("stratum", "last", F.col("a.m").alias("s"), F.col("b.m").alias("t")).agg(
+        F.sum(1 / F.col("n")).alias("x"), F.sum(F.when(same, F.col("a.lp") - F.col("mean"))).alias("b"), F.count_if(same).alias("d")
+    )
+
+    def solve(pdf):
+        log_p: dict[int, float] = {}
+        for last, g in pdf.groupby("last", sort=True):
+            own = g[g["s"] == g["t"]].sort_values("s")
+            months = own["s"].tolist()
+            at = {m: i for i, m in enumerate(months)}
+            matrix = np.diag(own["d"].to_numpy(float))
+            for s, t, x in zip(g["s"], g["t"], g["x"]):
+                matrix[at[s], at[t]] -= x
+                if s != t:
+                    matrix[at[t], at[s]] -= x
+            step = np.r_[0.0, solved(matrix[1:, 1:], own["b"].to_numpy(float)[1:])]
+            if not log_p:
+                log_p = dict(zip(months, step.tolist()))
+            else:
+                known = [log_p[m] - step[i] for m, i in at.items() if m != last and m in log_p]
+                log_p[last] = step[-1] + (sum(known) / len(known) if known else 0.0)
+        months = sorted(log_p)
+        out = pd.DataFrame({"period": [dt.date((m - 1) // 12, (m - 1) % 12 + 1, 1) for m in months], "value": [100 * np.exp(log_p[m]) for m in months]})
+        out.insert(0, "stratum", pdf["stratum"].iloc[0])
+        return out
+
+    return cells.groupBy("stratum").applyInPandas(solve, "stratum string, period date, value double")  # months x window^2 / 2 rows
+
+
 def sub_index(df: DataFrame, price: Column) -> DataFrame:
     """The fixed-base Jevons series of another price of the same items: df(period, item, ...)."""
     from .relatives import jevons_series

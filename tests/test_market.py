@@ -181,6 +181,37 @@ def test_time_dummies_of_all_strata_against_a_full_regression(spark):
         assert got[s, months[0]] == 100
 
 
+def test_rolling_time_dummies_against_plain_regressions_by_window(spark):
+    import random
+
+    import numpy as np
+
+    r = random.Random(4)
+    months = [dt.date(2023 + m // 12, m % 12 + 1, 1) for m in range(20) if m not in (6, 17)]  # two months without any price
+    rows = [("long", i, m, r.uniform(5, 50)) for i in range(9) for m in months if i < 2 or r.random() < 0.5]
+    rows += [("short", i, m, r.uniform(5, 50)) for i in range(3) for m in months[:4]] + [("one", 1, months[3], 7.0), ("bad", 1, months[0], 0.0)]
+    rows += [("apart", 1, months[0], 5.0), ("apart", 2, months[1], 9.0), ("apart", 2, months[2], 18.0)]  # no item in common with the first month
+    got = {(x.stratum, x.period): x.value for x in multilateral.rolling_time_dummies(spark.createDataFrame(rows, "stratum string, item long, period date, price double")).collect()}
+
+    def regression(mine):
+        items, at = sorted({x[1] for x in mine}), sorted({x[2] for x in mine})
+        design = np.array([[*(i == k for k in items), *(m == k for k in at[1:])] for _, i, m, _ in mine], float)
+        return dict(zip(at, np.r_[0, np.linalg.lstsq(design, np.log([x[3] for x in mine]), rcond=None)[0][len(items) :]]))
+
+    n = lambda d: 12 * d.year + d.month
+    for s in ("long", "short"):
+        mine = [x for x in rows if x[0] == s]
+        at = sorted({x[2] for x in mine})
+        log_p = regression([x for x in mine if n(x[2]) < n(at[0]) + 13])
+        for t in at:
+            if t not in log_p:
+                step = regression([x for x in mine if n(t) - 13 < n(x[2]) <= n(t)])
+                log_p[t] = float(np.mean([log_p[k] + step[t] - step[k] for k in step if k != t]))
+        assert {k[1]: v for k, v in got.items() if k[0] == s} == pytest.approx({t: 100 * math.exp(v) for t, v in log_p.items()}, rel=1e-9)
+    assert got["one", months[3]] == 100 and not any(k[0] == "bad" for k in got)
+    assert [got["apart", m] for m in months[:2]] == [100.0, pytest.approx(50.0)] and got["apart", months[2]] == pytest.approx(100.0)
+
+
 def test_m4_returns_every_stratum(spark):
     from plumbline.catalog.method_queries import Q
     from plumbline.sources import driver_tables
