@@ -310,6 +310,37 @@ def f3_f5_j6_j7_j8_j9_quotes(spark, d):
     return q.select("doc_id", "origin", "destination", "departure_date", "advance_purchase_days", "base_fare", "udf", "asf", "rcs_levy", "carrier_charges", "gst", "total_fare")
 
 
+DAYS = ("2024-01-10", "2024-01-17", "2024-02-25")
+SHEETS = """sheets AS (SELECT * FROM (VALUES (0, DATE '2024-01-10', 0, 152, 75, 236), (1, DATE '2024-01-17', 50, 200, 90, 250), (1, DATE '2024-02-25', 50, 200, 90, 250)) t(v, day, more, dep, arr, asf)),
+way AS (SELECT doc_id, origin, destination, level1, level2, (distance * 7 + line_no) % 1500 AS distance FROM filed WHERE line_no > doc_id UNION ALL SELECT doc_id, destination, origin, level1, level2, (distance * 7 + line_no) % 1500 FROM filed WHERE line_no > doc_id),
+priced AS (SELECT w.*, v, day, CASE WHEN v = 0 THEN level1 ELSE level2 END AS base, (CASE WHEN o.n_nationkey % 3 = 0 THEN dep ELSE 0 END + CASE WHEN e.n_nationkey % 5 = 0 THEN arr ELSE 0 END) AS udf, asf,
+  CASE WHEN distance <= 499 THEN 299 WHEN distance BETWEEN 501 AND 1000 THEN 399 WHEN distance >= 1001 THEN 549 END + more AS yq FROM way w, sheets JOIN nation o ON o.n_name = w.origin JOIN nation e ON e.n_name = w.destination)"""
+
+
+@add("f3_j7_sheets_on_the_day", sql("""SELECT doc_id * 2 + v AS doc_id, CAST(day AS VARCHAR) AS day, origin, destination, CAST(base AS DOUBLE) AS base_fare, CAST(udf AS DOUBLE) AS udf, CAST(asf AS DOUBLE) AS asf, CAST(yq AS DOUBLE) AS carrier_charges,
+  CAST(base + udf + asf + 170 + yq + round((base + udf + asf + 170) * 0.05, 2) AS DOUBLE) AS total_fare FROM priced WHERE yq IS NOT NULL AND (v = 1 OR doc_id % 4 <> 3)""", TARIFF, SHEETS))
+def f3_j7_sheets_on_the_day(spark, d):
+    """Two sheets a carrier, the second valid before the first one ends: each route has one quote per direction and day, priced by
+    the bands and fees of the sheet that counts."""
+    money = lambda x: F.lit(x).cast("decimal(10,2)")
+    n = tables.read(spark, d, "nation")
+    v = F.explode(F.array(F.lit(0), F.lit(1))).alias("v")
+    second = F.col("v") == 1
+    docs = n.select(F.col("n_nationkey").alias("carrier"), v).withColumn("doc_id", F.col("carrier") * 2 + F.col("v"))
+    sheets = docs.select("doc_id", "carrier", F.when(second, "2024-01-14").otherwise("2023-12-30").cast("timestamp").alias("issued"), F.when(second, "2024-01-15").otherwise("2024-01-01").cast("date").alias("valid_from"), F.when(~second, "2024-01-20").cast("date").alias("valid_until"))
+    days = n.select(F.col("n_nationkey").alias("carrier"), F.explode(F.array(*[F.lit(x).cast("date") for x in DAYS])).alias("day"))
+    f = filed(spark, d).filter("line_no > doc_id").withColumnRenamed("doc_id", "carrier").select("carrier", "origin", "destination", ((F.col("distance") * 7 + F.col("line_no")) % 1500).alias("distance"), "level1", "level2")
+    f = f.join(normalise.sheets_on(days, sheets), "carrier").withColumn("base_fare", F.when(F.col("doc_id") % 2 == 0, F.col("level1")).otherwise(F.col("level2")).cast("decimal(10,2)")).withColumn("collection_ts", F.col("day").cast("timestamp"))
+    kinds = F.explode(F.when((F.col("carrier") % 4 == 3) & ~second, F.array(F.lit("asf"), F.lit("rcs"))).otherwise(F.array(F.lit("asf"), F.lit("rcs"), F.lit("cute"))))
+    charges = docs.select("doc_id", "v", kinds.alias("kind")).withColumn("amount", F.when(F.col("kind") == "asf", F.when(second, money(250)).otherwise(money(236))).when(F.col("kind") == "rcs", money(10)).otherwise(money(160)))
+    bands = docs.crossJoin(F.broadcast(spark.createDataFrame(BANDS, "lo int, hi int, amount double"))).select("doc_id", "lo", "hi", (F.col("amount") + 50 * F.col("v")).cast("decimal(10,2)").alias("amount"))
+    places = n.select("n_nationkey", "n_name")
+    dep = docs.crossJoin(F.broadcast(places.filter("n_nationkey % 3 = 0"))).select("doc_id", F.col("n_name").alias("city"), F.when(second, money(200)).otherwise(money(152)).alias("fee"))  # a nation list is short
+    arr = docs.crossJoin(F.broadcast(places.filter("n_nationkey % 5 = 0"))).select("doc_id", F.col("n_name").alias("code"), F.when(second, money(90)).otherwise(money(75)).alias("fee"))
+    q = normalise.fare_quotes(f, normalise.flat_charges(charges), bands, dep, arr)
+    return q.select("doc_id", F.to_date("collection_ts").alias("day"), "origin", "destination", "base_fare", "udf", "asf", "carrier_charges", "total_fare")
+
+
 @add("f2_gst", "SELECT l_linenumber, count(*) AS n, CAST(sum(gst) AS DOUBLE) AS gst FROM (SELECT l_linenumber, round((CAST(l_extendedprice AS DECIMAL(12, 2)) + 558) * 0.05, 2) AS gst FROM lineitem) GROUP BY ALL")
 def f2_gst(spark, d):
     c = lambda x: F.lit(x).cast("decimal(12,2)")

@@ -103,21 +103,54 @@ def schedule_report(charges: DataFrame) -> DataFrame:
     return charges.groupBy("doc_id").agg(n.alias("n_departure"), (has("asf") & has("rcs") & has("cute")).alias("complete"), (n < MIN_UDF_ROWS).alias("collapsed"))
 
 
+def of_sheet(rows: DataFrame, table: DataFrame, *keys: str) -> list[str]:
+    """The keys by which a table of charges is joined to rows: by sheet if both name theirs in doc_id, else one sheet holds for all."""
+    return [*(["doc_id"] if "doc_id" in rows.columns and "doc_id" in table.columns else []), *keys]
+
+
 def in_band(df: DataFrame, bands: DataFrame, distance: str = "distance") -> DataFrame:
-    """Left range join with a filed band list, a handful of rows; distances in a gap between bands get null, never a guess."""
-    b = F.broadcast(bands.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col("amount").alias("carrier_charges")))
-    on = (F.col(distance) >= F.col("__lo")) & (F.col("__hi").isNull() | (F.col(distance) <= F.col("__hi")))
-    return df.join(b, on, "left").drop("__lo", "__hi")
+    """df with carrier_charges, the amount of the filed band that holds the distance; a gap between bands gives null, never a guess.
+
+    bands(lo, hi, amount) is one list, a handful of rows, and broadcast. With a doc_id each sheet has its own list, which is
+    gathered into one row a sheet and joined by the sheet; of bands that overlap in one sheet the one with the lowest `lo` counts.
+    """
+    keys = of_sheet(df, bands)
+    if not keys:
+        b = F.broadcast(bands.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col("amount").alias("carrier_charges")))
+        on = (F.col(distance) >= F.col("__lo")) & (F.col("__hi").isNull() | (F.col(distance) <= F.col("__hi")))
+        return df.join(b, on, "left").drop("__lo", "__hi")
+    lists = bands.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "amount"))).alias("__bands"))
+    fits = F.filter("__bands", lambda x: (F.col(distance) >= x["lo"]) & (x["hi"].isNull() | (F.col(distance) <= x["hi"])))
+    return df.join(lists, keys, "left").withColumn("carrier_charges", F.get(fits, F.lit(0))["amount"]).drop("__bands")
 
 
 def with_fees(df: DataFrame, departure: DataFrame, arrival: DataFrame) -> DataFrame:
-    """Adds udf: departure(city, fee) of the origin plus arrival(code, fee) of the destination; unfiled counts 0 in this sum."""
-    d = F.broadcast(departure.select(F.col("city").alias("origin"), F.col("fee").alias("__d")))
-    a = F.broadcast(arrival.select(F.col("code").alias("destination"), F.col("fee").alias("__a")))
-    out = df.join(d, "origin", "left").join(a, "destination", "left")
+    """Adds udf: departure(city, fee) of the origin plus arrival(code, fee) of the destination, of the row's own sheet where they
+    have a doc_id; unfiled counts 0 in this sum. A fee that a sheet files twice counts once, the lower one."""
+    out = df
+    for fees, place, end, name in ((departure, "city", "origin", "__d"), (arrival, "code", "destination", "__a")):
+        keys = of_sheet(df, fees, place)
+        one = fees.groupBy(*keys).agg(F.min("fee").alias(name)).withColumnRenamed(place, end)
+        out = out.join(one if "doc_id" in keys else F.broadcast(one), [*keys[:-1], end], "left")  # one sheet is short
     return out.withColumn("udf", F.coalesce("__d", F.lit(0)) + F.coalesce("__a", F.lit(0))).drop("__d", "__a")
 
 
+def sheets_on(days: DataFrame, sheets: DataFrame) -> DataFrame:
+    """days(carrier, day) -> (carrier, day, doc_id): the carrier's sheet that is valid on the day, the latest issued one of several
+    (then the greatest doc_id). Days without a valid sheet do not occur.
+
+    sheets(doc_id, carrier, issued, valid_from, valid_until), open at an end that is null. Validity and day meet on equal
+    months, so a day is compared with the sheets of its month and not with all.
+    """
+    span = days.agg(F.trunc(F.min("day"), "MM").alias("__from"), F.trunc(F.max("day"), "MM").alias("__to"))
+    lo, hi = F.greatest(F.trunc("valid_from", "MM"), "__from"), F.least(F.trunc("valid_until", "MM"), "__to")
+    months = F.explode(F.when(lo <= hi, F.sequence(lo, hi, F.expr("interval 1 month"))).otherwise(F.array().cast("array<date>")))
+    by_month = sheets.crossJoin(F.broadcast(span)).withColumn("__month", months)  # one row of two dates
+    both = days.withColumn("__month", F.trunc("day", "MM")).join(by_month, ["carrier", "__month"])
+    valid = both.filter((F.col("valid_from").isNull() | (F.col("day") >= F.col("valid_from"))) & (F.col("valid_until").isNull() | (F.col("day") <= F.col("valid_until"))))
+    return valid.groupBy("carrier", "day").agg(F.max(F.struct("issued", "doc_id"))["doc_id"].alias("doc_id"))
+
+
 def both_directions(df: DataFrame, a: str = "origin", b: str = "destination") -> DataFrame:
     """Each filed pair as two directed rows."""
     ways = F.array(F.struct(F.col(a).alias("o"), F.col(b).alias("d")), F.struct(F.col(b).alias("o"), F.col(a).alias("d")))
@@ -212,9 +245,10 @@ def fare_quotes(filed: DataFrame, flat: DataFrame, bands: DataFrame, departure:
     """filed(doc_id, origin, destination, distance, base_fare, collection_ts) -> one decomposed quote per direction.
 
     Fuel comes from the band of the distance: without a band there is no total, hence no quote. Fees of departure(city, fee)
-    and arrival(code, fee) that are not filed count 0; flat(doc_id, asf, rcs_cute) holds one row a document.
+    and arrival(code, fee) that are not filed count 0; flat(doc_id, asf, rcs_cute) holds one row a document. Where bands and
+    fees have a doc_id, each sheet is priced by its own; sheets_on() says which sheet counts on a day.
     """
-    q = in_band(filed, bands).filter("carrier_charges is not null").join(F.broadcast(flat), "doc_id")
+    q = in_band(filed, bands).filter("carrier_charges is not null").join(flat, "doc_id")
     q = with_fees(both_directions(q), departure, arrival).withColumn("udf", F.col("udf").cast("decimal(10,2)"))
     gst, total = gst_and_total(F.col("base_fare"), F.col("udf"), F.col("asf"), F.col("rcs_cute"), F.col("carrier_charges"))
     return q.select(

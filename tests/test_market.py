@@ -251,6 +251,28 @@ def test_quotes_need_a_band_and_all_flat_charges(spark):
     assert got["B", "A"].udf == d("75") and q.departure_date == dt.date(2026, 7, 20) and q.advance_purchase_days == 30 and q.is_nonstop
 
 
+def test_overlapping_sheets_give_one_quote_per_direction_and_day(spark):
+    d, day = Decimal, lambda k: dt.date(2026, 6, k)
+    sheets = spark.createDataFrame(
+        [(1, "AI", dt.datetime(2026, 5, 8), day(1), day(20)), (2, "AI", dt.datetime(2026, 6, 10), day(15), None), (3, "AI", dt.datetime(2026, 6, 10), day(25), None), (4, "XX", dt.datetime(2026, 1, 1), None, day(2))],
+        "doc_id int, carrier string, issued timestamp, valid_from date, valid_until date",
+    )
+    days = spark.createDataFrame([(c, day(k)) for c in ("AI", "XX") for k in (1, 14, 15, 20, 21, 25)] + [("AI", dt.date(2026, 5, 31)), ("AI", dt.date(2026, 9, 1))], "carrier string, day date")
+    on = {(r.carrier, r.day): r.doc_id for r in normalise.sheets_on(days, sheets).collect()}
+    assert on == {("AI", day(1)): 1, ("AI", day(14)): 1, ("AI", day(15)): 2, ("AI", day(20)): 2, ("AI", day(21)): 2, ("AI", day(25)): 3, ("AI", dt.date(2026, 9, 1)): 3, ("XX", day(1)): 4}
+    filed = spark.createDataFrame([(s, "A", "B", 300, d("1000"), "AI") for s in (1, 2, 3)], "doc_id int, origin string, destination string, distance int, base_fare decimal(10,2), carrier string")
+    rows = filed.join(normalise.sheets_on(days, sheets), ["carrier", "doc_id"]).withColumn("collection_ts", F.col("day").cast("timestamp"))
+    flat = spark.createDataFrame([(s, d("236"), d("170")) for s in (1, 2, 3)], "doc_id int, asf decimal(10,2), rcs_cute decimal(10,2)")
+    bands = spark.createDataFrame([(1, 0, 499, d("100")), (2, 0, 299, d("1")), (2, 300, None, d("200")), (2, 250, None, d("200")), (3, 301, None, d("9"))], "doc_id int, lo int, hi int, amount decimal(10,2)")
+    dep = spark.createDataFrame([(1, "A", d("10")), (2, "A", d("20")), (2, "A", d("25")), (9, "A", d("99"))], "doc_id int, city string, fee decimal(10,2)")
+    arr = spark.createDataFrame([(2, "A", d("7"))], "doc_id int, code string, fee decimal(10,2)")
+    got = {(r.collection_ts.day, r.origin, r.destination): (r.doc_id, r.carrier_charges, r.udf) for r in normalise.fare_quotes(rows, flat, bands, dep, arr).collect()}
+    assert got == {
+        **{(k, "A", "B"): (1, d("100"), d("10")) for k in (1, 14)}, **{(k, "B", "A"): (1, d("100"), d("0")) for k in (1, 14)},
+        **{(k, "A", "B"): (2, d("200"), d("20")) for k in (15, 20, 21)}, **{(k, "B", "A"): (2, d("200"), d("7")) for k in (15, 20, 21)},
+    }
+
+
 def test_new_weights_are_all_or_nothing(spark, tmp_path):
     routes = spark.createDataFrame([("A", "B", True, None), ("B", "A", True, 0.3), ("A", "C", False, 0.1)], "origin string, destination string, active boolean, weight double")
     shares = spark.createDataFrame([("A", "B", 0.6, False), ("B", "A", 0.4, False)], "origin string, destination string, share double, missing boolean")
