@@ -130,6 +130,13 @@ def a5_a7_outlier_flags(spark, d):
     return run_of(spark, d).flagged.drop("relative")
 
 
+@add("a5_a7_large_strata", sql("SELECT CAST(period AS VARCHAR) AS period, route_id, apd, carrier, round(lr, 6) + 0.0 AS log_relative, round(z, 6) + 0.0 AS modified_z, coalesce(abs(z) > 3.5, false) AS outlier FROM flagged", QUOTES, OBS, REL, FLAG))
+def a5_a7_large_strata(spark, d):
+    """The same flags by the form for strata that outgrow a task."""
+    rel = stored(relatives.build_relatives(eligibility.observations(tables.quotes(spark, d))), "relatives")
+    return relatives.flag_outliers_of_large_strata(rel, 3.5).select("period", "route_id", "apd", "carrier", "log_relative", "modified_z", "outlier")
+
+
 @add("m5_quartile_outliers", sql("""SELECT route_id, apd, count(*) AS n, count(*) FILTER (lr < q1 - 1.5 * (q3 - q1) OR lr > q3 + 1.5 * (q3 - q1)) AS outliers FROM
   (SELECT *, quantile_cont(lr, 0.25) OVER s AS q1, quantile_cont(lr, 0.75) OVER s AS q3 FROM rel WINDOW s AS (PARTITION BY route_id, apd)) GROUP BY ALL""", QUOTES, OBS, REL))
 def m5_quartile_outliers(spark, d):

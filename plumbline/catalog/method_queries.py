@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from ..operators import multilateral, smooth, validate
 from ..plans import spool
+from ..plans.index_run import index_run
 from ..sources import driver_tables as tables
 from ..sources import sinks
 from ..sources.versions import Store
 from ..streaming import ingest
-from .common import COMP, PRICES, QUOTES, RUN, RUNS, out, sql
-from .index_queries import run_of
+from .common import COMP, METHOD, PRICES, QUOTES, RUN, RUNS, out, routes, sql
+from .index_queries import STACK, run_of
 
 Q, S = {}, {}
 
@@ -154,6 +155,16 @@ def m9_revisions(spark, d):
     return validate.revisions(stored, c, ["period"])
 
 
+@add("m9_same_bits", sql("SELECT series_id, CAST(period AS VARCHAR) AS period, round(value, 6) AS value, true AS same FROM series", *RUN, STACK))
+def m9_same_bits(spark, d):
+    """The whole run twice, from quotes in 1 and in 23 partitions: every published double is the same, bit by bit."""
+    quotes, basket = tables.quotes(spark, d), spool.stored(routes(spark, d), "basket")
+    one, many = (index_run(q, basket, METHOD).stack for q in (quotes.coalesce(1), quotes.repartition(23)))
+    keys, values = ["series_id", "period"], ["value", "coverage", "low", "high"]
+    differ = validate.changed_bits(one, many, keys, values).select(*keys, F.lit(False).alias("same"))
+    return one.join(differ, keys, "left").select(*keys, "value", F.coalesce("same", F.lit(True)).alias("same"))
+
+
 @add("m10_event_calendar", sql("""SELECT CAST(period AS VARCHAR) AS period, round(value, 6) AS value, CASE WHEN period BETWEEN DATE '2024-01-12' AND DATE '2024-01-14' THEN 'festival,strike' WHEN period BETWEEN DATE '2024-01-10' AND DATE '2024-01-14' THEN 'festival' WHEN period BETWEEN DATE '2024-01-15' AND DATE '2024-01-16' THEN 'fare cap,festival,strike'
   WHEN period BETWEEN DATE '2024-01-17' AND DATE '2024-01-20' THEN 'fare cap,festival' WHEN period > DATE '2024-01-20' THEN 'fare cap' END AS events, period >= DATE '2024-01-15' AS structural_break, CAST(period >= DATE '2024-01-15' AS INTEGER) AS regime FROM comp""", *RUN[:9]))
 def m10_event_calendar(spark, d):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_avg, exact_sum
 from ..parameters import MIN_WEIGHT_COVERAGE
 
 BASE = 100.0
@@ -14,7 +15,7 @@ def elementary_panel(rel: DataFrame, n_expected: int, floor: float) -> DataFrame
     """One Jevons relative per day and stratum; coverage is observed over expected items, below the floor suppressed."""
     seen = F.count_if(~F.col("imputed"))
     return rel.groupBy("period", "route_id", "apd").agg(
-        F.exp(F.avg("log_relative")).alias("jevons"), seen.alias("n_observed"), F.count_if("imputed").alias("n_imputed")
+        F.exp(exact_avg("log_relative")).alias("jevons"), seen.alias("n_observed"), F.count_if("imputed").alias("n_imputed")
     ).withColumn("coverage", F.col("n_observed") / F.lit(n_expected) if n_expected else F.lit(0.0)).withColumn("suppressed", F.col("coverage") < floor)
 
 
@@ -35,7 +36,7 @@ def usable_weights(routes: DataFrame, unweighted: str = "one") -> DataFrame:
 
 
 def _kept(x: Column) -> Column:
-    return F.sum(F.when(~F.col("suppressed"), x))
+    return exact_sum(F.when(~F.col("suppressed"), x))
 
 
 def upper_level(panel: DataFrame, weights: DataFrame, curves: DataFrame, n_windows: int = 4) -> DataFrame:
@@ -47,7 +48,7 @@ def upper_level(panel: DataFrame, weights: DataFrame, curves: DataFrame, n_windo
     n_routes = weights.agg(F.count("*").alias("n_expected_routes"))
     joined = panel.join(F.broadcast(curves), "apd").join(weights.select("route_id", "w"), "route_id", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
     out = joined.groupBy("period", "curve").agg(
-        _kept(w).alias("sw"), _kept(w * F.col("jevons")).alias("swj"), F.sum("coverage").alias("sc"), F.count_if(~F.col("suppressed")).alias("n_strata")
+        _kept(w).alias("sw"), _kept(w * F.col("jevons")).alias("swj"), exact_sum("coverage").alias("sc"), F.count_if(~F.col("suppressed")).alias("n_strata")
     )
     return out.filter("sw > 0").crossJoin(F.broadcast(n_routes)).select(
         "period", "curve", (BASE * F.col("swj") / F.col("sw")).alias("value"), F.least(F.lit(1.0), F.col("sc") / (F.col("n_expected_routes") * n_windows)).alias("coverage"), "n_strata"
@@ -66,7 +67,7 @@ def composite(upper: DataFrame, floor: float) -> DataFrame:
 def window_index(panel: DataFrame, weights: DataFrame, floor: float) -> DataFrame:
     """(period, apd, value, coverage, suppressed): one lead window each, weighted by route only, so without a band."""
     joined = panel.join(weights.select("route_id", "w"), "route_id", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
-    out = joined.groupBy("period", "apd").agg(_kept(F.col("w")).alias("sw"), _kept(F.col("w") * F.col("jevons")).alias("swj"), F.least(F.lit(1.0), F.avg("coverage")).alias("coverage"))
+    out = joined.groupBy("period", "apd").agg(_kept(F.col("w")).alias("sw"), _kept(F.col("w") * F.col("jevons")).alias("swj"), F.least(F.lit(1.0), exact_avg("coverage")).alias("coverage"))
     return out.filter("sw > 0").select("period", "apd", (BASE * F.col("swj") / F.col("sw")).alias("value"), "coverage", (F.col("coverage") < floor).alias("suppressed"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_avg
+
 
 def centred_mean(series: DataFrame, columns: list[str], window: int = 7, by: list[str] | None = None) -> DataFrame:
     """Means of the columns over `window` days around each day; days without a full window have no row.
@@ -25,8 +27,8 @@ def centred_mean(series: DataFrame, columns: list[str], window: int = 7, by: lis
 def weekday_adjusted(raw: DataFrame, smooth: DataFrame) -> DataFrame:
     """raw(period, value) divided by centred weekday factors learnt from log(raw / smooth)."""
     both = raw.select("period", "value").join(smooth.select("period", F.col("value").alias("smooth")), "period").withColumn("d", F.weekday("period"))
-    effect = both.groupBy("d").agg(F.avg(F.ln(F.col("value") / F.col("smooth"))).alias("e"))
-    centre = effect.agg(F.avg("e").alias("m"))
+    effect = both.groupBy("d").agg(exact_avg(F.ln(F.col("value") / F.col("smooth"))).alias("e"))
+    centre = effect.agg(exact_avg("e").alias("m"))
     factors = effect.crossJoin(F.broadcast(centre)).select("d", F.exp(F.col("e") - F.col("m")).alias("factor"))
     return raw.select("period", "value").withColumn("d", F.weekday("period")).join(F.broadcast(factors), "d").select("period", "value", (F.col("value") / F.col("factor")).alias("adjusted"))
 

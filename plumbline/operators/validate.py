@@ -45,6 +45,12 @@ def revisions(stored: DataFrame, recomputed: DataFrame, keys: list[str], digits:
     return a.join(b, keys, "full_outer").filter(~F.col("stored").eqNullSafe(F.col("recomputed")))
 
 
+def changed_bits(stored: DataFrame, recomputed: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Rows of which not every value is the same double, bit by bit, or that only one table has; empty after a faithful recompute."""
+    bits = lambda df, name: df.select(*keys, F.struct(*[F.col(c).cast("string").alias(c) for c in values]).alias(name))  # noqa: E731  the text of a double names it exactly
+    return bits(stored, "stored").join(bits(recomputed, "recomputed"), keys, "full_outer").filter(~F.col("stored").eqNullSafe(F.col("recomputed")))
+
+
 def annotated(series: DataFrame, calendar: DataFrame) -> DataFrame:
     """series with events, structural_break and regime; values are neither smoothed nor left out.
 

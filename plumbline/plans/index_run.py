@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import eligibility, panel, relatives, smooth
 from ..operators.weights import active
 from ..parameters import SERIES_RAW, SERIES_SMOOTH, SERIES_WINDOW, Methodology
-from .spool import stored
+from .spool import stored_with
 
 
 class IndexRun:
@@ -19,15 +19,23 @@ class IndexRun:
 
     def __init__(self, quotes: DataFrame, routes: DataFrame, method: Methodology, start: str | None = None, end: str | None = None):
         self.quotes, self.routes, self.method, self.start, self.end = quotes, active(routes), method, start, end
-        self.spark = quotes.sparkSession
+        self.spark, self.counts = quotes.sparkSession, {}
+
+    def _stored(self, df: DataFrame, name: str, **metrics) -> DataFrame:
+        """The stage, written once; what report() says of it is observed by the write."""
+        out, seen = stored_with(df, name, metrics)
+        self.counts |= seen
+        return out
 
     @cached_property
     def obs(self) -> DataFrame:
-        return stored(eligibility.observations(self.quotes, self.start, self.end), "observations")
+        df = eligibility.observations(self.quotes, self.start, self.end)
+        return self._stored(df, "observations", n_observations=F.count("*"), base_period=F.min("period"), n_periods=F.size(F.collect_set("period")).cast("long"))
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return stored(relatives.flag_outliers(relatives.build_relatives(self.obs), self.method.outlier_z), "relatives")
+        df = relatives.flag_outliers(relatives.build_relatives(self.obs), self.method.outlier_z)
+        return self._stored(df, "relatives", n_relatives=F.count("*"), n_outliers=F.count_if("outlier"))
 
     @cached_property
     def filled(self) -> DataFrame:
@@ -35,7 +43,8 @@ class IndexRun:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return stored(panel.elementary_panel(self.filled, len(self.method.carriers), self.method.stratum_floor), "panel")
+        df = panel.elementary_panel(self.filled, len(self.method.carriers), self.method.stratum_floor)
+        return self._stored(df, "panel", n_imputed=F.coalesce(F.sum("n_imputed"), F.lit(0)), n_panel_rows=F.count("*"), n_suppressed=F.count_if("suppressed"))
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -67,14 +76,20 @@ class IndexRun:
         mean = self.smoothed.select(F.lit(SERIES_SMOOTH).alias("series_id"), daily, *cols[2:])
         return raw.unionByName(one).unionByName(mean)
 
+    @cached_property
+    def stack(self) -> DataFrame:
+        """series(), written once."""
+        kind = F.col("series_id")
+        counts = {"n_raw": kind == SERIES_RAW, "n_window": kind.startswith(f"{SERIES_WINDOW}.T"), "n_smoothed": kind == SERIES_SMOOTH}
+        return self._stored(self.series(), "series", **{k: F.count_if(c) for k, c in counts.items()})
+
     def report(self, routes: DataFrame) -> DataFrame:
-        """One row of counts and the warnings that say why a run publishes nothing or less than it could."""
-        n = lambda df, name: df.agg(F.count("*").alias(name))
-        out = n(self.obs, "n_observations").crossJoin(self.obs.agg(F.min("period").alias("base_period"), F.countDistinct("period").alias("n_periods")))
-        out = out.crossJoin(self.flagged.agg(F.count("*").alias("n_relatives"), F.count_if("outlier").alias("n_outliers")))
-        out = out.crossJoin(self.filled.agg(F.count_if("imputed").alias("n_imputed")))
-        out = out.crossJoin(self.panel.agg(F.count("*").alias("n_panel_rows"), F.count_if("suppressed").alias("n_suppressed")))
-        out = out.crossJoin(n(self.composite, "n_raw")).crossJoin(n(self.windows, "n_window")).crossJoin(n(self.smoothed, "n_smoothed"))
+        """One row of counts and the warnings that say why a run publishes nothing or less than it could. The counts come from the
+        writes of the stages; no stage is read again for them."""
+        self.stack  # the last stage; those that it reads are written with it
+        names = ["n_observations", "base_period", "n_periods", "n_relatives", "n_outliers", "n_imputed", "n_panel_rows", "n_suppressed", "n_raw", "n_window", "n_smoothed"]
+        types = {"base_period": "date"}
+        out = self.spark.createDataFrame([tuple(self.counts[k] for k in names)], ", ".join(f"{k} {types.get(k, 'bigint')}" for k in names))
         out = out.crossJoin(panel.weight_coverage(routes).select("weights_real", "weights_refused"))
         checks = {
             "no_observations": F.col("n_observations") > 0,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RUN_QUOTES = 20_000
@@ -33,6 +33,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """stored(), and aggregates of df's rows that the write itself observes: they cost no scan."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    out = stored(df.observe(seen, *[m.alias(k) for k, m in metrics.items()]), name)
+    return out, seen.get
+
+
 def write_spool(quotes: DataFrame, path: str) -> None:
     """JSON documents of a run with the quotes it collected, fares as text; a long run has several of RUN_QUOTES ids each."""
     q = F.struct("quote_id", "source", "carrier", "route_id", "apd", "fare_class", "collection_ts", F.col("total_fare").cast("string").alias("total_fare"))
