@@ -2,11 +2,13 @@
 
 A file holds whole documents: a directory of ids and lengths, then independent blocks. In a block LANES coders are
 interleaved, so one numpy step codes LANES tokens; every CHECKPOINT_STEPS steps the coder states and the place in the
-words are noted, and each stretch between two checkpoints can be decoded by itself. Blocks and documents have checksums.
+words are noted, and each stretch between two checkpoints can be decoded by itself. Blocks and documents have checksums. The table
+is stored once beside the files, each of which names it by its checksum.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import struct
 import zlib
@@ -18,14 +20,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table, text_of, written
+from .common import shared_dir, table, text_of, written
 
 SLOT_BITS = 18  # frequencies add up to 2**SLOT_BITS
 LOW = np.uint64(1 << 31)
 LANES, BLOCK_TOKENS, CHECKPOINT_STEPS = 2048, 1 << 19, 128
 FILE_TOKENS = 1 << 20
-MAGIC = b"RNS1"
-HEAD = struct.Struct("<4sQII")  # magic, first token, documents, blocks
+MAGIC = b"RNS2"
+HEAD = struct.Struct("<4sQII8s")  # magic, first token, documents, blocks, name of the frequency table
 BLOCK = struct.Struct("<IIIII")  # tokens, words, checkpoints, crc32 of the ids, crc32 of the coded bytes
 END_ID = 0
 CACHE_PIECES = 1_600_000
@@ -46,11 +48,24 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
 
 
 class Coder:
+    """Codes and decodes with one frequency table, which is named by its checksum."""
+
     def __init__(self, freq: np.ndarray):
         self.freq = freq
+        self.name = hashlib.sha256(self.to_bytes()).digest()[:8]
         self.start = np.cumsum(freq) - freq
         self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
 
+    def to_bytes(self) -> bytes:
+        return self.freq.astype("<u4").tobytes()
+
+    @classmethod
+    def from_bytes(cls, raw: bytes, name: bytes) -> Coder:
+        coder = cls(np.frombuffer(raw, "<u4").astype(np.uint64))
+        if coder.name != name:
+            raise ValueError("the frequency table is damaged")
+        return coder
+
     def encode(self, ids: np.ndarray) -> bytes:
         """One block. The tokens are coded last to first and read first to last; lanes past the end code nothing."""
         steps = -(-len(ids) // LANES)
@@ -111,12 +126,14 @@ def make_file(coder: Coder, first: int, docs: list[tuple[int | None, np.ndarray]
     ids = np.concatenate([d[1] for d in docs])
     blocks = [coder.encode(ids[i : i + BLOCK_TOKENS]) for i in range(0, len(ids), BLOCK_TOKENS)]
     names = b"".join(struct.pack("<?qI", d is None, d or 0, len(x)) for d, x in docs)
-    return HEAD.pack(MAGIC, first, len(docs), len(blocks)) + struct.pack("<I", zlib.crc32(names)) + names + b"".join(blocks)
+    return HEAD.pack(MAGIC, first, len(docs), len(blocks), coder.name) + struct.pack("<I", zlib.crc32(names)) + names + b"".join(blocks)
 
 
 def read_file(coder: Coder, raw: bytes) -> list[tuple[int | None, int, np.ndarray]]:
     """[(document, start, ids)]; ValueError where a checksum fails."""
-    magic, first, n_docs, n_blocks = HEAD.unpack_from(raw, 0)
+    magic, first, n_docs, n_blocks, name = HEAD.unpack_from(raw, 0)
+    if magic == MAGIC and name != coder.name:
+        raise ValueError(f"the file needs the frequency table {name.hex()}")
     (names_crc,) = struct.unpack_from("<I", raw, HEAD.size)
     at = HEAD.size + 4
     names = raw[at : at + 13 * n_docs]
@@ -353,10 +370,23 @@ def decode(files: DataFrame, coder: Coder) -> DataFrame:
     return files.select("body").mapInArrow(run, "doc long, start long, n_tokens long, ids_crc32 long")
 
 
+def save(files: DataFrame, coder: Coder, path: str) -> None:
+    """An archive of its own: the files, and once the frequency table that each of them names."""
+    files.write.option("compression", "none").parquet(f"{path}/files")
+    files.sparkSession.createDataFrame([(bytearray(coder.name), bytearray(coder.to_bytes()))], "name binary, frequencies binary").coalesce(1).write.parquet(f"{path}/table")
+
+
+def load(spark, path: str) -> tuple[DataFrame, Coder]:
+    """The files (first, body) of a saved archive and the coder for them; ValueError where the table fails its checksum."""
+    row = spark.read.parquet(f"{path}/table").first()
+    return spark.read.schema("first long, body binary").parquet(f"{path}/files"), Coder.from_bytes(bytes(row.frequencies), bytes(row.name))
+
+
 def op3_token_ids(spark, sf_dir: str, vocabulary_file: str = "byte_bpe_50k.json") -> DataFrame:
     """The contract query: all documents tokenised, coded to files, and read back."""
     import public_tokenizers
 
     tokens = written(tokenised(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary_file)), "ids")
-    files, coder = encode(tokens, 50_257)
-    return decode(written(files, "rans", compression="none"), coder).withColumnRenamed("doc", "doc_id")
+    path = shared_dir(spark, "rans")
+    save(*encode(tokens, 50_257), path)
+    return decode(*load(spark, path)).withColumnRenamed("doc", "doc_id")

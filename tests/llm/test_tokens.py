@@ -1,4 +1,8 @@
+import ast
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -62,3 +66,32 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string").limit(0)
     files, coder = tokens.encode(tokens.written(tokens.tokenised(docs, PATH), "ids"), 50_257)
     assert tokens.decode(files, coder).collect() == []
+
+
+def test_an_archive_is_decoded_in_a_new_process_from_its_files_alone(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(texts())]
+    made = tokens.written(tokens.tokenised(spark.createDataFrame(rows, "doc_id long, text string"), PATH), "ids")
+    tokens.save(*tokens.encode(made, 50_257), str(tmp_path / "archive"))
+    want = sorted((r.doc, r.start, r.n_tokens, r.ids_crc32) for r in tokens.decode(*tokens.load(spark, str(tmp_path / "archive"))).collect())
+    code = """
+import sys, zlib
+import pyarrow.parquet as pq
+from plumbline.llm import tokens
+table = pq.read_table(sys.argv[1] + "/table").to_pylist()[0]
+coder = tokens.Coder.from_bytes(table["frequencies"], table["name"])
+rows = [x for body in pq.read_table(sys.argv[1] + "/files")["body"].to_pylist() for x in tokens.read_file(coder, body)]
+print(sorted((d, s, len(x), zlib.crc32(x.astype("<u4").tobytes())) for d, s, x in rows))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "archive")], capture_output=True, text=True, env=os.environ | {"PYTHONPATH": root}, check=True).stdout
+    assert ast.literal_eval(out) == want and len(want) == len(rows)
+
+
+def test_another_or_a_damaged_table_is_refused():
+    a, b = (tokens.Coder(tokens.frequencies(np.array(c))) for c in ([5, 1, 1], [1, 1, 9]))
+    raw = tokens.make_file(a, 0, [(1, np.array([0, 1, 2, 0]))])
+    assert list(tokens.read_file(a, raw)[0][2]) == [0, 1, 2, 0]
+    with pytest.raises(ValueError, match="needs the frequency table"):
+        tokens.read_file(b, raw)
+    with pytest.raises(ValueError, match="damaged"):
+        tokens.Coder.from_bytes(a.to_bytes()[:-4] + b"\1\0\0\0", a.name)
