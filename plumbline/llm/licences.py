@@ -163,14 +163,16 @@ class Matcher:
                 self.gate.setdefault(w, []).append(i)
         self.regex = "|".join(sorted(self.gate))
 
-    def reductions(self, words: list[str], among: list[int]) -> list[tuple[float, int]]:
-        """(share of the compressed bytes that a template saves, template), largest first."""
+    def reductions(self, words: list[str], among: list[int]) -> list[tuple[int, float, int]]:
+        """(compressed bytes that a template saves, their share, template), largest first."""
         raw = " ".join(words).encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(raw))
-        return sorted(((1 - len(self.templates[i].given.compress(raw)) / alone, i) for i in among), key=lambda x: (-x[0], x[1]))
+        saved = [(alone - len(self.templates[i].given.compress(raw)), i) for i in among]
+        return sorted(((n, n / alone, i) for n, i in saved), key=lambda x: (-x[0], x[2]))
 
     def scan(self, text: str) -> list[dict]:
-        """The notices of a text, none overlapping another: the one with the fewest differences, then the longest, is kept."""
+        """The notices of a text, none overlapping another. Of matches that overlap the one of whose bytes its template saves the largest
+        share wins; the wording only confirms it, and decides between equal shares by the fewest differences."""
         words = words_of(text)
         at: dict[int, list[int]] = {}
         for k, w in enumerate(words):
@@ -182,21 +184,22 @@ class Matcher:
                 blocks.setdefault(b, []).append(i)
         found = {}
         for (lo, hi), among in blocks.items():
-            for saved, i in self.reductions(words[lo:hi], among):
-                if saved < MIN_REDUCTION:
-                    break
+            for _, share, i in self.reductions(words[lo:hi], among):
+                if share < MIN_REDUCTION:
+                    continue
                 for start, stop, diff in self.templates[i].matches(words, lo, hi):
-                    if (i, start, stop) not in found or found[i, start, stop][2] > -saved:
-                        found[i, start, stop] = (len(diff), -len(self.templates[i].words), -saved, i, start, stop, diff)
+                    if (i, start, stop) not in found:  # what it saves is ranked on the notice's own words
+                        _, share, _ = self.reductions(words[start:stop], [i])[0]
+                        found[i, start, stop] = (-share, len(diff), -len(self.templates[i].words), i, start, stop, diff, share)
         if not found:
             return []
         low = text.lower()
         ends, begins = [m.start() for m in re.finditer("\n", low)], [m.start() for m in WORD.finditer(low)]
         taken, out = bytearray(len(words)), []
-        for _, _, saved, i, start, stop, diff in sorted(found.values()):
+        for _, _, _, i, start, stop, diff, share in sorted(found.values()):
             if not any(taken[start:stop]):
                 taken[start:stop] = b"\1" * (stop - start)
-                out.append({"licence": self.templates[i].licence, "line": bisect_right(ends, begins[start]), "start": start, "stop": stop, "reduction": round(-saved, 6), "differences": diff})
+                out.append({"licence": self.templates[i].licence, "line": bisect_right(ends, begins[start]), "start": start, "stop": stop, "reduction": round(share, 6), "differences": diff})
         return sorted(out, key=lambda r: r["start"])
 
 
