@@ -60,7 +60,7 @@ def land_batch(store: Store, docs: DataFrame, stream: str, batch: int, late_days
     """
     if store.ledger(stream) >= batch:
         return None
-    docs = docs.persist()
+    docs, fresh = docs.persist(), None
     try:
         good, rejects = malformed(docs)
         seen = store.ledger(f"{stream}-seconds")
@@ -83,6 +83,8 @@ def land_batch(store: Store, docs: DataFrame, stream: str, batch: int, late_days
         return store.commit(changes, {stream: batch} | ({f"{stream}-seconds": max(seen, newest)} if newest is not None else {}))
     finally:
         docs.unpersist()
+        if fresh is not None:
+            fresh.unpersist()
 
 
 def ingest_spool(spark: SparkSession, path: str, store: Store, checkpoint: str, per_batch: int | None = None, archive: str | None = None, late_days: int = 14):
