@@ -52,11 +52,12 @@ def canonical_quotes(quotes: DataFrame, ranks: DataFrame) -> DataFrame:
 
 
 def source_agreement(quotes: DataFrame) -> DataFrame:
-    """(source_a, source_b, n, mean_log_ratio): lowest fares of the same product and day from two sources.
+    """(source_a, source_b, n, mean_log_ratio): lowest fares above zero of the same product and day from two sources.
 
-    Each source is reduced to one fare per product and day first, so the self-join meets at most one row a source.
+    Each source is reduced to one fare per product and day first, so the self-join meets at most one row a source. A fare of
+    zero is no price and hides no other quote of its product and day.
     """
-    low = quotes.groupBy("source", "route_id", "apd", "carrier", "period").agg(F.min("total_fare").alias("fare")).filter("fare > 0")
+    low = quotes.filter("total_fare > 0").groupBy("source", "route_id", "apd", "carrier", "period").agg(F.min("total_fare").alias("fare"))
     a = low.withColumnsRenamed({"source": "source_a", "fare": "fare_a"})
     b = low.withColumnsRenamed({"source": "source_b", "fare": "fare_b"})
     both = a.join(b, ["route_id", "apd", "carrier", "period"]).filter("source_a < source_b")
