@@ -370,7 +370,7 @@ def offer_pages(spark, d):
 
 OFFERS = """offer AS (SELECT 'R' || (user_id % 9) || 'A' AS origin, CAST(ts AS DATE) AS day, event_id // 20000 AS page, event_id AS k, value AS fare, event_id % 4 = 0 AS conn, event_id % 4 <> 0 AND event_id % 6 = 0 AS other,
   CASE WHEN event_id % 3 = 0 THEN '6E' ELSE upper(substr(event_type, 1, 2)) END AS carrier, CAST(event_id % 40 AS INTEGER) AS lead FROM events),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY origin, day, page ORDER BY fare, k) AS rn FROM offer WHERE NOT conn AND NOT other) WHERE rn = 1)"""
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY origin, day, page ORDER BY fare, k) AS rn FROM offer WHERE NOT conn AND NOT other AND fare > 0) WHERE rn = 1)"""
 
 
 @add("s5_f15_f18_a20_a21_offers", sql("""SELECT p.origin || '/' || CAST(p.day AS VARCHAR) || '/' || p.page AS page_id, CASE WHEN ok THEN round(b.fare, 6) END AS fare, CASE WHEN ok THEN b.carrier END AS carrier, CASE WHEN ok THEN b.lead END AS lead_days,

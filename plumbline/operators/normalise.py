@@ -187,8 +187,8 @@ def journeys(pages: DataFrame) -> DataFrame:
 
 
 def cheapest_offers(df: DataFrame) -> DataFrame:
-    """One row per page: the cheapest non-stop journey of exactly its airport pair, first on ties, with a plausible lead
-    time; else the reason. The lead time runs from the UTC collection day to the local departure day."""
+    """One row per page: the cheapest non-stop journey of exactly its airport pair that has a fare above zero and a departure,
+    first on ties, with a plausible lead time; else the reason. The lead time runs from the UTC collection day to the local departure day."""
     mine = (F.col("n_legs") == 1) & (F.col("leg_origin") == F.col("origin")) & (F.col("leg_destination") == F.col("destination"))
     good = mine & (F.col("fare") > 0) & F.col("departs_local").isNotNull()
     best = F.min(F.when(good, F.struct("fare", "pos", "carrier", "base_fare", "departs_local")))

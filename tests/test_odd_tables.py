@@ -41,3 +41,9 @@ def test_a_fare_of_zero_hides_no_other_quote_of_a_source(spark, events):
     # event 1 and 13: source 1, the same product and day; event 5: source 2
     folder = events((1, DAY, 0, "view", 0.0), (13, DAY, 0, "view", 20.0), (5, DAY, 0, "view", 10.0))
     assert len(same(spark, folder, "j13_source_agreement")) == 1
+
+
+def test_the_cheapest_offer_has_a_fare_above_zero(spark, events):
+    # events 1, 5 and 7 are non-stop offers of route 0, 10 of route 1: a page whose only non-stop offer costs nothing has none
+    folder = events((1, DAY, 0, "view", 0.0), (5, DAY, 0, "view", 30.0), (7, DAY, 0, "view", 20.0), (10, DAY, 1, "view", 0.0))
+    assert [r for r in same(spark, folder, "s5_f15_f18_a20_a21_offers") if "no_nonstop" in r and "R1A/2024-01-05/0" in r]
