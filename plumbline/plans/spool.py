@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RUN_QUOTES = 20_000
+#: Times are spooled whole: to the default milliseconds, quotes and runs would change their order.
+TIMES = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 _local: list[str] = []
 
 
@@ -44,14 +46,14 @@ def write_spool(quotes: DataFrame, path: str) -> None:
     """JSON documents of a run with the quotes it collected, fares as text; a long run has several of RUN_QUOTES ids each."""
     q = F.struct("quote_id", "source", "carrier", "route_id", "apd", "fare_class", "collection_ts", F.col("total_fare").cast("string").alias("total_fare"))
     runs = quotes.groupBy("run_id", F.floor(F.col("quote_id") / RUN_QUOTES).alias("part")).agg(F.min("source").alias("source"), F.min("collection_ts").alias("started_at"), F.array_sort(F.collect_list(q)).alias("quotes"))
-    runs.drop("part").withColumn("status", F.lit("succeeded")).write.json(path)
+    runs.drop("part").withColumn("status", F.lit("succeeded")).write.option("timestampFormat", TIMES).json(path)
 
 
 def write_runs(runs: DataFrame, path: str) -> None:
     """JSON documents of runs that collected no quote, added to a folder; a file holds runs of one day."""
     nothing = F.array().cast("array<string>")
     docs = runs.select("run_id", F.col("source").cast("string").alias("source"), "started_at", "status", "selector_relocated", "notes", nothing.alias("quotes"), F.to_date("started_at").alias("of"))
-    docs.write.mode("append").partitionBy("of").json(path)
+    docs.write.mode("append").option("timestampFormat", TIMES).partitionBy("of").json(path)
 
 
 def stored_text(lines: DataFrame, path: str) -> None:

@@ -47,3 +47,11 @@ def test_the_cheapest_offer_has_a_fare_above_zero(spark, events):
     # events 1, 5 and 7 are non-stop offers of route 0, 10 of route 1: a page whose only non-stop offer costs nothing has none
     folder = events((1, DAY, 0, "view", 0.0), (5, DAY, 0, "view", 30.0), (7, DAY, 0, "view", 20.0), (10, DAY, 1, "view", 0.0))
     assert [r for r in same(spark, folder, "s5_f15_f18_a20_a21_offers") if "no_nonstop" in r and "R1A/2024-01-05/0" in r]
+
+
+def test_spooled_runs_keep_their_order_within_a_millisecond(spark, events):
+    # one key: the run of event 7 starts 300 microseconds after that of event 20,011, so the latter's quote is the one that lands
+    late, early = DAY + dt.timedelta(microseconds=500), DAY + dt.timedelta(microseconds=200)
+    folder = events((7, late, 0, "view", 20.0), (20_011, early, 5, "view", 10.0))
+    got = same(spark, folder, "t1_s8_k7_spool_ingest")
+    assert len(got) == 1
