@@ -54,4 +54,4 @@ def test_spooled_runs_keep_their_order_within_a_millisecond(spark, events):
     late, early = DAY + dt.timedelta(microseconds=500), DAY + dt.timedelta(microseconds=200)
     folder = events((7, late, 0, "view", 20.0), (20_011, early, 5, "view", 10.0))
     got = same(spark, folder, "t1_s8_k7_spool_ingest")
-    assert len(got) == 1
+    assert len(got) == 1 and len(same(spark, folder, "k7_k2_runs_with_quotes")) == 2
