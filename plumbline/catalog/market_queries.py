@@ -38,13 +38,18 @@ def basket(spark, d):
     return a.crossJoin(F.broadcast(b)).filter("origin <> destination")  # a basket is a short list of routes
 
 
-def mapped(spark, d):
-    return weights.mapped_flows(tables.flows(spark, d), tables.cities(spark, d))
+def flows(spark, d):
+    """The traffic, written once: its queries read it several times, and it is short however many order lines there are."""
+    return stored(tables.flows(spark, d), "traffic-cells")
+
+
+def mapped(spark, d, cells=None):
+    return weights.mapped_flows(flows(spark, d) if cells is None else cells, tables.cities(spark, d))
 
 
 @add("s4_traffic_csv", sql("SELECT origin, destination, CAST(period AS VARCHAR) AS period, passengers FROM flows", FLOWS))
 def s4_traffic_csv(spark, d):
-    cells, path = tables.flows(spark, d), shared_path(spark, "traffic")
+    cells, path = flows(spark, d), shared_path(spark, "traffic")
     rows = cells.select(F.year("period").alias("Year"), F.month("period").alias("Month"), F.col("city1").alias("City1"), F.col("city2").alias("City2"), F.col("passengers").alias("PaxToCity2"), F.lit("n/a").alias("PaxFromCity2"))
     rows.write.option("header", True).csv(path)
     return weights.mapped_flows(weights.traffic_cells(weights.read_traffic(spark, path)), tables.cities(spark, d))
@@ -52,7 +57,7 @@ def s4_traffic_csv(spark, d):
 
 @add("j10_city_report", sql("SELECT DISTINCT city, CASE WHEN refused THEN 'refused' ELSE 'unmapped' END AS problem FROM (SELECT city1 AS city FROM cells UNION SELECT city2 FROM cells) JOIN cities USING (city) WHERE refused OR unknown", FLOWS))
 def j10_city_report(spark, d):
-    return weights.city_report(tables.flows(spark, d), tables.cities(spark, d))
+    return weights.city_report(flows(spark, d), tables.cities(spark, d))
 
 
 @add("a16_j11_basket_shares", sql("SELECT origin, destination, round(passengers, 6) AS passengers, round(share, 6) AS share, months_observed, missing FROM shares", FLOWS))
@@ -69,9 +74,10 @@ def a17_national_totals(spark, d):
   CASE WHEN 12 * (2002 - year(latest)) + 6 - month(latest) > 6 THEN 'stale' END, CASE WHEN n_unmapped > 0 THEN 'unmapped_code' END) AS failed
   FROM (SELECT (SELECT max(period) FROM flows) AS latest, (SELECT count(*) FROM shares WHERE missing) AS n_missing, (SELECT count(*) FROM (SELECT origin FROM basket UNION SELECT destination FROM basket EXCEPT SELECT code FROM good)) AS n_unmapped)""", FLOWS))
 def a18_load_gates(spark, d):
-    flows, b = mapped(spark, d), basket(spark, d)
-    shares = weights.basket_shares(flows, b)
-    return weights.load_gates(flows, shares, weights.national_totals(tables.flows(spark, d)), weights.unmapped_codes(b, tables.cities(spark, d)), "2002-06-15").drop("drift")
+    cells, b = flows(spark, d), basket(spark, d)
+    known = mapped(spark, d, cells)
+    shares = weights.basket_shares(known, b)
+    return weights.load_gates(known, shares, weights.national_totals(cells), weights.unmapped_codes(b, tables.cities(spark, d)), "2002-06-15").drop("drift")
 
 
 @add("u3_unmapped_codes", sql("SELECT origin AS code FROM basket UNION SELECT destination FROM basket EXCEPT SELECT code FROM good", FLOWS))
@@ -89,15 +95,16 @@ def a32_weight_report(spark, d):
   CASE WHEN active THEN CAST((SELECT max(period) FROM flows) - INTERVAL 11 MONTH AS DATE)::VARCHAR END AS weight_start, CASE WHEN active THEN CAST((SELECT max(period) FROM flows) AS VARCHAR) END AS weight_end
   FROM (SELECT origin, destination, NOT missing AS active, passengers / sum(passengers) OVER () AS share FROM shares)""", FLOWS))
 def k6_weights_write_back(spark, d):
-    flows, b, store = mapped(spark, d), basket(spark, d), Store(spark, shared_path(spark, "store"))
-    known = weights.basket_shares(flows, b).select("origin", "destination", (~F.col("missing")).alias("active"))
+    cells, b, store = flows(spark, d), basket(spark, d), Store(spark, shared_path(spark, "store"))
+    traffic = mapped(spark, d, cells)
+    known = weights.basket_shares(traffic, b).select("origin", "destination", (~F.col("missing")).alias("active"))
     known = known.withColumn("weight", F.lit(None).cast("double"))
     sinks.replace_routes(known, store)
     routes_ = store.read("routes", known.schema)
     in_use = weights.active(routes_)
-    shares = weights.basket_shares(flows, in_use)
-    last = flows.agg(F.max("period").alias("p")).select("p", F.add_months("p", -11).alias("first"), F.add_months("p", 2).alias("today")).first()
-    gates = weights.load_gates(flows, shares, weights.national_totals(tables.flows(spark, d)), weights.unmapped_codes(in_use, tables.cities(spark, d)), str(last.today))
+    shares = weights.basket_shares(traffic, in_use)
+    last = traffic.agg(F.max("period").alias("p")).select("p", F.add_months("p", -11).alias("first"), F.add_months("p", 2).alias("today")).first()
+    gates = weights.load_gates(traffic, shares, weights.national_totals(cells), weights.unmapped_codes(in_use, tables.cities(spark, d)), str(last.today))
     new = weights.with_new_weights(routes_, shares, gates, "passenger_share", "order lines", str(last.first), str(last.p), "2024-02-01")
     sinks.replace_routes(new, store)  # derived from the version that it replaces
     return store.read("routes", new.schema).drop("weight_retrieved_at")
@@ -106,9 +113,9 @@ def k6_weights_write_back(spark, d):
 @add("m6_expenditure_shares", sql("""SELECT origin, destination, round(passengers * f / sum(passengers * f) OVER (), 6) AS share, 'expenditure_share' AS weight_basis FROM shares
   JOIN (SELECT origin, destination, avg(passengers) AS f FROM flows GROUP BY ALL) USING (origin, destination) WHERE NOT missing""", FLOWS))
 def m6_expenditure_shares(spark, d):
-    flows = mapped(spark, d)
-    fares = flows.groupBy("origin", "destination").agg(F.avg("passengers").alias("avg_fare"))
-    return weights.expenditure_shares(weights.basket_shares(flows, basket(spark, d)), fares)
+    traffic = mapped(spark, d)
+    fares = traffic.groupBy("origin", "destination").agg(F.avg("passengers").alias("avg_fare"))
+    return weights.expenditure_shares(weights.basket_shares(traffic, basket(spark, d)), fares)
 
 
 @add("s10_seed_routes", sql("""SELECT coalesce(a.origin, b.origin) AS origin, coalesce(a.destination, b.destination) AS destination, coalesce(b.cls, a.cls) AS stratum_class, round(a.share, 6) AS weight, a.origin IS NULL AS inserted
@@ -210,11 +217,11 @@ TARIFF = """filed AS (SELECT a.n_nationkey AS doc_id, b.n_nationkey AS line_no,
 def filed(spark, d):
     """One tariff sheet per supplier nation, a fare row per customer nation, from the order lines between them."""
     n = tables.read(spark, d, "nation")
-    s = tables.read(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_nationkey").alias("doc_id"), F.col("n_name").alias("origin"))
-    c = tables.read(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_nationkey").alias("line_no"), F.col("n_name").alias("destination"))
-    li = tables.read(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice").join(tables.read(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    by = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("doc_id", "line_no", "origin", "destination")
-    return by.agg(F.count("*").cast("int").alias("distance"), F.round(F.min("l_extendedprice")).cast("long").alias("level1"), F.round(F.max("l_extendedprice")).cast("long").alias("level2"))
+    by = tables.order_lines(spark, d, "l_extendedprice").groupBy("s_nation", "c_nation").agg(F.count("*").alias("n"), F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi"))
+    ends = [n.select(F.col("n_nationkey").alias(k), F.col("n_name").alias(c)) for k, c in (("s_nation", "origin"), ("c_nation", "destination"))]
+    whole = lambda c: F.round(c).cast("long").alias
+    fares = by.join(ends[0], "s_nation").join(ends[1], "c_nation").groupBy(F.col("s_nation").alias("doc_id"), F.col("c_nation").alias("line_no"), "origin", "destination").agg(F.sum("n").cast("int").alias("distance"), whole(F.min("lo"))("level1"), whole(F.max("hi"))("level2"))
+    return stored(fares, "filed")  # read more than once, and short
 
 
 def sheet(spark, d):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,20 +44,27 @@ def runs(spark: SparkSession, sf_dir: str, sources: int = 250) -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str, value: str, *of_order: Column) -> DataFrame:
+    """(s_nation, c_nation, `value` of the line, columns of its order): the order lines with the nation keys of both ends.
+
+    Orders get their customer's nation before the lines meet them, so a line is shuffled once, by its order; suppliers are few and
+    hold two numbers each, so Spark broadcasts them while they are small. Names are for the caller to join, after grouping.
+    """
+    supplier = read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("s_nation"))
+    customer = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("c_nation"))
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", *of_order)
+    orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+    line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", value)
+    line = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey", "s_suppkey")
+    return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+
+
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly directional traffic: goods from the supplier's nation to the customer's, by order month."""
+    by = order_lines(spark, sf_dir, "l_quantity", F.trunc("o_orderdate", "MM").alias("period")).groupBy("s_nation", "c_nation", "period").agg(F.sum("l_quantity").alias("q"))
     n = read(spark, sf_dir, "nation")
-    line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.trunc("o_orderdate", "MM").alias("period"))
-    supplier = read(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("city1"))
-    customer = read(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("city2"))
-    return (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("city1", "city2", "period")
-        .agg(F.sum("l_quantity").alias("passengers"))
-    )
+    ends = [n.select(F.col("n_nationkey").alias(k), F.col("n_name").alias(c)) for k, c in (("s_nation", "city1"), ("c_nation", "city2"))]
+    return by.join(ends[0], "s_nation").join(ends[1], "c_nation").groupBy("city1", "city2", "period").agg(F.sum("q").alias("passengers"))
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:

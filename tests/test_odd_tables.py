@@ -4,10 +4,11 @@ import datetime as dt
 
 import duckdb
 import pytest
-from test_catalog import rows
+from test_catalog import SF, rows
 
 import __spark_entry__ as entry
 from plumbline import catalog
+from plumbline.sources import driver_tables
 
 
 @pytest.fixture
@@ -55,3 +56,22 @@ def test_spooled_runs_keep_their_order_within_a_millisecond(spark, events):
     folder = events((7, late, 0, "view", 20.0), (20_011, early, 5, "view", 10.0))
     got = same(spark, folder, "t1_s8_k7_spool_ingest")
     assert len(got) == 1 and len(same(spark, folder, "k7_k2_runs_with_quotes")) == 2
+
+
+ONCE = []  # queries that read the traffic or the tariff sheets more than once
+
+
+@pytest.mark.parametrize("name", ONCE)
+def test_order_lines_are_joined_once(spark, name):
+    assert not [f for f in catalog.queries()[name](spark, SF).inputFiles() if "lineitem" in f]
+
+
+def test_an_order_line_is_shuffled_once(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 100_000)  # suppliers and nations fit, orders and customers do not
+    try:
+        plan = driver_tables.flows(spark, "/root/testdata/sf0.1")._jdf.queryExecution().executedPlan().toString()
+        assert sum("hashpartitioning(l_" in x for x in plan.splitlines()) == 1
+    finally:
+        spark.conf.set(key, before)
