@@ -50,12 +50,19 @@ def write_spool(quotes: DataFrame, path: str) -> None:
 
 
 def write_runs(runs: DataFrame, path: str) -> None:
-    """JSON documents of runs that collected no quote, added to a folder; a file holds runs of one day."""
+    """JSON documents of runs that collected no quote, added to a folder; a file holds runs of one day, and the number of
+    files follows the days and the size of the runs, not how the runs lay in partitions."""
     nothing = F.array().cast("array<string>")
     docs = runs.select("run_id", F.col("source").cast("string").alias("source"), "started_at", "status", "selector_relocated", "notes", nothing.alias("quotes"), F.to_date("started_at").alias("of"))
-    docs.write.mode("append").option("timestampFormat", TIMES).partitionBy("of").json(path)
+    docs.repartitionByRange("of", "run_id").write.mode("append").option("timestampFormat", TIMES).partitionBy("of").json(path)
 
 
 def stored_text(lines: DataFrame, path: str) -> None:
     """Lines as they are, added to a folder of documents."""
     lines.write.mode("append").text(path)
+
+
+def one_file_a_row(lines: DataFrame, path: str) -> None:
+    """Each line as a file of its own, all in one folder. Tasks publish their files themselves: one by one the driver would take
+    longer than all tasks. A task that is repeated writes the same names again."""
+    lines.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)

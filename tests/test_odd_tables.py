@@ -4,11 +4,13 @@ import datetime as dt
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_catalog import SF, rows
 
 import __spark_entry__ as entry
 from plumbline import catalog
-from plumbline.sources import driver_tables
+from plumbline.plans import spool
+from plumbline.sources import driver_tables, sinks
 
 
 @pytest.fixture
@@ -75,3 +77,17 @@ def test_an_order_line_is_shuffled_once(spark):
         assert sum("hashpartitioning(l_" in x for x in plan.splitlines()) == 1
     finally:
         spark.conf.set(key, before)
+
+
+def test_files_of_spooled_runs_follow_the_days_not_the_partitions(spark, tmp_path):
+    day = F.timestamp_seconds(F.lit(1704441600) + F.col("id") % 3 * 86400)
+    runs = spark.range(0, 240, 1, 16).select(F.col("id").cast("string").alias("run_id"), F.lit(1).alias("source"), day.alias("started_at"), F.lit("failed").alias("status"), F.lit(False).alias("selector_relocated"), F.lit("").alias("notes"))
+    spool.write_runs(runs, str(tmp_path / "spool"))
+    assert len(list((tmp_path / "spool").glob("of=*/*.json"))) <= 8 + 3  # partitions of the exchange, and one more for each day
+
+
+def test_payloads_land_as_a_file_a_prefix(spark, tmp_path):
+    files = spark.range(0, 2000, 1, 8).select(F.col("id").cast("string").cast("binary").alias("content"))
+    assert sinks.land_payloads(files, str(tmp_path / "landing")) == 2000
+    folders = list((tmp_path / "landing").glob("prefix=*"))
+    assert len(list((tmp_path / "landing").glob("prefix=*/*.parquet"))) == len(folders)
