@@ -268,7 +268,7 @@ def u4_k8_retained_runs(spark, d):
 def s9_landing(spark, d):
     """One file a page, landed twice: the second time adds nothing."""
     files, path = spool.shared_path(spark, "files"), spool.shared_path(spark, "landing")
-    tables.read(spark, d, "pages").select("page_id", "html").write.partitionBy("page_id").text(files)
+    spool.one_file_a_row(tables.read(spark, d, "pages").select("html"), files)
     payloads = sinks.read_payloads(spark, files)
     sinks.land_payloads(payloads, path)
     again = sinks.land_payloads(payloads, path)

@@ -84,7 +84,7 @@ def land_payloads(binary_files: DataFrame, path: str) -> int:
         known = stored_hashes(new, path)
         fresh = new.join(known, ["prefix", "hash"], "left_anti").select("hash", "content", "prefix").persist()
         n = fresh.count()
-        fresh.write.mode("append").partitionBy("prefix").parquet(path)
+        fresh.repartition("prefix").write.mode("append").partitionBy("prefix").parquet(path)  # a file a prefix
         fresh.unpersist()
     finally:
         new.unpersist()
