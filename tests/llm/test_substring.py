@@ -207,3 +207,29 @@ def test_an_edit_beside_the_edge_of_a_passage():
     a = [f"w{i}" for i in range(60)]
     b = [*a[:57], "other", a[58], "x", "y"]
     assert substring.walk(a, b)[-1] == (58, 58, 1)
+
+
+def test_other_documents_that_hold_the_halves_do_not_hide_a_source(spark):
+    r = random.Random(31)
+    p = words(r, 90)
+    halves = {i: p[:45] if i % 2 else p[45:] for i in (1, 2, 4, 5, 6, 7, 9, 10, 11, 12)}
+    rows = [(i, " ".join(words(r, 20) + halves.get(i, p) + words(r, 20))) for i in range(1, 14)]  # 3, 8 and 13 hold the whole
+    got = {(x.doc_id, x.src_doc_id): (x.start, x.stop, x.src_start, x.src_stop) for x in substring.passages(frame(spark, rows)).collect()}
+    assert (8, 3) in got and (13, 3) in got and set(got) <= {(8, 3), (13, 3), (13, 8)} and set(got.values()) == {(20, 110, 20, 110)}
+
+
+def test_surroundings_of_a_passage_are_alike():
+    r = np.random.default_rng(7)
+    least = substring.least_common(50, 0.8)
+    assert least == (40, 19)
+    text = r.integers(0, 65536, (300, 50)).astype(np.uint16)
+    own, others = [], []
+    for w in text:  # ten words replaced or left out anywhere, strange words around
+        other = w.copy()
+        other[r.choice(50, 10, replace=False)] = r.integers(0, 65536, 10)
+        if len(own) % 2:
+            other = np.delete(w, r.choice(50, 10, replace=False))
+        own.append(np.r_[r.integers(0, 65536, 20), w].astype(np.uint16).tobytes())
+        others.append(np.r_[other, r.integers(0, 65536, 30)].astype(np.uint16).tobytes())
+    n = np.arange(300)
+    assert substring.alike(own, n + 1, others, n, least) == {(i + 1, i) for i in range(300)}
