@@ -233,3 +233,23 @@ def test_surroundings_of_a_passage_are_alike():
         others.append(np.r_[other, r.integers(0, 65536, 30)].astype(np.uint16).tobytes())
     n = np.arange(300)
     assert substring.alike(own, n + 1, others, n, least) == {(i + 1, i) for i in range(300)}
+
+
+def test_the_same_words_in_another_order_are_no_surroundings_of_a_passage():
+    r = np.random.default_rng(8)
+    w = r.integers(0, 65536, 60).astype(np.uint16)
+    blocks = np.concatenate([w[k : k + 6] for k in range(54, -1, -6)])  # 60 words and 50 pairs of neighbours are the same
+    assert substring.alike([w.tobytes()], np.array([2]), [blocks.tobytes()], np.array([1]), substring.least_common(50, 0.8)) == set()
+
+
+def test_left_out_sources_behind_a_common_line_and_runs_of_one_word(spark):
+    r = random.Random(33)
+    line, p, q = words(r, 14), words(r, 60), words(r, 30)
+    rows = [(i, line + words(r, 60)) for i in range(40)]  # the line alone is no passage, and its first and last owners are others
+    rows += [(i, words(r, 20) + ["the"] * 20 + words(r, 40)) for i in range(60, 70)]
+    rows[20] = (20, line + p)
+    rows[35] = (35, words(r, 7) + line + p)
+    rows[44] = (64, q + ["the"] * 24 + words(r, 10))
+    rows += [(80, words(r, 9) + q + ["the"] * 22 + words(r, 20)), *[(90 + i, words(r, 20) + ["the"] * 20) for i in range(4)]]
+    got = {(x.doc_id, x.src_doc_id) for x in substring.passages(frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()}
+    assert got == {(35, 20), (80, 64)}
