@@ -253,3 +253,27 @@ def test_left_out_sources_behind_a_common_line_and_runs_of_one_word(spark):
     rows += [(80, words(r, 9) + q + ["the"] * 22 + words(r, 20)), *[(90 + i, words(r, 20) + ["the"] * 20) for i in range(4)]]
     got = {(x.doc_id, x.src_doc_id) for x in substring.passages(frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()}
     assert got == {(35, 20), (80, 64)}
+
+
+def test_edited_copies_with_left_out_sources_give_rows_in_proportion(spark):
+    r = random.Random(41)
+    lines, rows, whole = [words(r, 14) for _ in range(5)], [], []
+    for i in range(60):  # two documents with the lines apart lie between any two that hold all together
+        text = words(r, 5)
+        for line in lines:
+            text += line + words(r, 1 if i % 3 == 2 else 60)
+        rows.append((i, " ".join(text)))
+        whole += [i] * (i % 3 == 2)
+    found = substring.passages(frame(spark, rows)).collect()
+    for i in whole[1:]:
+        assert len({w for x in found if x.doc_id == i for w in range(x.start, x.stop)}) >= 70
+    assert {x.doc_id for x in found} <= set(whole[1:]) and len(found) <= 4 * len(whole)
+
+
+def test_a_run_of_one_word_is_no_surroundings_of_a_passage():
+    r = np.random.default_rng(9)
+    own, other = (np.r_[r.integers(2, 65536, 45), np.full(41, 7), r.integers(2, 65536, 20)].astype(np.uint16) for _ in range(2))
+    same = own.copy()
+    same[[60, 90, 95]] = 9
+    test = substring.around_anchors([[own], [other, same]], (np.array([45]), np.array([45, 45])), 50, 0.8)
+    assert test(np.array([0, 0]), np.array([0, 1])).tolist() == [False, True]
