@@ -277,3 +277,36 @@ def test_a_run_of_one_word_is_no_surroundings_of_a_passage():
     same[[60, 90, 95]] = 9
     test = substring.around_anchors([[own], [other, same]], (np.array([45]), np.array([45, 45])), 50, 0.8)
     assert test(np.array([0, 0]), np.array([0, 1])).tolist() == [False, True]
+
+
+def test_long_runs_of_one_word_are_covered_whole_by_an_earlier_one(spark):
+    r = random.Random(45)
+    rows = [(i, words(r, 9) + ["and"] * n + words(r, 9)) for i, n in enumerate((52, 70, 300, 58, 64, 61, 55, 40))]
+    rows += [(20, words(r, 30) + ["and"] * 333 + words(r, 30) + ["and"] * 75), (21, words(r, 5) + ["or"] * 90)]
+    found = substring.passages(frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()
+    lost = {(i, k) for i, w in rows[1:9] for k, x in enumerate(w) if x == "and" and i != 7} - {(x.doc_id, k) for x in found for k in range(x.start, x.stop)}
+    assert not lost and all(x.doc_id > x.src_doc_id for x in found) and {x.doc_id for x in found} == {*range(1, 7), 20}
+    text = {i: " ".join(w).split() for i, w in rows}
+    assert all(text[x.doc_id][x.start : x.stop] == text[x.src_doc_id][x.src_start : x.src_stop] for x in found if x.identity == 1)
+
+
+def test_counts_of_shared_pairs_against_brute_force():
+    r = np.random.default_rng(11)
+    for rows, cols, kinds in ((40, 60, 30), (300, 400, 3000), (5, 3, 2)):
+        own, others = ((np.sort(r.integers(0, n, 20 * n)), r.integers(0, kinds, 20 * n).astype(np.uint32)) for n in (rows, cols))
+        held = [set(others[1][others[0] == j].tolist()) for j in range(cols)]
+        count = np.array([[sum(v in s for v in own[1][own[0] == i].tolist()) for s in held] for i in range(rows)])
+        for least in (1, 3, 15):
+            assert set(zip(*(v.tolist() for v in substring.shared_pairs(own, others, (rows, cols), least)))) == set(zip(*(v.tolist() for v in np.nonzero(count >= least))))
+
+
+def test_a_stretch_through_a_k_mer_against_all_stretches():
+    r = random.Random(46)
+    for _ in range(300):
+        left, right = ([0] for _ in range(2))
+        for side, n in ((left, 45), (right, 75)):
+            share = r.choice((0.5, 0.7, 0.8, 0.9))
+            for _ in range(r.randint(0, n)):
+                side.append(side[-1] + (r.random() < share))
+        want = any(i + 5 + j >= 50 and a + 5 + b >= 0.8 * (i + 5 + j) - 1e-9 for i, a in enumerate(left) for j, b in enumerate(right))
+        assert substring.through(left, right, 50, 0.8) == want
