@@ -6,6 +6,9 @@ cut in overlapping windows; a window gets one logit and the text the largest of
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from itertools import chain, islice
 
@@ -303,7 +306,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     rows = sample(docs, labels, "toxic", per_class, SAMPLE_BYTES)
     if len({y for _, y in rows}) < 2:
         return float(rows[0][1]) if rows else 0.0
-    return train([t.decode("utf-8", "replace") for t, _ in rows], [y for _, y in rows])
+    net = train([t.decode("utf-8", "replace") for t, _ in rows], [y for _, y in rows])
+    gc.collect()
+    with contextlib.suppress(AttributeError):  # what the C library keeps of the training's memory goes back, where it can
+        ctypes.CDLL(None).malloc_trim(0)
+    return net
 
 
 def score_column(text: Column, net: BiGru | float) -> Column:
